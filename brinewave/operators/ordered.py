@@ -118,18 +118,26 @@ def blocked_centred_mean(
     )
 
 
-def crossing_midpoints(
-    df: DataFrame, keys: Sequence[str], x: str, side: str, averaged: Sequence[str]
+def with_crossing_midpoints(
+    df: DataFrame, keys: Sequence[str], x: str, side: str, averaged: Sequence[str], copied: dict[str, str]
 ) -> DataFrame:
-    """Midpoint rows between neighbours that lie on different sides.
+    """Insert a row half-way between neighbours that lie on different sides.
 
-    Returns keys, the middle of ``x`` and the middle of each averaged column.
+    The new row has the keys, the middle of ``x`` and of the averaged columns, and for ``copied``
+    ({column: source}) the new value of the source; other columns are null. One pass: each row is
+    followed by its midpoint row, so the input is not evaluated twice for a union.
     """
-    nxt = {c: next_row(c, keys, [x]) for c in [x, side, *averaged]}
-    paired = df.select(*df.columns, *[c.alias(f"_next_{name}") for name, c in nxt.items()])
-    return paired.filter(F.col(side) != F.col(f"_next_{side}")).select(
-        *keys, *[((F.col(c) + F.col(f"_next_{c}")) / 2).alias(c) for c in [x, *averaged]]
-    )
+    watched = [x, side, *averaged]
+    after = [next_row(c, keys, [x]).alias(f"_next_{c}") for c in watched]
+    paired = df.select(*df.columns, *after)
+    middle = {c: (F.col(c) + F.col(f"_next_{c}")) / 2 for c in [x, *averaged]}
+    middle |= {c: F.col(c) for c in keys}
+    middle |= {c: middle[source] for c, source in copied.items()}
+    types = dict(df.dtypes)
+    own = F.struct(*[F.col(c) for c in df.columns])
+    new = F.struct(*[middle.get(c, F.lit(None)).cast(types[c]).alias(c) for c in df.columns])
+    crosses = F.col(side) != F.col(f"_next_{side}")
+    return paired.select(F.inline(F.when(crosses, F.array(own, new)).otherwise(F.array(own))))
 
 
 def zero_crossings(df: DataFrame, keys: Sequence[str], x: str, y: str) -> DataFrame:

@@ -26,6 +26,16 @@ KD_CELL = 0.2  # share of the span a cell of the interpolating surface may hold
 KD_MARGIN = 0.005  # the outer vertices lie this share of the range outside the data
 
 
+def evaluated(df: DataFrame, **columns: Column) -> DataFrame:
+    """Add computed columns by way of a one-row generator.
+
+    A filter above a projection is pushed down with the expression copied into it; above a generator
+    it can only refer to the value. The fits are long expressions, so they are made values at once.
+    """
+    row = F.struct(*[c.alias(name) for name, c in columns.items()])
+    return df.select("*", F.inline(F.array(row)))
+
+
 def series_buckets(df: DataFrame, keys: Sequence[str], x: str, y: str, span: float) -> DataFrame:
     """One row per series: its bucket array, size, range and nearest-neighbour windows.
 
@@ -50,32 +60,16 @@ def series_buckets(df: DataFrame, keys: Sequence[str], x: str, y: str, span: flo
     )
     # floor(n * span) with the usual guard against representation error, never more than n
     q = F.least(F.floor(F.col("size") * span + 1e-5).cast("double"), F.col("size"))
-    one = one.withColumns({"q": q, "widen": F.lit(max(span, 1.0))})
-    upto = F.transform(
-        F.col("buckets"),
-        lambda b: F.struct(
-            b["x"].alias("x"),
-            b["n"].alias("n"),
-            F.aggregate(
-                F.filter(F.col("buckets"), lambda o: o["x"] <= b["x"]), F.lit(0.0), lambda a, o: a + o["n"]
-            ).alias("c"),
-        ),
-    )
-    one = one.withColumn("_upto", upto)
-    windows = F.transform(
-        F.col("_upto"),
-        lambda b: F.struct(
-            b["x"].alias("left"),
-            F.array_min(
-                F.transform(
-                    F.filter(F.col("_upto"), lambda o: o["c"] - (b["c"] - b["n"]) >= F.col("q")),
-                    lambda o: o["x"],
-                )
-            ).alias("right"),
-        ),
-    )
-    one = one.withColumn("windows", F.filter(windows, lambda w: w["right"].isNotNull()))
-    return one.drop("_upto")
+    one = evaluated(one, q=q, widen=F.lit(max(span, 1.0)))
+    one = evaluated(one, _upto=F.expr(
+        "transform(buckets, b -> struct(b.x AS x, b.n AS n,"
+        " aggregate(filter(buckets, o -> o.x <= b.x), 0D, (acc, o) -> acc + o.n) AS c))"
+    ))
+    one = evaluated(one, _windows=F.expr(
+        "transform(_upto, b -> struct(b.x AS left,"
+        " array_min(transform(filter(_upto, o -> o.c - (b.c - b.n) >= q), o -> o.x)) AS right))"
+    ))
+    return evaluated(one, windows=F.expr("filter(_windows, w -> w.right IS NOT NULL)")).drop("_upto", "_windows")
 
 
 def grid(series: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -85,53 +79,45 @@ def grid(series: DataFrame, keys: Sequence[str]) -> DataFrame:
     return series.select(*keys, F.explode(F.sequence(low, high)).alias("x10"))
 
 
-def _bandwidth(x0: Column) -> Column:
-    reach = F.array_min(
-        F.transform(F.col("windows"), lambda w: F.greatest(x0 - w["left"], w["right"] - x0))
-    )
-    return reach * F.col("widen")
+BANDWIDTH = "array_min(transform(windows, w -> greatest(_x0 - w.left, w.right - _x0))) * widen"
 
+# buckets inside the bandwidth: offset d, weighted count c, weighted value s, count by squared weight v
+NEAR = """
+    transform(
+      transform(
+        filter(buckets, b -> abs(b.x - _x0) < h),
+        b -> struct(b.x - _x0 AS d, power(1 - power(abs(b.x - _x0) / h, 3), 3) AS w, b.n AS n, b.s AS s)),
+      p -> struct(p.d AS d, p.w * p.n AS c, p.w * p.s AS s, p.w * p.w * p.n AS v))"""
 
-def _moments(x0: Column) -> Column:
-    """Weighted moments around x0: m0..m4 of the points, t0..t2 of the values, v0..v4 of w squared."""
-    zero = F.lit(0.0)
-    names = ["m0", "m1", "m2", "m3", "m4", "t0", "t1", "t2", "v0", "v1", "v2", "v3", "v4"]
 
-    def weighted(b: Column) -> Column:
-        d = b["x"] - x0
-        u = F.abs(d) / F.col("h")
-        w = F.when(u < 1, F.pow(1 - u * u * u, F.lit(3.0))).otherwise(zero)
-        return F.struct(d.alias("d"), (w * b["n"]).alias("wn"), (w * b["s"]).alias("ws"), (w * w * b["n"]).alias("vn"))
+def _moments(squares: bool) -> dict[str, Column]:
+    """Moments of the weighted buckets: m0..m4 of the counts, t0..t2 of the values, v0..v4 of the
+    squared weights. One scalar sum each: a struct accumulator would be copied at every element."""
 
-    def add(acc: Column, p: Column) -> Column:
-        d = p["d"]
-        d2 = d * d
-        parts = {
-            "m0": p["wn"], "m1": p["wn"] * d, "m2": p["wn"] * d2, "m3": p["wn"] * d2 * d, "m4": p["wn"] * d2 * d2,
-            "t0": p["ws"], "t1": p["ws"] * d, "t2": p["ws"] * d2,
-            "v0": p["vn"], "v1": p["vn"] * d, "v2": p["vn"] * d2, "v3": p["vn"] * d2 * d, "v4": p["vn"] * d2 * d2,
-        }
-        return F.struct(*[(acc[k] + parts[k]).alias(k) for k in names])
+    def moment(part: str, k: int) -> Column:
+        term = " * ".join([f"p.{part}", *["p.d"] * k])
+        return F.expr(f"aggregate(near, 0D, (acc, p) -> acc + {term})")
 
-    start = F.struct(*[zero.alias(k) for k in names])
-    near = F.filter(F.col("buckets"), lambda b: F.abs(b["x"] - x0) < F.col("h"))
-    return F.aggregate(F.transform(near, weighted), start, add)
+    out = {f"m{k}": moment("c", k) for k in range(5)} | {f"t{k}": moment("s", k) for k in range(3)}
+    return out | ({f"v{k}": moment("v", k) for k in range(5)} if squares else {})
 
 
-def local_fit(points: DataFrame, series: DataFrame, keys: Sequence[str], x0: Column) -> DataFrame:
-    """Fit at ``x0`` of every row of ``points``.
+def local_fit(
+    points: DataFrame, series: DataFrame, keys: Sequence[str], x0: Column, errors: bool = False
+) -> DataFrame:
+    """Fit at ``x0`` of every row of ``points``; adds ``fit`` and ``slope``.
 
-    Adds ``fit``, ``slope``, ``norm2`` (squared length of the operator row, for standard errors) and
+    With ``errors`` also ``norm2`` (squared length of the operator row, for standard errors) and
     ``own`` (weight the fit gives to one point at x0 itself, for the trace). Singular systems give
     null.
     """
     wide = series.select(*keys, "buckets", "windows", "widen")
-    spread = points.withColumn("_x0", x0)
-    joined = null_safe_join(spread, wide, keys, "inner")
-    fitted = joined.withColumn("h", _bandwidth(F.col("_x0"))).withColumn("m", _moments(F.col("_x0")))
-    m = [F.col(f"m.m{i}") for i in range(5)]
-    t = [F.col(f"m.t{i}") for i in range(3)]
-    v = [F.col(f"m.v{i}") for i in range(5)]
+    joined = null_safe_join(points.withColumn("_x0", x0), wide, keys, "inner")
+    near = evaluated(evaluated(joined, h=F.expr(BANDWIDTH)), near=F.expr(NEAR))
+    sums = _moments(errors)
+    fitted = evaluated(near, **sums)
+    m = [F.col(f"m{i}") for i in range(5)]
+    t = [F.col(f"t{i}") for i in range(3)]
     # adjugate of the symmetric normal matrix [[m0 m1 m2], [m1 m2 m3], [m2 m3 m4]]
     a00 = m[2] * m[4] - m[3] * m[3]
     a01 = m[2] * m[3] - m[1] * m[4]
@@ -139,18 +125,33 @@ def local_fit(points: DataFrame, series: DataFrame, keys: Sequence[str], x0: Col
     a11 = m[0] * m[4] - m[2] * m[2]
     a12 = m[1] * m[2] - m[0] * m[3]
     det = m[0] * a00 + m[1] * a01 + m[2] * a02
-    fit = ratio(a00 * t[0] + a01 * t[1] + a02 * t[2], det)
-    slope = ratio(a01 * t[0] + a11 * t[1] + a12 * t[2], det)
-    row = [a00, a01, a02]
-    quad = reduce(lambda a, b: a + b, [row[i] * row[j] * v[i + j] for i in range(3) for j in range(3)])
-    return fitted.withColumns(
-        {"fit": fit, "slope": slope, "norm2": ratio(quad, det * det), "own": ratio(a00, det)}
-    ).drop("_x0", "h", "m", "buckets", "windows", "widen")
+    found = {
+        "fit": ratio(a00 * t[0] + a01 * t[1] + a02 * t[2], det),
+        "slope": ratio(a01 * t[0] + a11 * t[1] + a12 * t[2], det),
+    }
+    if errors:
+        v = [F.col(f"v{i}") for i in range(5)]
+        row = [a00, a01, a02]
+        quad = reduce(lambda a, b: a + b, [row[i] * row[j] * v[i + j] for i in range(3) for j in range(3)])
+        found |= {"norm2": ratio(quad, det * det), "own": ratio(a00, det)}
+    return evaluated(fitted, **found).drop(*sums, "_x0", "h", "near", "buckets", "windows", "widen")
 
 
 def spread_rows(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Distribute a small generated table so the fits run on all cores, not in the task that made it."""
-    return df.repartition(*keys)
+    """Distribute a small generated table so the fits run on all cores, not in the task that made it.
+
+    The number is given because AQE would otherwise coalesce so few bytes into one task again.
+    """
+    return df.repartition(df.sparkSession.sparkContext.defaultParallelism, *keys)
+
+
+def predict_at(
+    points: DataFrame, series: DataFrame, keys: Sequence[str], at: Column, span: float, surface: str, name: str
+) -> DataFrame:
+    """Fitted value at each point: ``surface`` is "direct", or "interpolate" for the k-d blend."""
+    if surface == "direct":
+        return local_fit(points, series, keys, at).withColumnRenamed("fit", name).drop("slope")
+    return _interpolated(points, series, keys, at, span, name)
 
 
 def predict_grid(
@@ -160,11 +161,29 @@ def predict_grid(
     series = series_buckets(df, keys, x, y, span)
     points = spread_rows(grid(series, keys), [*keys, "x10"])
     at = F.col("x10") / F.lit(float(STEPS_PER_UNIT))
-    if surface == "direct":
-        fitted = local_fit(points, series, keys, at).withColumnRenamed("fit", name)
-    else:
-        fitted = _interpolated(points, series, keys, at, span, name)
-    return fitted.select(*keys, "x10", at.alias(x), name)
+    return predict_at(points, series, keys, at, span, surface, name).select(*keys, "x10", at.alias(x), name)
+
+
+def predict_for_days(
+    df: DataFrame,
+    keys: Sequence[str],
+    x: str,
+    y: str,
+    span: float,
+    days: DataFrame,
+    surface: str = "direct",
+    name: str = "predicted",
+) -> DataFrame:
+    """Rows of ``days`` that meet the grid of their series, with the curve value.
+
+    Same result as joining the whole predicted grid to the days on the exact tenth-of-a-day key, but
+    the curve is fitted only where a day needs it.
+    """
+    series = series_buckets(df, keys, x, y, span)
+    keyed = days.withColumn("x10", F.round(F.col(x) * STEPS_PER_UNIT).cast("int"))
+    points = spread_rows(null_safe_join(grid(series, keys), keyed, [*keys, "x10"], "inner"), [*keys, "x10"])
+    at = F.col("x10") / F.lit(float(STEPS_PER_UNIT))
+    return predict_at(points, series, keys, at, span, surface, name).withColumn(x, at).drop("x10")
 
 
 def predict_observed(df: DataFrame, keys: Sequence[str], x: str, y: str, span: float, name: str) -> DataFrame:
@@ -184,7 +203,7 @@ def predict_band(df: DataFrame, keys: Sequence[str], x: str, y: str, span: float
     """
     series = series_buckets(df, keys, x, y, span)
     own = series.select(*keys, F.explode("buckets").alias("b"))
-    own = local_fit(spread_rows(own, [*keys, "b"]), series, keys, F.col("b.x"))
+    own = local_fit(spread_rows(own, [*keys, "b"]), series, keys, F.col("b.x"), errors=True)
     b = {c: F.col(f"b.{c}") for c in ("n", "s", "ss")}
     residual = own.groupBy(*keys).agg(
         F.sum(b["ss"] - 2 * F.col("fit") * b["s"] + b["n"] * F.col("fit") * F.col("fit")).alias("_rss"),
@@ -192,7 +211,7 @@ def predict_band(df: DataFrame, keys: Sequence[str], x: str, y: str, span: float
     )
     points = spread_rows(grid(series, keys), [*keys, "x10"])
     at = F.col("x10") / F.lit(float(STEPS_PER_UNIT))
-    curve = null_safe_join(local_fit(points, series, keys, at), residual, keys)
+    curve = null_safe_join(local_fit(points, series, keys, at, errors=True), residual, keys)
     se = F.sqrt(ratio("_rss", "df") * F.col("norm2"))
     return curve.select(*keys, "x10", at.alias(x), "fit", se.alias("se"), "df")
 
@@ -241,9 +260,8 @@ def _interpolated(
     v = local_fit(v, series, keys, F.col("vx"))
     table = v.groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct("vx", "fit", "slope"))).alias("_v"))
     joined = null_safe_join(points.withColumn("_at", at), table, keys, "inner")
-    right = F.array_min(F.filter(F.col("_v"), lambda e: e["vx"] >= F.col("_at")))
-    left = F.array_max(F.filter(F.col("_v"), lambda e: e["vx"] < F.col("_at")))
-    out = joined.withColumns({"_l": left, "_r": right})
+    left, right = F.expr("array_max(filter(_v, e -> e.vx < _at))"), F.expr("array_min(filter(_v, e -> e.vx >= _at))")
+    out = evaluated(joined, _l=left, _r=right)
     width = F.col("_r.vx") - F.col("_l.vx")
     u = (F.col("_at") - F.col("_l.vx")) / width
     value = (
@@ -251,7 +269,7 @@ def _interpolated(
         + F.col("_r.fit") * u * u * (3 - 2 * u)
         + width * (F.col("_l.slope") * u * (1 - u) * (1 - u) - F.col("_r.slope") * u * u * (1 - u))
     )
-    return out.withColumn(name, value).drop("_at", "_v", "_l", "_r")
+    return evaluated(out, **{name: value}).drop("_at", "_v", "_l", "_r")
 
 
 # the Python helper travels with the task, so executors need no copy of this package

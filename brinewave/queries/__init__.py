@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-MODULES = ["catch"]
+MODULES = ["catch", "ocean"]
 
 
 def load():
