@@ -8,6 +8,7 @@ Missing values, "NA" texts and unmatched keys are made on purpose.
 from __future__ import annotations
 
 import re
+from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -155,14 +156,20 @@ VIEWS = {
 _MARK = re.compile(r"\{(\w+)\}")
 
 
-def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    text = VIEWS[name]
-    tables = {t: spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in set(_MARK.findall(text))}
-    return spark.sql(text, **tables)
+def views(spark: SparkSession, sf_dir: str, names: Iterable[str]) -> list[DataFrame]:
+    """The named views; each source table is opened once for all of them."""
+    tables: dict[str, DataFrame] = {}
+    out = []
+    for text in (VIEWS[n] for n in names):
+        used = set(_MARK.findall(text))
+        for t in used - tables.keys():
+            tables[t] = spark.read.parquet(f"{sf_dir}/{t}.parquet")
+        out.append(spark.sql(text, **{t: tables[t] for t in used}))
+    return out
 
 
-def views(spark: SparkSession, sf_dir: str, *names: str) -> list[DataFrame]:
-    return [view(spark, sf_dir, n) for n in names]
+def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return views(spark, sf_dir, [name])[0]
 
 
 def with_views(*names: str) -> list[str]:

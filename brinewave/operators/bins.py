@@ -63,9 +63,10 @@ def density_histogram(df: DataFrame, value: str, width: float, scale: float = 5.
     return counts.withColumn("frequency", ratio(F.col("n") * scale * 100, total * F.lit(width)))
 
 
-def value_counts(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
+def value_counts(df: DataFrame, keys: Sequence[str], value: str, counted: str | None = None) -> DataFrame:
+    """Rows (or the sum of ``counted``) of each distinct value by group."""
     present = df.filter(F.col(value).isNotNull())
-    return present.groupBy(*keys, value).agg(rows().alias("m"))
+    return present.groupBy(*keys, value).agg((F.sum(counted) if counted else rows()).alias("m"))
 
 
 def quantiles(
@@ -105,10 +106,15 @@ def _fences(counts: DataFrame, keys: Sequence[str], value: str, block_width: flo
     return q.withColumns({"_low": F.col("lower") - reach, "_high": F.col("upper") + reach})
 
 
-def box_statistics(df: DataFrame, keys: Sequence[str], value: str, block_width: float = 8.0) -> DataFrame:
-    """Box-plot numbers by group: quartiles, whisker ends within 1.5 IQR, and outlier count."""
+def box_statistics(
+    df: DataFrame, keys: Sequence[str], value: str, block_width: float = 8.0, counted: str | None = None
+) -> DataFrame:
+    """Box-plot numbers by group: quartiles, whisker ends within 1.5 IQR, and outlier count.
+
+    ``counted`` names a count column where the rows are counts of a value already.
+    """
     keys = list(keys)
-    counts = value_counts(df, keys, value)
+    counts = value_counts(df, keys, value, counted)
     joined = null_safe_join(counts, _fences(counts, keys, value, block_width), keys)
     inside = F.col(value).between(F.col("_low"), F.col("_high"))
     stats = joined.groupBy(*keys, "n", "lower", "middle", "upper").agg(
@@ -128,10 +134,12 @@ def box_statistics(df: DataFrame, keys: Sequence[str], value: str, block_width:
     )
 
 
-def box_outliers(df: DataFrame, keys: Sequence[str], value: str, block_width: float = 8.0) -> DataFrame:
+def box_outliers(
+    df: DataFrame, keys: Sequence[str], value: str, block_width: float = 8.0, counted: str | None = None
+) -> DataFrame:
     """Distinct values beyond the whiskers of their group, with their counts."""
     keys = list(keys)
-    counts = value_counts(df, keys, value)
+    counts = value_counts(df, keys, value, counted)
     joined = null_safe_join(counts, _fences(counts, keys, value, block_width), keys)
     beyond = (F.col(value) < F.col("_low")) | (F.col(value) > F.col("_high"))
     return joined.filter(beyond).select(*keys, value, F.col("m").alias("n"))

@@ -100,3 +100,32 @@ def repeat_rows(df: DataFrame, times: str) -> DataFrame:
     """Each row repeated ``times`` times, literally; zero and missing drop the row."""
     n = F.coalesce(F.col(times).cast("int"), F.lit(0))
     return df.withColumn("_copy", F.explode(F.array_repeat(F.lit(True), n))).drop("_copy")
+
+
+def moment_parts(columns: dict[str, Column | str]) -> list[Column]:
+    """Count, sum and sum of squares of each column, to be added up again after a join.
+
+    Meant for whole numbers: the parts are then exact and so are the statistics built from them.
+    """
+    out = []
+    for name, c in columns.items():
+        c = as_col(c)
+        out += [
+            F.count(c).alias(f"{name}__n"),
+            F.sum(c.cast("bigint")).alias(f"{name}__s"),
+            F.sum((c * c).cast("bigint")).alias(f"{name}__q"),
+        ]
+    return out
+
+
+def merged_parts(names: Sequence[str]) -> list[Column]:
+    return [F.sum(f"{c}__{p}").alias(f"{c}__{p}") for c in names for p in ("n", "s", "q")]
+
+
+def mean_of_parts(name: str) -> Column:
+    return ratio(f"{name}__s", f"{name}__n")
+
+
+def sd_of_parts(name: str) -> Column:
+    n, s, q = (F.col(f"{name}__{p}").cast("double") for p in ("n", "s", "q"))
+    return F.when(n > 1, F.sqrt(F.greatest(q - s * s / F.when(n > 0, n), F.lit(0.0)) / (n - 1)))

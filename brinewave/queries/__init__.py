@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-MODULES = ["catch", "ocean"]
+MODULES = ["catch", "ocean", "lice", "lengths"]
 
 
 def load():

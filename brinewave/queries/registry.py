@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, FloatType, IntegralType
 
-from brinewave.fixtures import view, with_views
+from brinewave.fixtures import views as open_views
+from brinewave.fixtures import with_views
 from brinewave.session import tune
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -46,7 +47,7 @@ def query(
     def register(f: Callable[..., DataFrame]):
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
             tune(spark)
-            return settled(f(*[view(spark, sf_dir, v) for v in views]), digits)
+            return settled(f(*open_views(spark, sf_dir, views)), digits)
 
         run.__name__ = name
         run.__doc__ = f.__doc__
