@@ -79,6 +79,13 @@ def with_group_ratio(df: DataFrame, keys: Sequence[str], top: str, bottom: str,
     return null_safe_join(df, per_group, keys, "left")
 
 
+def with_group_values(df: DataFrame, keys: Sequence[str], **aggregates: Column) -> DataFrame:
+    """Attach group aggregates to every row: aggregated first, then joined back, so that a hot group
+    is neither sorted nor held in one window task."""
+    per_group = df.groupBy(*keys).agg(*[c.alias(name) for name, c in aggregates.items()])
+    return null_safe_join(df.drop(*aggregates), per_group, keys, "left")
+
+
 def count_of(condition: Column, name: str) -> Column:
     """Number of rows for which the condition holds."""
     return F.count_if(condition).alias(name)

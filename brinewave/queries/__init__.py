@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-MODULES = ["catch", "ocean", "lice", "lengths"]
+MODULES = ["catch", "ocean", "lice", "lengths", "files", "verbs"]
 
 
 def load():

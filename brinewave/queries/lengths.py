@@ -33,7 +33,8 @@ query(
                greatest(upper, max(fork_length) FILTER (NOT {OUTSIDE})) AS ymax,
                count(*) FILTER {"(" + OUTSIDE + ")"} AS n_outliers,
                CASE b.sampling_week {WEEK_ORDER} END AS week_order
-        FROM {JOINED} GROUP BY ALL""",
+        FROM {JOINED}
+        GROUP BY b.sampling_week, b.species, b.period, n, lower, middle, upper""",
     extra=(SS, COMPARED, BOXES),
     doubles=["lower", "middle", "upper", "ymin", "ymax"],
     integers=["week_order"],
