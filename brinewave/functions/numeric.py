@@ -74,13 +74,13 @@ def t_quantile_large(p: float, df: Column) -> Column:
 
 def t_table(spark: SparkSession, p: float) -> DataFrame:
     rows = [(df, t_quantile(p, df)) for df in range(1, T_TABLE_MAX + 1)]
-    return spark.createDataFrame(rows, "t_df bigint, t_value double")
+    return spark.createDataFrame(rows, "_t_df bigint, _t_value double")
 
 
 def with_t_quantile(df: DataFrame, p: float, degrees: Column, name: str) -> DataFrame:
     """Add the t quantile of ``degrees``: 200 fixed values, then the expansion; null below 1."""
     table = F.broadcast(t_table(df.sparkSession, p))  # always 200 rows
     d = degrees.cast("bigint")
-    out = df.withColumn("_d", d).join(table, F.col("_d") == F.col("t_df"), "left")
+    out = df.withColumn("_d", d).join(table, F.col("_d") == F.col("_t_df"), "left")
     large = F.when(F.col("_d") > T_TABLE_MAX, t_quantile_large(p, F.col("_d")))
-    return out.withColumn(name, F.coalesce(F.col("t_value"), large)).drop("_d", "t_df", "t_value")
+    return out.withColumn(name, F.coalesce(F.col("_t_value"), large)).drop("_d", "_t_df", "_t_value")

@@ -79,9 +79,7 @@ def quantiles(
     """
     keys = list(keys)
     blocks = counts.withColumn("_block", F.floor(F.col(value) / F.lit(block_width)))
-    ranked = blocked_running_total(blocks, keys, ["_block"], [value], "m", "_upto").drop("_block")
-    totals = counts.groupBy(*keys).agg(F.sum("m").alias("n"))
-    ranked = null_safe_join(ranked, totals, keys)
+    ranked = blocked_running_total(blocks, keys, ["_block"], [value], "m", "_upto", total="n").drop("_block")
 
     picks = []
     for name, p in probs.items():

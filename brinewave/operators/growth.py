@@ -13,7 +13,7 @@ from collections.abc import Sequence
 import numpy as np
 import pandas as pd
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from brinewave.functions.nulls import rows
@@ -39,6 +39,8 @@ def fit_logistic(x: np.ndarray, n: np.ndarray, mean: np.ndarray, top: float) ->
     """
     root = np.sqrt(n)
     beta = np.array([top, _weighted_median(x, n), 1.0])
+    if len(x) < len(beta):
+        return (*map(float, beta), False)
 
     def parts(b: np.ndarray):
         with np.errstate(all="ignore"):
@@ -75,7 +77,7 @@ def fit_logistic(x: np.ndarray, n: np.ndarray, mean: np.ndarray, top: float) ->
 
 
 def logistic_fits(df: DataFrame, group: str, x: str, y: str) -> DataFrame:
-    """One row per group: asym, mid, scale and whether the fit converged."""
+    """One row per group: asym, mid, scale, whether the fit converged, points and x range."""
     reduced = (
         df.filter(F.col(x).isNotNull() & F.col(y).isNotNull())
         .groupBy(F.col(group).cast("string").alias(group), F.col(x).cast("double").alias("x"))
@@ -84,25 +86,34 @@ def logistic_fits(df: DataFrame, group: str, x: str, y: str) -> DataFrame:
 
     def fit(pdf: pd.DataFrame) -> pd.DataFrame:
         p = pdf.sort_values("x")
-        n = p["n"].to_numpy(dtype=float)
-        found = fit_logistic(p["x"].to_numpy(), n, p["mean"].to_numpy(), float(p["top"].max()))
+        x, n = p["x"].to_numpy(), p["n"].to_numpy(dtype=float)
+        found = fit_logistic(x, n, p["mean"].to_numpy(), float(p["top"].max()))
         return pd.DataFrame(
-            [(p[group].iloc[0], *found, int(n.sum()))],
-            columns=[group, "asym", "mid", "scale", "converged", "n"],
+            [(p[group].iloc[0], *found, int(n.sum()), x[0], x[-1])],
+            columns=[group, "asym", "mid", "scale", "converged", "n", "x_min", "x_max"],
         )
 
-    schema = f"{group} string, asym double, mid double, scale double, converged boolean, n bigint"
+    schema = (
+        f"{group} string, asym double, mid double, scale double, converged boolean, n bigint, "
+        "x_min double, x_max double"
+    )
     return reduced.groupBy(group).applyInPandas(fit, schema)
 
 
-def curve_points(fits: DataFrame, span: DataFrame, x: str, points: int, name: str) -> DataFrame:
-    """Fitted curves on an even grid between the ``low`` and ``high`` of the one-row ``span``."""
-    low, high = span.select("low").scalar(), span.select("high").scalar()
-    step = (high - low) / F.lit(float(points - 1))
-    grid = fits.withColumn("point", F.explode(F.sequence(F.lit(0), F.lit(points - 1))))
-    grid = grid.withColumn(x, low + F.col("point") * step)
+def curve_points(fits: DataFrame, group: str, base: str, x: str, points: int, name: str) -> DataFrame:
+    """Fitted curves on one even grid over the x range of the ``base`` group.
+
+    ``fits`` has one row a group, so the window that carries the base range to all groups is tiny.
+    """
+    everyone = Window.partitionBy(F.lit(0))
+    is_base = F.col(group) == base
+    low = F.max(F.when(is_base, F.col("x_min"))).over(everyone)
+    high = F.max(F.when(is_base, F.col("x_max"))).over(everyone)
+    ranged = fits.withColumns({"_low": low, "_step": (high - low) / F.lit(float(points - 1))})
+    grid = ranged.withColumn("point", F.explode(F.sequence(F.lit(0), F.lit(points - 1))))
+    grid = grid.withColumn(x, F.col("_low") + F.col("point") * F.col("_step"))
     curve = F.col("asym") / (1 + F.exp((F.col("mid") - F.col(x)) / F.col("scale")))
-    return grid.withColumn(name, curve)
+    return grid.withColumn(name, curve).drop("_low", "_step")
 
 
 def linear_trend(df: DataFrame, keys: Sequence[str], x: str, y: str) -> DataFrame:

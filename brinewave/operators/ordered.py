@@ -57,8 +57,9 @@ def blocked_running_total(
     order: Sequence[str],
     value: str,
     name: str,
+    total: str | None = None,
 ) -> DataFrame:
-    """Running total over raw rows.
+    """Running total over raw rows; ``total`` names a column for the whole total of the key.
 
     ``block`` columns must be a non-decreasing function of ``order`` within a key (for instance the
     date and a range of ids). Block totals are pre-aggregated and accumulated over the few blocks;
@@ -70,7 +71,12 @@ def blocked_running_total(
     starts = (
         df.groupBy(*keys, *block)
         .agg(F.sum(value).alias("_sum"))
-        .select(*keys, *block, F.coalesce(before, F.lit(0)).alias("_before"))
+        .select(
+            *keys,
+            *block,
+            F.coalesce(before, F.lit(0)).alias("_before"),
+            *([F.sum("_sum").over(Window.partitionBy(*keys)).alias(total)] if total else []),
+        )
     )
     inner = Window.partitionBy(*keys, *block).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     return (

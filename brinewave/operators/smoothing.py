@@ -45,18 +45,19 @@ def series_buckets(df: DataFrame, keys: Sequence[str], x: str, y: str, span: flo
     """
     daily = (
         df.filter(F.col(x).isNotNull() & F.col(y).isNotNull())
-        .groupBy(*keys, F.col(x).cast("double").alias("x"))
+        .groupBy(*keys, F.col(x).cast("double").alias("_x"))
         .agg(
-            F.count(F.lit(1)).cast("double").alias("n"),
-            F.sum(y).cast("double").alias("s"),
-            F.sum(F.col(y) * F.col(y)).cast("double").alias("ss"),
+            F.count(F.lit(1)).cast("double").alias("_n"),
+            F.sum(y).cast("double").alias("_s"),
+            F.sum(F.col(y) * F.col(y)).cast("double").alias("_ss"),
         )
     )
+    bucket = F.struct(*[F.col(f"_{c}").alias(c) for c in ("x", "n", "s", "ss")])
     one = daily.groupBy(*keys).agg(
-        F.sort_array(F.collect_list(F.struct("x", "n", "s", "ss"))).alias("buckets"),
-        F.sum("n").alias("size"),
-        F.min("x").alias("x_min"),
-        F.max("x").alias("x_max"),
+        F.sort_array(F.collect_list(bucket)).alias("buckets"),
+        F.sum("_n").alias("size"),
+        F.min("_x").alias("x_min"),
+        F.max("_x").alias("x_max"),
     )
     # floor(n * span) with the usual guard against representation error, never more than n
     q = F.least(F.floor(F.col("size") * span + 1e-5).cast("double"), F.col("size"))

@@ -37,6 +37,7 @@ from brinewave.operators.grouping import (
 from brinewave.operators.joins import members
 from brinewave.operators.reshape import bind, longer, longer_structs
 from brinewave.plans.survey import counted_by_seine, seine_attributes
+from brinewave.session import stage
 
 SALMON = ["SO", "PI", "CU"]
 LEP = "Lepeophtheirus salmonis"
@@ -72,6 +73,8 @@ LAB_ATTACHED_CAL = [
     "cal_chal_4_unid", "cal_chal_a_unid", "cal_chal_b_unid",
 ]
 MEASURES = ["total_lice", "copepodid", "chalimus", "motile", "motile_caligus", "motile_lep"]
+# the order hosts_examined takes them in
+ORIGINS = ["current_lice", "sealice_lab_fs", "lab_mots_ts", "sealice_field"]
 FISH_KEYS = ["survey_date", "seine_id", "species", "ufn"]
 
 
@@ -362,12 +365,26 @@ def hosts_examined(
 
 
 def all_sources(lab: DataFrame, current: DataFrame, field: DataFrame, series: DataFrame) -> DataFrame:
-    """The long table of all four sources.
+    """The long table of all four sources, staged in folders by origin.
 
-    It feeds hosts, abundance and prevalence: pass it through ``session.stage`` when more than one of
-    them is wanted.
+    It feeds the duplicate check, hosts, abundance and prevalence, so it is written once instead of
+    being computed four times. The field part still holds the fish the laboratory has too.
     """
-    return bind(lab, current.drop("year"), field, series)
+    return stage(bind(lab, current.drop("year"), field, series), "lice-long", ["origin"])
+
+
+def without_duplicates(sources: DataFrame) -> DataFrame:
+    """All sources, less the field rows of fish with cross-source duplicates."""
+    origin = F.col("origin")
+    twice = cross_source_duplicates(sources.filter(origin.isin("sealice_lab_fs", "sealice_field")))
+    field = sources.filter(origin == "sealice_field").join(twice, "ufn", "left_anti")
+    return bind(sources.filter(origin != "sealice_field"), field)
+
+
+def hosts_of_sources(long: DataFrame) -> DataFrame:
+    """Hosts examined, from the long table without duplicates."""
+    part = {o: long.filter(F.col("origin") == o) for o in ORIGINS}
+    return hosts_examined(*[part[o] for o in ORIGINS])
 
 
 def _stage_label(c: Column | str = "life_stage") -> Column:

@@ -61,10 +61,10 @@ def season_progress(ss: DataFrame, season: int) -> DataFrame:
     caught = caught.select("year", "survey_date", "survey_id", "seine_id", "so_total", "yday")
     caught = caught.withColumn("_block", id_block("survey_id"))
     summed = blocked_running_total(
-        caught, ["year"], ["survey_date", "_block"], ["survey_id", "seine_id"], "so_total", "_upto"
+        caught, ["year"], ["survey_date", "_block"], ["survey_id", "seine_id"], "so_total", "_upto", total="_total"
     )
-    total = caught.agg(F.sum("so_total")).scalar()
-    return summed.withColumn("percent", ratio("_upto", total) * 100).drop("_block", "_upto", "year", "survey_id")
+    percent = ratio("_upto", "_total") * 100
+    return summed.withColumn("percent", percent).drop("_block", "_upto", "_total", "year", "survey_id")
 
 
 def timing_points(ss: DataFrame, season: int) -> DataFrame:
@@ -83,8 +83,5 @@ def timing_fits(ss: DataFrame, season: int) -> DataFrame:
 
 def timing_curves(ss: DataFrame, season: int, points: int = 100) -> DataFrame:
     """Both fitted curves on an even grid over the days of the history."""
-    observed = timing_points(ss, season)
-    fits = logistic_fits(observed, "period", "yday", "percent")
-    past = observed.filter(F.col("period") == "predicted_percent")
-    span = past.agg(F.min("yday").cast("double").alias("low"), F.max("yday").cast("double").alias("high"))
-    return curve_points(fits, span, "yday", points, "predicted").select("period", "point", "yday", "predicted")
+    curves = curve_points(timing_fits(ss, season), "period", "predicted_percent", "yday", points, "predicted")
+    return curves.select("period", "point", "yday", "predicted")

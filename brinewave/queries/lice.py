@@ -2,7 +2,6 @@
 
 from brinewave.fixtures import SEASON
 from brinewave.functions.labels import SALMON_LABELS
-from brinewave.operators.joins import non_members
 from brinewave.plans import lice
 from brinewave.plans.survey import survey_seines
 from brinewave.queries.catch import SS, SURVEY, strict
@@ -231,15 +230,16 @@ DUPS = """dups AS (
                             GROUP BY ufn, louse_species, life_stage HAVING count(*) > 1) d)"""
 
 
-def sources(counts, lab, series, field, fish, alike, *s):
-    """The four long sources, the field one without the fish the laboratory also has."""
+def long_table(counts, lab, series, field, fish, alike, *s):
     ss = survey_seines(*s)
     catches = lice.catch_data(fish, ss)
-    in_lab = lice.lab_attached(lab, catches, alike)
-    in_field = lice.field_attached(field, catches, alike)
-    in_field = non_members(in_field, lice.cross_source_duplicates(in_lab, in_field), ["ufn"])
-    now = lice.current_lice(counts, fish, ss, SEASON, salmon_only=False)
-    return now, in_lab, lice.motile_series(series, catches), in_field
+    everything = lice.all_sources(
+        lice.lab_attached(lab, catches, alike),
+        lice.current_lice(counts, fish, ss, SEASON, salmon_only=False),
+        lice.field_attached(field, catches, alike),
+        lice.motile_series(series, catches),
+    )
+    return lice.without_duplicates(everything)
 
 
 query(
@@ -281,7 +281,7 @@ ALL_CTES = [
   UNION ALL SELECT species, year, 'motile', CAST(sum(m) AS BIGINT) FROM host_counts GROUP BY ALL)""",
 ]
 query("q38_hosts_examined", ALL_VIEWS, "SELECT * FROM hosts", extra=ALL_CTES, integers=["n_hosts"])(
-    lambda *v: lice.hosts_examined(*sources(*v))
+    lambda *v: lice.hosts_of_sources(long_table(*v))
 )
 SHOWN = " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in SALMON_LABELS.items())
 ORDER = " ".join(f"WHEN '{k}' THEN {i + 1}" for i, k in enumerate(SALMON_LABELS))
@@ -304,9 +304,8 @@ STAGE = "CASE life_stage WHEN 'motile' THEN 'Motile' ELSE 'Attached' END AS life
     integers=["species_order"],
 )
 def yearly_abundance(*v):
-    now, lab, series, field = sources(*v)
-    hosts = lice.hosts_examined(now, lab, series, field)
-    return lice.yearly_abundance(lice.all_sources(lab, now, field, series), hosts)
+    long = long_table(*v)
+    return lice.yearly_abundance(long, lice.hosts_of_sources(long))
 
 
 @query(
@@ -328,5 +327,4 @@ def yearly_abundance(*v):
     integers=["species_order"],
 )
 def yearly_prevalence(*v):
-    now, lab, series, field = sources(*v)
-    return lice.yearly_prevalence(lice.all_sources(lab, now, field, series))
+    return lice.yearly_prevalence(long_table(*v))

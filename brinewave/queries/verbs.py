@@ -394,15 +394,13 @@ def daily_temperature(ctd):
 query(
     "w02_running_total",
     ["ctd"],
-    """SELECT station, date, sum(mean_temp) OVER (PARTITION BY station, year ORDER BY date ROWS UNBOUNDED PRECEDING)
-       AS degree_days FROM daily""",
-    extra=(DAILY,),
-    doubles=["degree_days"],
-    digits=6,
+    """SELECT date, CAST(sum(n) OVER (PARTITION BY year(date) ORDER BY date ROWS UNBOUNDED PRECEDING) AS BIGINT) AS readings
+       FROM (SELECT date, count(*) AS n FROM ctd GROUP BY date) d""",
 )(
-    lambda ctd: daily_temperature(ctd).select(
-        "station", "date", ordered.running_total("mean_temp", ["station", "year"], ["date"]).alias("degree_days")
-    )
+    lambda ctd: ctd.groupBy("date")
+    .agg(nulls.rows().alias("n"))
+    .withColumn("year", F.year("date"))
+    .select("date", ordered.running_total("n", ["year"], ["date"]).alias("readings"))
 )
 query(
     "w06_next_row_change",

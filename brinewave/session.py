@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -50,13 +51,13 @@ def shared_folder(spark: SparkSession) -> str:
     return named
 
 
-def stage(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` to the shared folder and read it back.
+def stage(df: DataFrame, name: str, by: Sequence[str] = ()) -> DataFrame:
+    """Write ``df`` to the shared folder (in folders of the ``by`` columns) and read it back.
 
     The written table cuts the lineage and survives the loss of executors, so a result that feeds
     several products is computed once.
     """
     spark = df.sparkSession
     path = f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.partitionBy(*by).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
