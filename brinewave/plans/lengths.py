@@ -87,9 +87,10 @@ def length_against_curve(fish: DataFrame, ss: DataFrame, season: int, species: s
     """
     one = field_lengths(fish).filter(F.col("species") == species)
     placed = fish_with_survey(one, ss, ["region", "year", "yday"]).filter(F.col("region") == region)
-    lengths = placed.select("ufn", "year", "yday", "fork_length").dropna(subset=["fork_length"])
-    past = lengths.filter(F.col("year") < season).withColumn("series", F.lit(species))
-    curve = predict_observed(past, ["series"], "yday", "fork_length", 1.0, "loess_annual")
-    curve = curve.select(F.col("yday").cast("int").alias("yday"), "loess_annual")
+    lengths = placed.select("ufn", "species", "year", "yday", "fork_length").dropna(subset=["fork_length"])
+    past = lengths.filter(F.col("year") < season)
+    curve = predict_observed(past, ["species"], "yday", "fork_length", 1.0, "loess_annual")
+    curve = curve.select("species", F.col("yday").cast("int").alias("yday"), "loess_annual")
     current = lengths.filter(F.col("year") == season).drop("year")
-    return curve_against_observed(current, curve, "fork_length", "loess_annual")
+    labelled = curve_against_observed(current, curve, ["species", "yday"], "fork_length", "loess_annual")
+    return labelled.drop("species")

@@ -163,9 +163,11 @@ def secchi_since(secchi: DataFrame, year: int) -> DataFrame:
     return secchi.filter(F.year("date") > year)
 
 
-def curve_against_observed(observed: DataFrame, curve: DataFrame, value: str, fitted: str) -> DataFrame:
-    """Attach a curve value by day of year and label each row lower or higher."""
-    joined = observed.join(curve, "yday", "left").dropna(subset=[fitted])
+def curve_against_observed(
+    observed: DataFrame, curve: DataFrame, keys: Sequence[str], value: str, fitted: str
+) -> DataFrame:
+    """Attach a curve value by key and label each row lower or higher; days without a curve drop out."""
+    joined = observed.join(curve, list(keys), "left").dropna(subset=[fitted])
     side = F.when(F.col(value) < F.col(fitted), "lower").when(F.col(value) >= F.col(fitted), "higher")
     return joined.withColumn("higher_or_lower", side)
 

@@ -42,13 +42,23 @@ def local_session(cpus: int | str = 8, memory: str = "8g") -> SparkSession:
     return tune(spark)
 
 
+_OWN_FOLDER: list[str] = []
+
+
 def shared_folder(spark: SparkSession) -> str:
-    """The folder named in ``spark.checkpoint.dir``; a fresh local one only where that is unset."""
+    """The folder named in ``spark.checkpoint.dir``.
+
+    Where that is unset, a local session gets a fresh folder of its own; on a cluster there is no
+    safe guess, since a machine-local folder is not seen by the other executors.
+    """
     named = spark.conf.get("spark.checkpoint.dir", None)
-    if not named:
-        named = tempfile.mkdtemp(prefix="brinewave-")
-        spark.conf.set("spark.checkpoint.dir", named)
-    return named
+    if named:
+        return named
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder all executors share")
+    if not _OWN_FOLDER:
+        _OWN_FOLDER.append(tempfile.mkdtemp(prefix="brinewave-"))
+    return _OWN_FOLDER[0]
 
 
 def stage(df: DataFrame, name: str, by: Sequence[str] = ()) -> DataFrame:

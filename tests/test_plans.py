@@ -133,12 +133,27 @@ def test_lower_surface_and_sides(spark):
     assert got == [(0.5, "below"), (1.0, "above"), (1.0, "below"), (2.0, "above")]
 
 
-def test_stage_survives_and_uses_the_named_folder(spark, tmp_path):
-    before = spark.conf.get("spark.checkpoint.dir", None)
-    try:
-        spark.conf.set("spark.checkpoint.dir", str(tmp_path))
-        out = session.stage(spark.range(5).withColumn("k", F.col("id") % 2), "part", ["k"])
-        assert sorted(tuple(r) for r in out.collect()) == [(0, 0), (1, 1), (2, 0), (3, 1), (4, 0)]
-        assert [p.name.startswith("part-") for p in tmp_path.iterdir()] == [True]
-    finally:
-        spark.conf.set("spark.checkpoint.dir", before) if before else spark.conf.unset("spark.checkpoint.dir")
+def test_stage_writes_below_the_named_folder(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(session, "shared_folder", lambda spark: str(tmp_path))
+    out = session.stage(spark.range(5).withColumn("k", F.col("id") % 2), "part", ["k"])
+    assert sorted(tuple(r) for r in out.collect()) == [(0, 0), (1, 1), (2, 0), (3, 1), (4, 0)]
+    assert [p.name.startswith("part-") for p in tmp_path.iterdir()] == [True]
+
+
+class Session:
+    """Stands for a session with a given setting and master."""
+
+    def __init__(self, named, master):
+        self.conf = self
+        self.sparkContext = self
+        self.named, self.master = named, master
+
+    def get(self, key, default=None):
+        return self.named if key == "spark.checkpoint.dir" else default
+
+
+def test_shared_folder_reads_the_setting():
+    assert session.shared_folder(Session("s3a://team/shared", "yarn")) == "s3a://team/shared"
+    assert session.shared_folder(Session(None, "local[2]")) == session.shared_folder(Session(None, "local[2]"))
+    with pytest.raises(ValueError, match="share"):
+        session.shared_folder(Session(None, "yarn"))
