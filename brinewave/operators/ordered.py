@@ -50,6 +50,28 @@ def next_row(column: Column | str, keys: Sequence[str], order: Sequence[str]) ->
     return F.lead(as_col(column)).over(Window.partitionBy(*keys).orderBy(*order))
 
 
+def _block_starts(blocks: DataFrame, keys: list[str], block: list[str], total: str | None) -> DataFrame:
+    """Sum before each block, built level by level.
+
+    At each level a window only spans the children of one parent (the days of a season, then the id
+    ranges of a day), never all blocks of a key.
+    """
+    starts = None
+    for depth, column in enumerate(block):
+        parent = [*keys, *block[:depth]]
+        level = blocks.groupBy(*parent, column).agg(F.sum("_sum").alias("_level"))
+        siblings = Window.partitionBy(*parent).orderBy(column).rowsBetween(Window.unboundedPreceding, -1)
+        offset = F.coalesce(F.sum("_level").over(siblings), F.lit(0))
+        if starts is None:
+            whole = [F.sum("_level").over(Window.partitionBy(*keys)).alias(total)] if total else []
+            starts = level.select(*parent, column, offset.alias("_before"), *whole)
+        else:
+            finer = level.select(*parent, column, offset.alias("_inner"))
+            joined = null_safe_join(finer, starts, parent, "inner")
+            starts = joined.withColumn("_before", F.col("_before") + F.col("_inner")).drop("_inner")
+    return starts
+
+
 def blocked_running_total(
     df: DataFrame,
     keys: Sequence[str],
@@ -61,23 +83,12 @@ def blocked_running_total(
 ) -> DataFrame:
     """Running total over raw rows; ``total`` names a column for the whole total of the key.
 
-    ``block`` columns must be a non-decreasing function of ``order`` within a key (for instance the
-    date and a range of ids). Block totals are pre-aggregated and accumulated over the few blocks;
-    each row then only needs the running total inside its own block.
+    ``block`` columns, taken in turn, must be a non-decreasing function of ``order`` within a key
+    (for instance the date and a range of ids). Block totals are pre-aggregated and accumulated by
+    level; each row then only needs the running total inside its own block.
     """
     keys, block = list(keys), list(block)
-    w_blocks = Window.partitionBy(*keys).orderBy(*block)
-    before = F.sum("_sum").over(w_blocks.rowsBetween(Window.unboundedPreceding, -1))
-    starts = (
-        df.groupBy(*keys, *block)
-        .agg(F.sum(value).alias("_sum"))
-        .select(
-            *keys,
-            *block,
-            F.coalesce(before, F.lit(0)).alias("_before"),
-            *([F.sum("_sum").over(Window.partitionBy(*keys)).alias(total)] if total else []),
-        )
-    )
+    starts = _block_starts(df.groupBy(*keys, *block).agg(F.sum(value).alias("_sum")), keys, block, total)
     inner = Window.partitionBy(*keys, *block).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     return (
         null_safe_join(df, starts, [*keys, *block], "inner")

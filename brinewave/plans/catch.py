@@ -26,6 +26,7 @@ INTENSITY_SPECIES = ["Sockeye", "Pink", "Chum"]
 
 
 def id_block(column: str):
+    """Range of ids: at most ``ID_BLOCK`` rows of a unique id share one."""
     return F.floor(F.col(column) / F.lit(ID_BLOCK))
 
 
@@ -117,14 +118,16 @@ def rolling_catch(ss: DataFrame, season: int, reference_year: int | None = None)
     The season part is raw seines and may be long: its windows are blocked. The other part is one row
     a day of the year. The mean does not run across the two groups.
     """
+    # a survey without a seine takes its own id as place within the day
     season_rows = (
         ss.filter(F.col("year") == season)
         .select(F.col("survey_date").alias("date"), "seine_id", "survey_id", "so_total")
-        .withColumns({"group": F.lit(str(season)), "_block": id_block("survey_id")})
+        .withColumns({"group": F.lit(str(season)), "_place": F.coalesce("seine_id", "survey_id")})
+        .withColumn("_block", id_block("_place"))
     )
     current = blocked_centred_mean(
-        season_rows, ["group"], ["date", "_block"], ["survey_id", "seine_id"], "so_total", "seven_avg"
-    ).drop("_block", "seine_id", "survey_id")
+        season_rows, ["group"], ["date", "_block"], ["_place", "seine_id"], "so_total", "seven_avg"
+    ).drop("_block", "_place", "seine_id", "survey_id")
     daily = means(ss, ["survey_date"], {"so_total": "so_total"}, strict=True)
     moved = daily.select(in_year("survey_date", reference_year or season).alias("date"), "so_total")
     average = means(moved, ["date"], {"so_total": "so_total"}, strict=True).withColumn("group", F.lit("all years"))

@@ -58,13 +58,13 @@ def migration_timing(catches: DataFrame) -> DataFrame:
 def season_progress(ss: DataFrame, season: int) -> DataFrame:
     """Cumulative percent of one season's raw catches, in date and seine order, blocked."""
     caught = ss.filter((F.col("year") == season) & (F.col("so_total") > 0))
-    caught = caught.select("year", "survey_date", "survey_id", "seine_id", "so_total", "yday")
-    caught = caught.withColumn("_block", id_block("survey_id"))
+    caught = caught.select("year", "survey_date", "seine_id", "so_total", "yday")
+    caught = caught.withColumn("_block", id_block("seine_id"))
     summed = blocked_running_total(
-        caught, ["year"], ["survey_date", "_block"], ["survey_id", "seine_id"], "so_total", "_upto", total="_total"
+        caught, ["year"], ["survey_date", "_block"], ["seine_id"], "so_total", "_upto", total="_total"
     )
     percent = ratio("_upto", "_total") * 100
-    return summed.withColumn("percent", percent).drop("_block", "_upto", "_total", "year", "survey_id")
+    return summed.withColumn("percent", percent).drop("_block", "_upto", "_total", "year")
 
 
 def timing_points(ss: DataFrame, season: int) -> DataFrame:

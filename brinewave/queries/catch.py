@@ -166,7 +166,7 @@ ss_query(
 
 PROGRESS = f"""
 SELECT survey_date, seine_id, so_total, yday,
-       100 * CAST(sum(so_total) OVER (ORDER BY survey_date, survey_id, seine_id ROWS UNBOUNDED PRECEDING) AS DOUBLE)
+       100 * CAST(sum(so_total) OVER (ORDER BY survey_date, seine_id ROWS UNBOUNDED PRECEDING) AS DOUBLE)
            / CAST(sum(so_total) OVER () AS DOUBLE) AS percent
 FROM ss WHERE year = {SEASON} AND so_total > 0"""
 ss_query("q18_season_progress", PROGRESS, doubles=["percent"])(on_ss(timing.season_progress, SEASON))
@@ -188,7 +188,8 @@ ss_query(
     f"""SELECT survey_date AS date, CAST(so_total AS DOUBLE) AS so_total, '{SEASON}' AS "group",
                CASE WHEN count(so_total) OVER w = 5 THEN avg(so_total) OVER w END AS seven_avg
         FROM ss WHERE year = {SEASON}
-        WINDOW w AS (ORDER BY survey_date, survey_id, seine_id ROWS BETWEEN 2 PRECEDING AND 2 FOLLOWING)
+        WINDOW w AS (ORDER BY survey_date, coalesce(seine_id, survey_id), seine_id NULLS FIRST
+                     ROWS BETWEEN 2 PRECEDING AND 2 FOLLOWING)
         UNION ALL
         SELECT date, so_total, 'all years', CASE WHEN count(so_total) OVER v = 5 THEN avg(so_total) OVER v END
         FROM (SELECT date, {strict("avg", "so_total")} AS so_total FROM (

@@ -467,18 +467,18 @@ query(
 )
 ss_query(
     "w01_blocked_running_total",
-    f"""SELECT seine_id, CAST(sum(he_total) OVER (PARTITION BY year ORDER BY survey_date, survey_id, seine_id
+    f"""SELECT seine_id, CAST(sum(he_total) OVER (PARTITION BY year ORDER BY survey_date, seine_id
                                                   ROWS UNBOUNDED PRECEDING) AS BIGINT) AS herring
         FROM ss WHERE seine_id IS NOT NULL AND year <= {SEASON}""",
 )(
     on_ss(
         lambda ss: ordered.blocked_running_total(
             ss.filter("seine_id IS NOT NULL")
-            .select("year", "survey_date", "survey_id", "seine_id", "he_total")
-            .withColumn("_block", F.floor(F.col("survey_id") / F.lit(1000))),
+            .select("year", "survey_date", "seine_id", "he_total")
+            .withColumn("_block", F.floor(F.col("seine_id") / F.lit(10_000))),
             ["year"],
             ["survey_date", "_block"],
-            ["survey_id", "seine_id"],
+            ["seine_id"],
             "he_total",
             "herring",
         ).select("seine_id", "herring")
