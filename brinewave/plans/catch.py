@@ -10,7 +10,7 @@ from pyspark.sql.types import NumericType, StringType
 
 from brinewave.functions.dates import in_year
 from brinewave.functions.labels import CATCH_LABELS, position, recode
-from brinewave.functions.nulls import not_in, rows, standard_error, strict_mean, strict_sd
+from brinewave.functions.nulls import complete, not_in, rows, standard_error
 from brinewave.functions.numeric import half_even, with_t_quantile
 from brinewave.operators.columns import change_numeric, rename
 from brinewave.operators.grouping import mean_sd_se, means, share_within, uncounted
@@ -59,7 +59,7 @@ def weekly_catch(ss: DataFrame, keys: Sequence[str] = ("year", "region", "sampli
     out = ss.groupBy(*keys).agg(
         F.avg("so_total").alias("mean"), rows().alias("n"), standard_error("so_total", strict=True).alias("se")
     )
-    return out.dropna(subset=["year"])
+    return complete(out, ["year"])
 
 
 def weekly_cpue(ss: DataFrame) -> DataFrame:
@@ -102,7 +102,7 @@ def cumulative_abundance(
     if missing == "zero":
         base = filled(base)
     elif missing == "drop":
-        base = base.dropna("any")
+        base = complete(base)
     daily = means(base, [*keys, "survey_date"], {t: t for t in totals}, strict=True)
     cumulated = daily.select(
         *keys,
@@ -160,7 +160,7 @@ def proportion_counts(ss: DataFrame, totals: Sequence[str] = tuple(TOTALS)) -> D
 
     The reference repeats a row for every fish and counts rows; the sum is that count.
     """
-    base = ss.select("survey_date", "seine_id", *totals).filter("so_total > 0").dropna("any")
+    base = complete(ss.select("survey_date", "seine_id", *totals).filter("so_total > 0"))
     long = longer(base.withColumn("year", F.year("survey_date")), list(totals), "species", "n")
     return share_within(uncounted(long, ["year", "species"], "n"), ["year"], "n", "proportion")
 

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from brinewave.functions.labels import SALMON_LABELS, recode, sampling_week_position
-from brinewave.functions.nulls import rows
+from brinewave.functions.nulls import complete, rows
 from brinewave.operators.bins import box_outliers, box_statistics, density_histogram, histogram
 from brinewave.operators.reshape import bind
 from brinewave.operators.smoothing import predict_observed
@@ -87,7 +87,7 @@ def length_against_curve(fish: DataFrame, ss: DataFrame, season: int, species: s
     """
     one = field_lengths(fish).filter(F.col("species") == species)
     placed = fish_with_survey(one, ss, ["region", "year", "yday"]).filter(F.col("region") == region)
-    lengths = placed.select("ufn", "species", "year", "yday", "fork_length").dropna(subset=["fork_length"])
+    lengths = complete(placed.select("ufn", "species", "year", "yday", "fork_length"), ["fork_length"])
     past = lengths.filter(F.col("year") < season)
     curve = predict_observed(past, ["species"], "yday", "fork_length", 1.0, "loess_annual")
     curve = curve.select("species", F.col("yday").cast("int").alias("yday"), "loess_annual")

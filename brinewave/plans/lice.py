@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from brinewave.functions.labels import PRESENCE_LABELS, SALMON_LABELS, position, recode
 from brinewave.functions.nulls import (
     as_col,
+    complete,
     ratio,
     row_sum,
     row_sum_present,
@@ -106,7 +107,7 @@ def _weekly_parts(
     placed = [k for k in keys if k not in own]
     small = counted_by_seine(totals, ss, own, placed, [rows().alias("n"), *moment_parts(columns)])
     if drop_unplaced:
-        small = small.dropna(subset=["region"])
+        small = complete(small, ["region"])
     return small.groupBy(*keys).agg(F.sum("n").alias("n"), *merged_parts(list(columns)))
 
 
@@ -165,7 +166,7 @@ def weekly_prevalence(totals: DataFrame, ss: DataFrame, least: int = 3, drop_unp
     tallies = [rows().alias("n_examined"), *[F.count_if(c).alias(n) for n, c in counts.items()]]
     small = counted_by_seine(totals, ss, ["species"], ["region", "sampling_week"], tallies)
     if drop_unplaced:
-        small = small.dropna(subset=["region"])
+        small = complete(small, ["region"])
     names = ["n_examined", *counts]
     groups = small.groupBy(*keys).agg(*[F.sum(n).alias(n) for n in names]).filter(F.col("n_examined") >= least)
     return longer(groups, list(counts), "lice_spp", "n_infected").withColumn(
@@ -246,8 +247,8 @@ def current_lice(
 ) -> DataFrame:
     """This season's field counts, long, with unidentified chalimus split by species."""
     places = seine_attributes(ss.filter(F.col("year") == season), ["survey_date"])
-    hosts = fish.dropna(subset=["ufn"]).select("ufn", "seine_id", "species").join(places, "seine_id")
-    joined = lice.join(hosts, ["ufn", "seine_id"], "right").select(*FISH_KEYS, *CURRENT_COUNTS).dropna("any")
+    hosts = complete(fish, ["ufn"]).select("ufn", "seine_id", "species").join(places, "seine_id")
+    joined = complete(lice.join(hosts, ["ufn", "seine_id"], "right").select(*FISH_KEYS, *CURRENT_COUNTS))
     sums = joined.withColumns(
         {
             "leps": row_sum(["lep_cope", "lam", "laf", "lgf"]),
@@ -269,7 +270,7 @@ def current_lice(
 def catch_data(fish: DataFrame, ss: DataFrame) -> DataFrame:
     """One row a fish with its survey date and site."""
     places = seine_attributes(ss, ["survey_date", "site_id", "region"])
-    return fish.dropna(subset=["ufn"]).select("ufn", "seine_id", "species").join(places, "seine_id", "left")
+    return complete(fish, ["ufn"]).select("ufn", "seine_id", "species").join(places, "seine_id", "left")
 
 
 def _comparable(lice: DataFrame, catches: DataFrame, sites: DataFrame) -> DataFrame:
@@ -283,7 +284,7 @@ def lab_attached(lab: DataFrame, catches: DataFrame, sites: DataFrame) -> DataFr
     leps = [c for c in LAB_ATTACHED_LEP if c in lab.columns]
     cals = [c for c in LAB_ATTACHED_CAL if c in lab.columns]
     cells = {(LEP, "attached"): row_sum_present(leps), (CAL, "attached"): row_sum_present(cals)}
-    return _per_fish(_comparable(lab, catches, sites), cells, "sealice_lab_fs").dropna(subset=["count"])
+    return complete(_per_fish(_comparable(lab, catches, sites), cells, "sealice_lab_fs"), ["count"])
 
 
 def motile_series(series: DataFrame, catches: DataFrame) -> DataFrame:
@@ -319,7 +320,7 @@ def field_attached(field: DataFrame, catches: DataFrame, sites: DataFrame, ratio
         (LEP, "attached"): row_sum_present(["lep_cope_field", "inferred_leps"]),
         (CAL, "attached"): row_sum_present(["cal_cope_field", "inferred_cal"]),
     }
-    return _per_fish(split, cells, "sealice_field").dropna(subset=["count"])
+    return complete(_per_fish(split, cells, "sealice_field"), ["count"])
 
 
 def cross_source_duplicates(*sources: DataFrame) -> DataFrame:
@@ -402,7 +403,7 @@ def yearly_abundance(long: DataFrame, hosts: DataFrame, least: int = 3) -> DataF
     Lice rows are aggregated before the few host counts are joined.
     """
     keys = ["year", "species", "louse_species", "life_stage"]
-    base = long.filter(F.col("species") != "CO").dropna(subset=["count"])
+    base = complete(long.filter(F.col("species") != "CO"), ["count"])
     base = base.withColumn("year", F.year("survey_date"))
     stats = base.groupBy(*keys).agg(F.avg("count").alias("mean_abundance"), F.stddev_samp("count").alias("sd"))
     joined = stats.join(hosts, ["species", "year", "life_stage"], "left").filter(F.col("n_hosts") >= least)

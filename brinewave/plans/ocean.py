@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from brinewave.functions.nulls import strict_mean
+from brinewave.functions.nulls import complete, strict_mean
 from brinewave.functions.numeric import t_quantile_large
 from brinewave.operators.grouping import means
 from brinewave.operators.joins import members
@@ -69,7 +69,7 @@ def anomaly(average: DataFrame, this_year: DataFrame, span: float = SPAN, surfac
     side = F.when(F.col("mean_temp") > F.col("predicted_mean_temp"), "pos").when(
         F.col("mean_temp") <= F.col("predicted_mean_temp"), "neg"
     )
-    observed = fitted.withColumn("diff", side).dropna(subset=["diff"])
+    observed = complete(fitted.withColumn("diff", side), ["diff"])
     crossed = with_crossing_midpoints(
         observed, ["station"], "yday", "diff", ["predicted_mean_temp"], {"mean_temp": "predicted_mean_temp"}
     )
@@ -118,7 +118,7 @@ def corridor_means(
     reduced = top_layer(ctd).groupBy(*key).agg(*parts)
     located = casts.join(surveys.select("survey_id", "survey_date", "site_id"), "survey_id", "left")
     located = located.join(sites.select("site_id", "zone"), "site_id", "left")
-    joined = reduced.join(located, key, "left").dropna(subset=["site_id"])
+    joined = complete(reduced.join(located, key, "left"), ["site_id"])
     joined = joined.filter(~F.col("site_id").isin(*excluded_sites))
 
     def mean(c: str):
@@ -152,7 +152,7 @@ def chlorophyll_means(chl: DataFrame, sites: DataFrame, first_date: str) -> Data
         & (F.col("line_out_depth") <= TOP_METRES)
         & (F.col("date") > F.lit(first_date).cast("date"))
     )
-    return means(members(base, sites, ["site_id"]), ["date", "site_id"], {"chl_a_avg": "chla"}, strict=True).dropna()
+    return complete(means(members(base, sites, ["site_id"]), ["date", "site_id"], {"chl_a_avg": "chla"}, strict=True))
 
 
 def surface_temperature(probe: DataFrame) -> DataFrame:
@@ -167,7 +167,7 @@ def curve_against_observed(
     observed: DataFrame, curve: DataFrame, keys: Sequence[str], value: str, fitted: str
 ) -> DataFrame:
     """Attach a curve value by key and label each row lower or higher; days without a curve drop out."""
-    joined = observed.join(curve, list(keys), "left").dropna(subset=[fitted])
+    joined = complete(observed.join(curve, list(keys), "left"), [fitted])
     side = F.when(F.col(value) < F.col(fitted), "lower").when(F.col(value) >= F.col(fitted), "higher")
     return joined.withColumn("higher_or_lower", side)
 

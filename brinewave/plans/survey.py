@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from brinewave.functions.dates import sampling_week
 from brinewave.functions.labels import sampling_week_label
+from brinewave.functions.nulls import complete
 from brinewave.operators.joins import lookup_join, null_safe_join
 
 TOTALS = ["so_total", "pi_total", "cu_total", "co_total", "he_total", "ck_total"]
@@ -21,7 +22,7 @@ TOTALS = ["so_total", "pi_total", "cu_total", "co_total", "he_total", "ck_total"
 
 def survey_seines(surveys: DataFrame, seines: DataFrame, sites: DataFrame) -> DataFrame:
     """Surveys with their seines (surveys without a seine kept), site attributes, year and week."""
-    joined = surveys.dropna(subset=["survey_id"]).join(seines.dropna(subset=["seine_id"]), "survey_id", "left")
+    joined = complete(surveys, ["survey_id"]).join(complete(seines, ["seine_id"]), "survey_id", "left")
     joined = lookup_join(joined, sites, "site_id", ["site_name", "region", "zone"])
     week = sampling_week("survey_date")
     return joined.withColumns(
@@ -36,12 +37,12 @@ def survey_seines(surveys: DataFrame, seines: DataFrame, sites: DataFrame) -> Da
 
 def seine_attributes(ss: DataFrame, columns: Sequence[str]) -> DataFrame:
     """The seine-level columns to attach to fish; seine_id is unique here."""
-    return ss.dropna(subset=["seine_id"]).select("seine_id", *columns)
+    return complete(ss, ["seine_id"]).select("seine_id", *columns)
 
 
 def fish_with_survey(fish: DataFrame, ss: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Fish with survey attributes; fish of unknown seines are kept with nulls."""
-    return fish.dropna(subset=["ufn"]).join(seine_attributes(ss, columns), "seine_id", "left")
+    return complete(fish, ["ufn"]).join(seine_attributes(ss, columns), "seine_id", "left")
 
 
 def counted_by_seine(

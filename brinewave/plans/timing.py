@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from brinewave.functions.dates import between_open, iso_week
-from brinewave.functions.nulls import ratio, strict_mean
+from brinewave.functions.nulls import complete, ratio, strict_mean
 from brinewave.functions.numeric import half_even
 from brinewave.operators.grouping import duplicated_groups, first_per_key, means
 from brinewave.operators.growth import curve_points, logistic_fits
@@ -37,7 +37,7 @@ def corrected_catch(ss: DataFrame, season: int, region: str = "DI") -> DataFrame
     """Sockeye catches with double effort replaced by one averaged record a site and week."""
     double = double_effort(ss, season)
     single = non_members(ss, double, ["survey_id"]).filter(F.col("region") == region)
-    single = single.select("survey_date", "so_total").dropna().filter("so_total > 0")
+    single = complete(single.select("survey_date", "so_total")).filter("so_total > 0")
     averaged = first_per_key(double, ["site_id", "week"], ["survey_date", "survey_id"])
     both = bind(single, averaged.select("survey_date", "so_total"))
     return both.withColumns({"year": F.year("survey_date"), "yday": F.dayofyear("survey_date")})
@@ -45,7 +45,7 @@ def corrected_catch(ss: DataFrame, season: int, region: str = "DI") -> DataFrame
 
 def migration_timing(catches: DataFrame) -> DataFrame:
     """Daily mean catch with its share and the cumulative percent within each year."""
-    daily = means(catches.dropna(subset=["so_total"]), ["year", "survey_date"], {"so_total": "so_total"})
+    daily = means(complete(catches, ["so_total"]), ["year", "survey_date"], {"so_total": "so_total"})
     return daily.withColumns(
         {
             "percent": cumulative_percent("so_total", ["year"], ["survey_date"]),

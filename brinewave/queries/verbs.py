@@ -115,10 +115,10 @@ query(
     "SELECT survey_id, site_id FROM surveys WHERE site_id IS NULL OR site_id NOT IN (3, 5, 8)",
 )(lambda surveys: surveys.filter(nulls.not_in("site_id", [3, 5, 8])).select("survey_id", "site_id"))
 query("f04_drop_missing_in_columns", ["seines"], "SELECT * FROM seines WHERE so_total IS NOT NULL")(
-    lambda seines: seines.dropna(subset=["so_total"])
+    lambda seines: nulls.complete(seines, ["so_total"])
 )
 query("f05_drop_any_missing", ["seines"], "SELECT * FROM seines WHERE so_total IS NOT NULL AND cu_total IS NOT NULL")(
-    lambda seines: seines.dropna("any")
+    lambda seines: nulls.complete(seines)
 )
 query("f06_text_sentinel", ["fish"], "SELECT ufn FROM fish WHERE fork_length_field <> 'NA'")(
     lambda fish: fish.filter(F.col("fork_length_field") != "NA").select("ufn")
@@ -341,7 +341,7 @@ ss_query(
 query(
     "a12_group_ratio_on_rows",
     ["lice", "fish"],
-    """SELECT ufn, species, sum(lam) OVER w / CAST(sum(cam) OVER w AS DOUBLE) AS ratio
+    """SELECT ufn, species, sum(lam) OVER w / nullif(CAST(sum(cam) OVER w AS DOUBLE), 0) AS ratio
        FROM lice JOIN fish USING (ufn) WINDOW w AS (PARTITION BY species)""",
     doubles=["ratio"],
 )(
