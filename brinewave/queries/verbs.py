@@ -7,8 +7,8 @@ from brinewave.functions import dates, labels, nulls, numeric
 from brinewave.operators import bins, columns, grouping, growth, joins, ordered, reshape
 from brinewave.plans import lice
 from brinewave.plans.catch import filled
-from brinewave.plans.survey import star, survey_seines
-from brinewave.queries.catch import SS, SURVEY, T_VALUES, WEEK_CASE, on_ss, ss_query, strict
+from brinewave.plans.survey import star
+from brinewave.queries.catch import T_VALUES, WEEK_CASE, on_ss, ss_query, strict
 from brinewave.queries.registry import query
 
 TOTALS = ["so_total", "pi_total", "cu_total", "co_total", "he_total", "ck_total"]
