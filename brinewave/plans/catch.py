@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType, StringType
 
@@ -25,9 +25,17 @@ ID_BLOCK = 1_000_000  # ids per block when a long series is cut up
 INTENSITY_SPECIES = ["Sockeye", "Pink", "Chum"]
 
 
-def id_block(column: str):
-    """Range of ids: at most ``ID_BLOCK`` rows of a unique id share one."""
-    return F.floor(F.col(column) / F.lit(ID_BLOCK))
+def with_place(df: DataFrame, unique_id: Column) -> DataFrame:
+    """Add ``_place``, the order of rows within a day, and ``_block``, a coarse range of places.
+
+    Number ids keep their order, and at most ``ID_BLOCK`` rows share a block. Text ids are put in
+    the order of their hash, which is stable and spreads evenly over 65,536 blocks.
+    """
+    placed = df.withColumn("_place", unique_id)
+    if isinstance(placed.schema["_place"].dataType, NumericType):
+        return placed.withColumn("_block", F.floor(F.col("_place") / F.lit(ID_BLOCK)))
+    placed = placed.withColumn("_place", F.xxhash64("_place"))
+    return placed.withColumn("_block", F.shiftright("_place", 48))
 
 
 def filled(df: DataFrame) -> DataFrame:
@@ -122,9 +130,9 @@ def rolling_catch(ss: DataFrame, season: int, reference_year: int | None = None)
     season_rows = (
         ss.filter(F.col("year") == season)
         .select(F.col("survey_date").alias("date"), "seine_id", "survey_id", "so_total")
-        .withColumns({"group": F.lit(str(season)), "_place": F.coalesce("seine_id", "survey_id")})
-        .withColumn("_block", id_block("_place"))
+        .withColumn("group", F.lit(str(season)))
     )
+    season_rows = with_place(season_rows, F.coalesce("seine_id", "survey_id"))
     current = blocked_centred_mean(
         season_rows, ["group"], ["date", "_block"], ["_place", "seine_id"], "so_total", "seven_avg"
     ).drop("_block", "_place", "seine_id", "survey_id")

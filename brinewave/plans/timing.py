@@ -13,7 +13,7 @@ from brinewave.operators.growth import curve_points, logistic_fits
 from brinewave.operators.joins import non_members, null_safe_join
 from brinewave.operators.ordered import blocked_running_total, cumulative_percent, share_of_total
 from brinewave.operators.reshape import bind
-from brinewave.plans.catch import id_block
+from brinewave.plans.catch import with_place
 
 AVERAGED = ["so_total", "pi_total", "cu_total", "co_total", "he_total"]
 
@@ -59,12 +59,12 @@ def season_progress(ss: DataFrame, season: int) -> DataFrame:
     """Cumulative percent of one season's raw catches, in date and seine order, blocked."""
     caught = ss.filter((F.col("year") == season) & (F.col("so_total") > 0))
     caught = caught.select("year", "survey_date", "seine_id", "so_total", "yday")
-    caught = caught.withColumn("_block", id_block("seine_id"))
+    caught = with_place(caught, F.col("seine_id"))
     summed = blocked_running_total(
-        caught, ["year"], ["survey_date", "_block"], ["seine_id"], "so_total", "_upto", total="_total"
+        caught, ["year"], ["survey_date", "_block"], ["_place", "seine_id"], "so_total", "_upto", total="_total"
     )
     percent = ratio("_upto", "_total") * 100
-    return summed.withColumn("percent", percent).drop("_block", "_upto", "_total", "year")
+    return summed.withColumn("percent", percent).drop("_place", "_block", "_upto", "_total", "year")
 
 
 def timing_points(ss: DataFrame, season: int) -> DataFrame:

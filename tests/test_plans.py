@@ -108,6 +108,19 @@ def test_strict_cumulative_abundance_stays_missing(spark):
     assert run("drop") == [2, 6]
 
 
+def test_text_ids_are_placed_too(spark):
+    data = [(i, f"2019-05-{6 + i % 3:02d}", 1, 1 + i % 4) for i in range(30)]
+    ss = survey_rows(spark, data)
+    texts = ss.withColumns({c: F.concat(F.lit("DE"), F.col(c)) for c in ("survey_id", "seine_id")})
+    for frame in (ss, texts):
+        rows = timing.season_progress(frame, 2019).collect()
+        by_day = [max(r.percent for r in rows if r.survey_date.day == d) for d in (6, 7, 8)]
+        assert by_day == sorted(by_day) and by_day[-1] == pytest.approx(100)
+        assert len({round(r.percent, 9) for r in rows}) == 30
+        current = catch.rolling_catch(frame, 2019).filter("`group` = '2019'")
+        assert current.count() == 30 and current.filter("seven_avg IS NULL").count() == 4
+
+
 def test_inference_modes(spark):
     base = dict.fromkeys(lice.CURRENT_COUNTS, 0)
     rows = [
