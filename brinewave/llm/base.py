@@ -56,7 +56,8 @@ def labelled(documents: DataFrame, labels: DataFrame, label: str, of: int, held_
     """(text, label) of at most ``rows`` labelled documents outside the held-out remainder.
 
     The bound is on what a model is fitted to, never on what it scores: the rows with the smallest hash of doc_id
-    are taken, so the choice does not depend on the layout of the tables. Rows without id or label are left out.
+    are taken, so the choice does not depend on the layout of the tables; the bound also allows their broadcast. Rows
+    without id or label are left out.
     """
     mine = labels.select(
         column(labels, "doc_id").cast("bigint").alias("doc_id"), column(labels, label).cast("int").alias("label")
@@ -65,7 +66,7 @@ def labelled(documents: DataFrame, labels: DataFrame, label: str, of: int, held_
     train = train.groupBy("doc_id").agg(F.max("label").alias("label"))
     train = train.orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)
     texts = documents.select(column(documents, "doc_id").cast("bigint").alias("doc_id"), text_of(documents).alias("text"))
-    return train.join(texts, "doc_id").select("text", "label")
+    return texts.join(F.broadcast(train), "doc_id").select("text", "label")
 
 
 def remainder(doc_id: Column, of: int) -> Column:

@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from brinewave.llm import simhash
-from brinewave.llm.base import prepared
+from brinewave.llm import quality, simhash, toxicity
+from brinewave.llm.base import prepared, remainder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -27,3 +27,26 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def op9_simhash_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=3, distance=3)
     return found.select("doc_id", F.lower(F.lpad(F.hex("_fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def _scores(scored: DataFrame, of: int, held_out: int) -> DataFrame:
+    return scored.select(
+        "doc_id",
+        F.coalesce(remainder(F.col("doc_id"), of) == held_out, F.lit(False)).alias("held_out"),
+        F.col("_score").alias("score"),
+        (F.col("_score") >= 0.7).cast("int").alias("predicted"),
+    )
+
+
+@query
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.train(documents, table(spark, sf_dir, "labels"), "toxic", of=3, held_out=1)
+    return _scores(toxicity.scored(documents, model), 3, 1)
+
+
+@query
+def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = quality.train(documents, table(spark, sf_dir, "labels"), "quality", of=4, held_out=2)
+    return _scores(quality.scored(documents, model), 4, 2)
