@@ -291,7 +291,8 @@ def train(documents: DataFrame, labels: DataFrame, label: str = "toxic", of: int
         automaton = Automaton(entries)
         for pdf in batches:
             out = [(evidence(t, h, chance), int(y)) for t, y in zip(pdf["text"], pdf["label"]) if (h := found_in(t, automaton))]
-            yield pd.DataFrame({"x": [x for x, _ in out], "y": [y for _, y in out]})
+            if out:
+                yield pd.DataFrame({"x": [x for x, _ in out], "y": [y for _, y in out]})
 
     points = sample.mapInPandas(regressors, "x array<double>, y int").toPandas()
     x = np.array(points["x"].tolist(), float).reshape(-1, FEATURES)
