@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from brinewave.llm import quality, simhash, toxicity
-from brinewave.llm.base import prepared, remainder
+from brinewave.llm import mixing, quality, rules, simhash, toxicity
+from brinewave.llm.base import SPACE, prepared, remainder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -50,3 +50,50 @@ def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents").select("doc_id", "text")
     model = quality.train(documents, table(spark, sf_dir, "labels"), "quality", of=4, held_out=2)
     return _scores(quality.scored(documents, model), 4, 2)
+
+
+@query
+def op3_pivotal_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mixed(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
+
+
+@query
+def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rules.judged(table(spark, sf_dir, "documents"))
+
+
+ORACLES["op7_quality_rules"] = rf"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, source, coalesce(text, '') AS t FROM documents),
+w AS (
+  SELECT rid, doc_id, source, t,
+    list_filter(regexp_split_to_array(t, '{SPACE}'), lambda x: x <> '') AS ws,
+    list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS ls
+  FROM d),
+i AS (SELECT rid, ws, unnest(range(1, len(ws) - 1)) AS p FROM w WHERE len(ws) > 2),
+g AS (SELECT rid, p, count(*) OVER (PARTITION BY rid, ws[p], ws[p + 1], ws[p + 2]) AS n FROM i),
+r AS (
+  SELECT rid, count(*) AS n_repeat_words
+  FROM (SELECT DISTINCT rid, p + k AS q FROM g, (SELECT unnest([0, 1, 2]) AS k) AS ks WHERE n > 1) AS u GROUP BY rid),
+b AS (
+  SELECT w.rid, doc_id, source, t, ls, len(ws) AS n_words,
+    coalesce(length(array_to_string(ws, '')), 0) AS word_chars,
+    length(t) - length(translate(t, '{rules.SYMBOLS}', '')) AS n_symbols,
+    len(ls) - len(list_distinct(ls)) AS n_dup_lines,
+    coalesce(n_repeat_words, 0) AS n_repeat_words
+  FROM w LEFT JOIN r ON w.rid = r.rid),
+l AS (
+  SELECT rid, source, t,
+    regexp_replace(lower(trim(regexp_replace(x, '{SPACE}', ' ', 'g'), ' ')), '[0-9]', '0', 'g') AS line,
+    len(list_filter(regexp_split_to_array(x, '{SPACE}'), lambda y: y <> '')) AS words
+  FROM (SELECT rid, source, t, unnest(ls) AS x FROM b) AS u),
+f AS (SELECT source, line FROM l GROUP BY source, line HAVING count(DISTINCT t) > {rules.LIMIT}),
+lost AS (
+  SELECT rid, sum(words) AS lost FROM l JOIN f ON l.line = f.line AND l.source IS NOT DISTINCT FROM f.source GROUP BY rid)
+SELECT doc_id, CAST(n_words AS BIGINT) AS n_words, CAST(word_chars AS BIGINT) AS word_chars,
+  CAST(n_symbols AS BIGINT) AS n_symbols, CAST(n_dup_lines AS BIGINT) AS n_dup_lines,
+  CAST(n_repeat_words AS BIGINT) AS n_repeat_words,
+  n_words < {rules.LEAST_WORDS} OR 100 * n_repeat_words > {rules.REPEATED_PERCENT} * n_words AS base_failed,
+  NOT (n_words < {rules.LEAST_WORDS} OR 100 * n_repeat_words > {rules.REPEATED_PERCENT} * n_words)
+    AND NOT coalesce(n_words - lost < {rules.LEAST_SHARE} * n_words, false) AS kept
+FROM b LEFT JOIN lost ON b.rid = lost.rid
+"""
