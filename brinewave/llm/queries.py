@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from brinewave.llm import mixing, quality, rules, simhash, toxicity
+from brinewave.llm import mixing, quality, rules, simhash, substrings, toxicity
 from brinewave.llm.base import SPACE, prepared, remainder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -97,3 +97,9 @@ SELECT doc_id, CAST(n_words AS BIGINT) AS n_words, CAST(word_chars AS BIGINT) AS
     AND NOT coalesce(n_words - lost < {rules.LEAST_SHARE} * n_words, false) AS kept
 FROM b LEFT JOIN lost ON b.rid = lost.rid
 """
+
+
+@query
+def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = substrings.deduplicated(table(spark, sf_dir, "documents"), length=50)
+    return out.select("doc_id", "n_words", "n_removed", "kept_sha256")
