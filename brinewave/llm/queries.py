@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from brinewave.llm import mixing, quality, rules, simhash, substrings, toxicity
+from brinewave.llm import lm, mixing, quality, rules, simhash, substrings, toxicity
 from brinewave.llm.base import SPACE, prepared, remainder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -103,3 +103,8 @@ FROM b LEFT JOIN lost ON b.rid = lost.rid
 def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = substrings.deduplicated(table(spark, sf_dir, "documents"), length=50)
     return out.select("doc_id", "n_words", "n_removed", "kept_sha256")
+
+
+@query
+def op8_lm_stupid_backoff(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.scored(table(spark, sf_dir, "documents"))
