@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from brinewave.llm import lm, mixing, quality, rules, simhash, substrings, toxicity
+from brinewave.llm import decontamination, lm, mixing, quality, rules, simhash, substrings, toxicity
 from brinewave.llm.base import SPACE, prepared, remainder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -108,3 +108,36 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op8_lm_stupid_backoff(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm.scored(table(spark, sf_dir, "documents"))
+
+
+@query
+def op6_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontamination.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "item_id", F.col("start").cast("bigint").alias("start"), "similarity")
+
+
+ORACLES["op6_benchmark_decontamination"] = rf"""
+WITH d AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(lower(coalesce(text, '')), '{SPACE}'), lambda x: x <> '') AS w
+  FROM documents),
+b AS (
+  SELECT item_id, list_filter(regexp_split_to_array(lower(coalesce(text, '')), '{SPACE}'), lambda x: x <> '') AS w
+  FROM benchmark),
+dp AS (SELECT doc_id, w, len(w) AS n, unnest(range(1, len(w) - 3)) AS p FROM d WHERE len(w) > 4),
+dg AS (SELECT doc_id, n, p, array_to_string(w[p:p + 4], ' ') AS g FROM dp),
+bp AS (SELECT item_id, w, len(w) AS n, unnest(range(1, len(w) - 3)) AS p FROM b WHERE len(w) > 4),
+bg AS (SELECT item_id, n, p, array_to_string(w[p:p + 4], ' ') AS g FROM bp),
+bc AS (SELECT item_id, n, g, count(*) AS k FROM bg GROUP BY item_id, n, g),
+h AS (SELECT DISTINCT doc_id, dg.n, dg.p, item_id, bc.n AS l FROM dg JOIN bc ON dg.g = bc.g WHERE bc.n <= dg.n),
+s AS (
+  SELECT DISTINCT doc_id, item_id, l, unnest(range(greatest(p - l + 5, 1), least(p, n - l + 1) + 1)) AS s FROM h),
+c AS (
+  SELECT s.doc_id, s.item_id, l, s, dg.g, count(*) AS k
+  FROM s JOIN dg ON s.doc_id = dg.doc_id AND dg.p BETWEEN s AND s + l - 5 GROUP BY s.doc_id, s.item_id, l, s, dg.g),
+i AS (
+  SELECT doc_id, c.item_id, l, s, sum(least(c.k, bc.k)) AS common
+  FROM c JOIN bc ON c.item_id = bc.item_id AND c.g = bc.g GROUP BY doc_id, c.item_id, l, s),
+v AS (SELECT doc_id, item_id, s - 1 AS start, CAST(common AS DOUBLE) / (2 * (l - 4) - common) AS similarity FROM i)
+SELECT doc_id, item_id, arg_max(start, (similarity, -start)) AS start, max(similarity) AS similarity
+FROM v WHERE similarity >= {decontamination.SIMILARITY} GROUP BY doc_id, item_id
+"""
