@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from brinewave.llm import decontamination, lm, mixing, quality, rules, simhash, substrings, toxicity
+from brinewave.llm import decontamination, lm, mixing, pii, quality, rules, simhash, substrings, toxicity
 from brinewave.llm.base import SPACE, prepared, remainder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -141,3 +141,17 @@ v AS (SELECT doc_id, item_id, s - 1 AS start, CAST(common AS DOUBLE) / (2 * (l -
 SELECT doc_id, item_id, arg_max(start, (similarity, -start)) AS start, max(similarity) AS similarity
 FROM v WHERE similarity >= {decontamination.SIMILARITY} GROUP BY doc_id, item_id
 """
+
+
+@query
+def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = pii.found(table(spark, sf_dir, "documents"))
+    kinds = F.transform("base", lambda s: s["kind"])
+    counts = [
+        (F.size(kinds) - F.size(F.array_remove(kinds, k))).cast("bigint").alias(f"n_{k}") for k in pii.PATTERNS
+    ]
+    return rows.select(
+        "doc_id", *counts,
+        F.sha2(pii.written(F.col("base")).cast("binary"), 256).alias("base_sha256"),
+        pii.written(pii.all_spans()).alias("spans"),
+    )
