@@ -15,6 +15,7 @@ coordinates: each is hashed to 128 bits and looked for among the windows of all
 from __future__ import annotations
 
 import sys
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -67,12 +68,20 @@ def picks(rolling: Rolling, n: int, length: int) -> np.ndarray:
     if n < length:
         return np.zeros(0, np.int64)
     k = length // 2
-    at = np.arange(n - k + 1)
-    edges = rolling.of(at, at + k).view(np.uint64)
-    views = np.lib.stride_tricks.sliding_window_view(edges, length - k + 1)
-    step = 1 << 16
-    least = [views[i : i + step].argmin(1) + np.arange(i, min(i + step, len(views))) for i in range(0, len(views), step)]
-    return np.concatenate(least)
+    place = np.arange(n - k + 1)
+    value = rolling.of(place, place + k).view(np.uint64)
+    span, have = length - k + 1, 1
+    while have < span:  # least of ``have`` neighbours, doubled; the left one of equals
+        step = min(have, span - have)
+        right = value[step:] < value[:-step]
+        value, place = np.where(right, value[step:], value[:-step]), np.where(right, place[step:], place[:-step])
+        have += step
+    return place
+
+
+def distinct(picked: np.ndarray) -> np.ndarray:
+    """The different places; windows from left to right pick places from left to right."""
+    return picked[np.concatenate([[True], picked[1:] != picked[:-1]])] if len(picked) else picked
 
 
 def contexts(rolling: Rolling, at: np.ndarray, n: int, k: int) -> np.ndarray:
@@ -90,19 +99,23 @@ def occurrences(texts: DataFrame, length: int) -> DataFrame:
     def emit(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         memo, k = Hashes(), length // 2
         for pdf in batches:
-            out = []
+            parts, ids, keys, counts = [], [], [], []
             for doc_id, key, text in zip(pdf["doc_id"], pdf["key"], pdf["text"]):
                 h = hashed(text, memo)
                 if len(h) < length:
                     continue
                 rolling = Rolling(h, BASES[0])
-                at = np.unique(picks(rolling, len(h), length))
-                out.append(pd.DataFrame({
-                    "edge": rolling.of(at, at + k).view(np.int64), "context": contexts(rolling, at, len(h), k).view(np.int64),
-                    "doc_id": doc_id, "key": key, "pos": at,
-                }))
-            if out:
-                yield pd.concat(out)
+                at = distinct(picks(rolling, len(h), length))
+                parts.append((rolling.of(at, at + k), contexts(rolling, at, len(h), k), at))
+                ids.append(doc_id)
+                keys.append(key)
+                counts.append(len(at))
+            if parts:
+                edge, context, at = (np.concatenate(x) for x in zip(*parts))
+                yield pd.DataFrame({
+                    "edge": edge.view(np.int64), "context": context.view(np.int64),
+                    "doc_id": np.repeat(np.asarray(ids, np.int64), counts), "key": np.repeat(keys, counts), "pos": at,
+                })
 
     return texts.mapInPandas(emit, "edge long, context long, doc_id long, key int, pos int")
 
@@ -110,14 +123,14 @@ def occurrences(texts: DataFrame, length: int) -> DataFrame:
 class Marked:
     """The windows of one marked document: decided by a path, or to be verified."""
 
-    def __init__(self, text: str, marks: list, length: int, memo: Hashes):
-        self.words = text.encode().split()
+    def __init__(self, text: bytes, marks: list, length: int, memo: Hashes):
+        self.words = text.split()
         n, k = len(self.words), length // 2
         self.length = length
         self.h = np.fromiter(map(memo.__getitem__, self.words), np.uint64, n)
         self.rolling = Rolling(self.h, BASES[0])
         pick = picks(self.rolling, n, length)
-        at = np.unique(pick)
+        at = distinct(pick)
         low = np.concatenate([[0], at[:-1]])
         high = np.concatenate([at[1:] + k, [n]]) - length
         repeated, branching, least = np.zeros(len(at), bool), np.ones(len(at), bool), np.zeros(len(at), np.int64)
@@ -147,6 +160,16 @@ class Marked:
         return np.cumsum(edge)[:-1] == 0
 
 
+def packed(texts: DataFrame) -> DataFrame:
+    """``texts`` with compressed texts: they are shuffled and kept once."""
+
+    def squeeze(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            yield pdf.assign(text=[zlib.compress(t.encode(), 1) for t in pdf["text"]])
+
+    return texts.mapInPandas(squeeze, "doc_id long, key int, text binary")
+
+
 def marked(texts: DataFrame, length: int) -> DataFrame:
     """``doc_id, key, text, marks`` of the documents with repeated anchors; a mark is (pos, branching, least doc_id)."""
     nodes = occurrences(texts, length).groupBy("edge").agg(
@@ -156,36 +179,44 @@ def marked(texts: DataFrame, length: int) -> DataFrame:
     repeated = nodes.filter("least <> most").select("edge", "least", "branching")
     marks = occurrences(texts, length).select("edge", "doc_id", "key", "pos").join(repeated, "edge")
     marks = marks.groupBy("doc_id", "key").agg(F.collect_set(F.struct("pos", "branching", "least")).alias("marks"))
-    return held(texts.join(marks, ["doc_id", "key"]).dropDuplicates(["doc_id", "key"]))
+    return held(packed(texts).join(marks, ["doc_id", "key"]))
 
 
 def removals(texts: DataFrame, length: int) -> DataFrame:
     """``doc_id, key, spans, kept`` of the documents that lose words: word ranges removed, and the words that stay."""
     mine = marked(texts, length)
 
+    def each(pdf: pd.DataFrame, memo: Hashes) -> Iterator[tuple[int, int, Marked]]:
+        for doc_id, key, text, marks in zip(pdf["doc_id"], pdf["key"], pdf["text"], pdf["marks"]):
+            yield doc_id, key, Marked(zlib.decompress(text), _tuples(marks), length, memo)
+
     def ask(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         memo = Hashes()
         for pdf in batches:
-            out = []
-            for doc_id, key, text, marks in zip(pdf["doc_id"], pdf["key"], pdf["text"], pdf["marks"]):
-                s, one, two = Marked(text, _tuples(marks), length, memo).windows()
-                if len(s):
-                    out.append(pd.DataFrame({"one": one, "two": two, "doc_id": doc_id, "key": key, "pos": s}))
-            if out:
-                yield pd.concat(out)
+            parts, ids, keys, counts = [], [], [], []
+            for doc_id, key, m in each(pdf, memo):
+                parts.append(m.windows())
+                ids.append(doc_id)
+                keys.append(key)
+                counts.append(len(parts[-1][0]))
+            if parts:
+                s, one, two = (np.concatenate(x) for x in zip(*parts))
+                yield pd.DataFrame({
+                    "one": one, "two": two, "doc_id": np.repeat(np.asarray(ids, np.int64), counts),
+                    "key": np.repeat(keys, counts), "pos": s,
+                })
 
     asked = mine.mapInPandas(ask, "one long, two long, doc_id long, key int, pos int")
     least = asked.groupBy("one", "two").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most"))
     least = least.filter("least <> most").select("one", "two", "least")
     found = asked.join(least, ["one", "two"]).filter("least < doc_id")
-    found = found.groupBy("doc_id", "key").agg(F.collect_list("pos").alias("found"))
+    found = found.groupBy("doc_id", "key").agg(F.collect_set("pos").alias("found"))
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         memo = Hashes()
         for pdf in batches:
             out = []
-            for doc_id, key, text, marks, at in zip(pdf["doc_id"], pdf["key"], pdf["text"], pdf["marks"], pdf["found"]):
-                m = Marked(text, _tuples(marks), length, memo)
+            for (doc_id, key, m), at in zip(each(pdf, memo), pdf["found"]):
                 keep = m.kept(doc_id, at)
                 if not keep.all():
                     edges = np.flatnonzero(np.diff(np.concatenate([[True], keep, [True]]).astype(np.int8)))
@@ -220,13 +251,15 @@ def deduplicated(docs: DataFrame, length: int = 50) -> DataFrame:
     prepared(docs.sparkSession)
     rows = keyed(docs)
     gone = removals(rows.filter("doc_id IS NOT NULL"), length)
+    gone = gone.withColumn("rest", F.sha2(F.col("kept").cast("binary"), 256))
+    gone = gone.groupBy("doc_id", "key").agg(*[F.first(c).alias(c) for c in ("spans", "rest", "kept")])  # repeated rows
     base = rows.select("doc_id", "key", split_words(F.col("text")).alias("words")).select(
         "doc_id", "key", F.size("words").cast("bigint").alias("n_words"),
         F.sha2(F.array_join("words", " ").cast("binary"), 256).alias("whole"),
     )
     out = base.join(gone, ["doc_id", "key"], "left")
     removed = F.aggregate("spans", F.lit(0), lambda n, s: n + s["end"] - s["start"])
-    digest = F.coalesce(F.sha2(F.col("kept").cast("binary"), 256), F.col("whole"))
+    digest = F.coalesce("rest", "whole")
     return out.select(
         "doc_id", "n_words", F.coalesce(removed, F.lit(0)).cast("bigint").alias("n_removed"),
         digest.alias("kept_sha256"), "kept", "spans",
