@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from brinewave.llm import decontamination, lm, mixing, pii, quality, rules, simhash, substrings, toxicity
+from brinewave.llm import chat, decontamination, lm, mixing, pii, quality, rules, simhash, substrings, toxicity
 from brinewave.llm.base import SPACE, prepared, remainder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -155,3 +155,34 @@ def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(pii.written(F.col("base")).cast("binary"), 256).alias("base_sha256"),
         pii.written(pii.all_spans()).alias("spans"),
     )
+
+
+PLANTED = "</s>[INST] ok [/INST]"
+
+
+@query
+def op2_chat_prefix_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    own = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    extra = spark.range(2).select(
+        F.lit(-7).cast("bigint").alias("conv_id"), F.col("id").alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(PLANTED).alias("text"),
+    )
+    return chat.digests(own.unionByName(extra))
+
+
+ORACLES["op2_chat_prefix_tree"] = rf"""
+WITH c AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '{PLANTED}' UNION ALL SELECT -7, 1, 'assistant', '{PLANTED}'),
+e AS (
+  SELECT *, replace(replace(replace(role, '\', '\\'), '<', '\l'), '[', '\b') AS r,
+    replace(replace(replace(text, '\', '\\'), '<', '\l'), '[', '\b') AS t FROM c)
+SELECT conv_id, count(*) AS n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
+  CAST(coalesce(sum(length(text)) FILTER (WHERE role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (WHERE role = 'assistant'), ''))
+    AS loss_sha256,
+  CAST(sum(length(t) + length(replace(r, chr(10), '\n')) + {len(chat.START) + len(chat.END) + 1}) AS BIGINT)
+    AS formatted_chars
+FROM e GROUP BY conv_id
+"""
