@@ -3,7 +3,7 @@
 A text is cut into runs of letters and digits and runs of other marks; unigrams and bigrams of these tokens are hashed
 into ``2**BITS`` slots. Two more slots stand for the share of tokens that repeat one of the two before, and for the
 share of distinct tokens, in tenths, since the word at hand tells nothing about repetition. A document is the set of its slots, each with the value 1/sqrt(number of slots), and its score
-the logistic function of a sparse dot product. Training shards the bounded sample of labelled rows, runs proximal FTRL
+the logistic function of a sparse dot product. Training cuts the bounded sample of labelled rows into shards, runs proximal FTRL
 on each shard in its own task, and averages the shards' weights with Spark; the model is bounded by ``2**BITS`` floats.
 """
 
@@ -24,9 +24,9 @@ from brinewave.llm.base import labelled, prepared, text_of
 
 BITS = 18
 TRAIN_ROWS = 12_000
-SHARDS = 6
+SHARD_ROWS = 3_000
 EPOCHS = 4
-ALPHA, BETA, L1, L2 = 20.0, 1.0, 0.01, 0.01
+ALPHA, BETA, L1, L2 = 60.0, 1.0, 0.01, 0.01
 MEMO = 1 << 17
 
 
@@ -90,17 +90,17 @@ def train(documents: DataFrame, labels: DataFrame, label: str = "quality", of: i
           rows: int = TRAIN_ROWS) -> np.ndarray:
     """The averaged weights. Without labelled rows they are all zero, and every score is one half."""
     sample = labelled(documents, labels, label, of, held_out, rows)
-    sample = sample.withColumn("shard", F.pmod(F.xxhash64("text"), F.lit(SHARDS)).cast("int"))
+    parts = max(1, sample.count() // SHARD_ROWS)
+    sample = sample.withColumn("shard", F.pmod(F.xxhash64("text"), F.lit(parts)).cast("int"))
 
     def fit(pdf: pd.DataFrame) -> pd.DataFrame:
         order = pdf.assign(h=[xxhash.xxh64_intdigest(t.encode(), 1) for t in pdf["text"]]).sort_values(["h", "label"])
         w = train_shard(list(order["text"]), order["label"].to_numpy(float))
         slot = np.nonzero(w)[0]
-        return pd.DataFrame({"slot": slot, "weight": w[slot], "rows": len(pdf)})
+        return pd.DataFrame({"slot": slot, "weight": w[slot]})
 
-    found = sample.groupBy("shard").applyInPandas(fit, "slot int, weight double, rows long")
-    shards = min(SHARDS, sample.select("shard").distinct().count()) or 1
-    total = found.groupBy("slot").agg((F.sum("weight") / shards).alias("weight")).toPandas()
+    found = sample.groupBy("shard").applyInPandas(fit, "slot int, weight double")
+    total = found.groupBy("slot").agg((F.sum("weight") / parts).alias("weight")).toPandas()
     model = np.zeros(1 << BITS)
     model[total["slot"].to_numpy(np.int64)] = total["weight"]
     return model
