@@ -113,9 +113,9 @@ def settled(m: Column, s: Column) -> Column:
 
 def mixed(docs: DataFrame, weights: Sequence[float] = (1, 2, 3), most: float = 3.0, source: str = "source",
           payload: Sequence[str] = ("doc_id",)) -> DataFrame:
-    """The ``payload`` columns of every row with ``size, source_size, target, copies, taken``.
+    """The ``payload`` columns of every row with ``key, size, source_size, target, copies, taken``.
 
-    ``taken`` is size times copies. Null text has size 0; the null source comes last; a source without words has target
+    ``taken`` is size times copies, ``key`` a hash of id and text. Null text has size 0; the null source comes last; a source without words has target
     0 and gives no copies. Repeated rows are rounded one by one. An empty table gives no row. Other columns are ignored.
     """
     rows = docs.select(
@@ -171,7 +171,20 @@ def mixed(docs: DataFrame, weights: Sequence[float] = (1, 2, 3), most: float = 3
     for part in done:
         copies = (F.col("_whole") + F.col("up").cast("int")).cast("bigint")
         part = part.select(
-            "_row.*", "size", "source_size", "target", copies.alias("copies"), (F.col("size") * copies).alias("taken")
+            "_row.*", "key", "size", "source_size", "target", copies.alias("copies"), (F.col("size") * copies).alias("taken")
         )
         out = part if out is None else out.unionByName(part)
     return out
+
+
+def taken(docs: DataFrame, weights: Sequence[float] = (1, 2, 3), most: float = 3.0) -> DataFrame:
+    """The rows of ``docs`` in the mix, all columns, with ``copies`` and ``taken`` words; rows with equal id and text are
+    one row with the copies of all."""
+    plan = mixed(docs, weights, most).filter("copies > 0")
+    plan = plan.groupBy(F.col("key").alias("_key"), F.col("doc_id").alias("_id")).agg(
+        F.sum("copies").alias("copies"), F.sum("taken").alias("taken")
+    )
+    keyed = docs.withColumn("_key", F.xxhash64(column(docs, "doc_id").cast("string"), text_of(docs)))
+    found = keyed.join(plan, "_key").filter(column(docs, "doc_id").eqNullSafe(F.col("_id")))
+    once = found.dropDuplicates(["_key", "_id"])
+    return once.select(*[f"`{c}`" for c in docs.columns if c not in ("copies", "taken")], "copies", "taken")

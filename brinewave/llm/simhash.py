@@ -22,7 +22,7 @@ import numpy as np
 import pandas as pd
 import xxhash
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from brinewave.llm.base import column, held, prepared, text_of
@@ -148,6 +148,20 @@ def links(prints: DataFrame, distance: int = 3) -> DataFrame:
     return rows.mapInPandas(compare, "a long, b long").distinct()
 
 
+def placed(docs: DataFrame, shingle: int, distance: int) -> tuple[DataFrame, DataFrame]:
+    """``doc_id, _rid, _fp`` of every row, and ``_fp, least, component``: the group of each distinct fingerprint."""
+    ids = docs.select(column(docs, "doc_id").alias("doc_id"), row_hash(docs).alias("_rid"), text_of(docs).alias("text"))
+    rows = held(fingerprints(ids, shingle).select("doc_id", "_rid", "_fp"))
+    prints = rows.groupBy("_fp").agg(F.min("doc_id").alias("least"))
+    found = components(links(prints.select("_fp"), distance))
+    joined = prints.join(found.withColumnRenamed("node", "_fp"), "_fp", "left")
+    return rows, joined.withColumn("component", F.coalesce("component", "_fp"))
+
+
+def row_hash(docs: DataFrame) -> Column:
+    return F.xxhash64(*[column(docs, c) for c in docs.columns])
+
+
 def near_duplicates(docs: DataFrame, shingle: int = 3, distance: int = 3) -> DataFrame:
     """``doc_id, _fp, component_id`` of every row.
 
@@ -156,15 +170,20 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, distance: int = 3) -> Dat
     fingerprint 0 and link like any other; rows without doc_id are returned, linked, and never name a component (null
     where no row of the component has an id). Other columns are ignored. An empty table gives no row.
     """
-    ids = docs.select(column(docs, "doc_id").alias("doc_id"), text_of(docs).alias("text"))
-    rows = held(fingerprints(ids, shingle).select("doc_id", "_fp"))
-    prints = rows.groupBy("_fp").agg(F.min("doc_id").alias("least"))
-    found = components(links(prints.select("_fp"), distance))
-    placed = prints.join(found.withColumnRenamed("node", "_fp"), "_fp", "left").withColumn(
-        "component", F.coalesce("component", "_fp")
-    )
-    named = placed.groupBy("component").agg(F.min("least").alias("component_id"))
-    return rows.join(placed.join(named, "component").select("_fp", "component_id"), "_fp")
+    rows, groups = placed(docs, shingle, distance)
+    named = groups.groupBy("component").agg(F.min("least").alias("component_id"))
+    return rows.drop("_rid").join(groups.join(named, "component").select("_fp", "component_id"), "_fp")
+
+
+def one_of_each(docs: DataFrame, shingle: int = 3, distance: int = 3) -> DataFrame:
+    """One row of each near-duplicate group, all columns: the one with the smallest doc_id (rows without id come last,
+    ties go by a hash of the row). Of rows equal in all columns one stays."""
+    rows, groups = placed(docs, shingle, distance)
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "_rid")).alias("first")
+    kept = rows.join(groups.select("_fp", "component"), "_fp").groupBy("component").agg(first).select("first._rid", "first.doc_id")
+    keyed = docs.withColumns({"_rid": row_hash(docs), "_id": column(docs, "doc_id")})
+    chosen = keyed.join(kept.withColumnRenamed("doc_id", "_first"), "_rid").filter(F.col("_id").eqNullSafe(F.col("_first")))
+    return chosen.dropDuplicates(["_rid", "_id"]).select(*[f"`{c}`" for c in docs.columns])
 
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
