@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import sys
+from collections.abc import Iterator
 
+import numpy as np
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -73,4 +75,83 @@ def remainder(doc_id: Column, of: int) -> Column:
     return F.crc32(doc_id.cast("string").cast("binary")) % of
 
 
+WHITE = np.isin(np.arange(256), [9, 10, 11, 12, 13, 32])
+BYTE_BASE = 0x9DDFEA08EB382D69
+PIECE = 1 << 21
+_POWERS: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+
+
+def powers(base: int, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """The first ``n`` powers of an odd base and of its inverse, modulo 2**64; remembered for the largest n so far."""
+    known = _POWERS.get(base)
+    if known is None or len(known[0]) < n:
+        size = max(n, 1 << 16)
+        both = []
+        for b in (base, pow(base, -1, 1 << 64)):
+            out = np.full(size, b, np.uint64)
+            out[0] = 1
+            both.append(np.cumprod(out))
+        known = _POWERS[base] = (both[0], both[1])
+    return known
+
+
+def mix(x: np.ndarray) -> np.ndarray:
+    x = (x ^ (x >> np.uint64(31))) * np.uint64(0xC2B2AE3D27D4EB4F)
+    return x ^ (x >> np.uint64(29))
+
+
+def hash_words(data: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the words of a piece of UTF-8 text and the byte places where they start.
+
+    Words are runs without ASCII white space; a hash is a polynomial of the word's bytes modulo 2**64, mixed.
+    """
+    raw = np.frombuffer(data, np.uint8)
+    inside = np.concatenate([[False], ~WHITE[raw], [False]])
+    edges = np.flatnonzero(inside[1:] != inside[:-1])
+    start, end = edges[::2], edges[1::2]
+    up, down = powers(BYTE_BASE, len(raw) + 1)
+    sums = np.zeros(len(raw) + 1, np.uint64)
+    np.cumsum((raw.astype(np.uint64) + np.uint64(1)) * up[: len(raw)], out=sums[1:])
+    return mix((sums[end] - sums[start]) * down[start]), start
+
+
+def hash_texts(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """The word hashes of all texts one after another, and the number of words of each; memory goes by pieces."""
+    hashes, counts = [], np.zeros(len(texts), np.int64)
+    group: list[int] = []
+    size = 0
+
+    def flush() -> None:
+        h, start = hash_words(b"\n".join(texts[i] for i in group))
+        bounds = np.cumsum([0, *(len(texts[i]) + 1 for i in group)])
+        counts[group] = np.diff(np.searchsorted(start, bounds))
+        hashes.append(h)
+
+    for i, t in enumerate(texts):
+        if group and size + len(t) > PIECE:
+            flush()
+            group, size = [], 0
+        if len(t) > PIECE:
+            parts = [hash_words(p)[0] for p in pieces(t)]
+            hashes += parts
+            counts[i] = sum(map(len, parts))
+        else:
+            group.append(i)
+            size += len(t)
+    if group:
+        flush()
+    return np.concatenate(hashes) if hashes else np.zeros(0, np.uint64), counts
+
+
+def pieces(text: bytes) -> Iterator[bytes]:
+    """A long text in pieces that end at white space, or where the text ends."""
+    at = 0
+    while at < len(text):
+        end = min(at + PIECE, len(text))
+        while end < len(text) and text[end] not in b" \t\n\r\x0b\x0c":
+            end += 1
+        yield text[at:end]
+        at = end
+
+
 cloudpickle.register_pickle_by_value(sys.modules[__name__])

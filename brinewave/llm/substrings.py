@@ -2,14 +2,12 @@
 
 A k-mer has half as many words as a window; its hash is an edge. Of every run of k-mers that fill a window the one
 with the least hash is an anchor, so each window holds an anchor, and equal windows hold it at the same place. Anchors
-are the graph's sampled edges: an occurrence knows its context, the words up to the anchors on both sides or to
-the ends of the document.
+are the graph's sampled edges: an occurrence knows its context, the words of all windows that pick it.
 
 Spark groups the occurrences by anchor: repeated ones occur in more than one document; those with one context only lie
-inside a nonbranching path, which all their documents share from the anchor before to the anchor after. Joined back to
-the coordinates of the occurrences, nonbranching anchors decide the windows around them at once (the smallest document
-of the path), however long the path. Windows at branches and at ends of paths are verified by their source
-coordinates: each is hashed to 128 bits and looked for among the windows of all documents that hold its anchors.
+inside a nonbranching path that all their documents share. Joined back to the coordinates of the occurrences,
+nonbranching anchors decide their windows at once (by the smallest document of the path), however long the path. Windows at branches and at ends of paths are verified by their source
+coordinates: each is hashed to 96 bits and looked for among the windows of all documents that hold its anchors.
 """
 
 from __future__ import annotations
@@ -20,56 +18,39 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-import xxhash
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from brinewave.llm.base import column, held, prepared, split_words, text_of
+from brinewave.llm.base import column, hash_texts, held, mix, powers, prepared, split_words, text_of
 
-MEMO = 1 << 17
 BASES = (0x9E3779B97F4A7C15, 0xD1342543DE82EF95)
-MIX = 0xC2B2AE3D27D4EB4F
-
-
-class Hashes(dict):
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= MEMO:
-            self.clear()
-        h = self[word] = xxhash.xxh3_64_intdigest(word)
-        return h
-
-
-def mix(x: np.ndarray) -> np.ndarray:
-    x = (x ^ (x >> np.uint64(31))) * np.uint64(MIX)
-    return x ^ (x >> np.uint64(29))
 
 
 class Rolling:
     """Hashes of any stretch of a word sequence from prefix sums of a polynomial modulo 2**64."""
 
     def __init__(self, h: np.ndarray, base: int):
-        one = np.ones(1, np.uint64)
-        power = np.cumprod(np.concatenate([one, np.full(len(h), base, np.uint64)]))
-        self.back = np.cumprod(np.concatenate([one, np.full(len(h), pow(base, -1, 1 << 64), np.uint64)]))
-        self.sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(h * power[:-1])])
+        up, self.down = powers(base, len(h) + 1)
+        self.sums = np.zeros(len(h) + 1, np.uint64)
+        np.cumsum(h * up[: len(h)], out=self.sums[1:])
 
     def of(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-        return mix((self.sums[end] - self.sums[start]) * self.back[start] + np.asarray(end - start).astype(np.uint64))
-
+        return mix((self.sums[end] - self.sums[start]) * self.down[start] + np.asarray(end - start).astype(np.uint64))
 
-def hashed(text: str, memo: Hashes) -> np.ndarray:
-    words = text.encode().split()
-    return np.fromiter(map(memo.__getitem__, words), np.uint64, len(words))
+    def all(self, k: int) -> np.ndarray:
+        """The hashes of every stretch of ``k`` words."""
+        sums = self.sums
+        return mix((sums[k:] - sums[:-k]) * self.down[: len(sums) - k] + np.uint64(k))
 
 
-def picks(rolling: Rolling, n: int, length: int) -> np.ndarray:
-    """For each window, the place of its least k-mer; nothing for a text shorter than a window."""
-    if n < length:
+def picks(rolling: Rolling, length: int) -> np.ndarray:
+    """For each window of the sequence, the place of its least k-mer; nothing for a sequence shorter than a window."""
+    if len(rolling.sums) <= length:
         return np.zeros(0, np.int64)
     k = length // 2
-    place = np.arange(n - k + 1)
-    value = rolling.of(place, place + k).view(np.uint64)
+    value = rolling.all(k)
+    place = np.arange(len(value))
     span, have = length - k + 1, 1
     while have < span:  # least of ``have`` neighbours, doubled; the left one of equals
         step = min(have, span - have)
@@ -79,43 +60,42 @@ def picks(rolling: Rolling, n: int, length: int) -> np.ndarray:
     return place
 
 
-def distinct(picked: np.ndarray) -> np.ndarray:
-    """The different places; windows from left to right pick places from left to right."""
-    return picked[np.concatenate([[True], picked[1:] != picked[:-1]])] if len(picked) else picked
+def runs(pick: np.ndarray, start: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The first and last index of each run of windows (at ``start``) that pick one place; ``first`` begins a new document."""
+    new = np.ones(len(pick), bool)
+    new[1:] = (pick[1:] != pick[:-1]) | first[1:] | (start[1:] != start[:-1] + 1)
+    at = np.flatnonzero(new)
+    return at, np.concatenate([at[1:], [len(pick)]]) - 1
 
 
-def contexts(rolling: Rolling, at: np.ndarray, n: int, k: int) -> np.ndarray:
-    """A hash of the words from the anchor before to the anchor after, and of where the anchor stands in them."""
-    first, last = np.concatenate([[0], at[:-1]]), np.concatenate([at[1:] + k, [n]])
-    ends = np.zeros(len(at), np.uint64)
-    ends[0] += np.uint64(1)
-    ends[-1] += np.uint64(2)
-    return mix(rolling.of(first, last) + (at - first).astype(np.uint64) * np.uint64(BASES[1]) + ends)
+def contexts(rolling: Rolling, low: np.ndarray, high: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """A hash of the words of all windows that pick an anchor, and of where the anchor stands in them."""
+    return mix(rolling.of(low, high) + (at - low).astype(np.uint64) * np.uint64(BASES[1]))
 
 
 def occurrences(texts: DataFrame, length: int) -> DataFrame:
     """``edge, context, doc_id, key, pos`` of every anchor of every text."""
 
     def emit(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        memo, k = Hashes(), length // 2
+        k = length // 2
         for pdf in batches:
-            parts, ids, keys, counts = [], [], [], []
-            for doc_id, key, text in zip(pdf["doc_id"], pdf["key"], pdf["text"]):
-                h = hashed(text, memo)
-                if len(h) < length:
-                    continue
-                rolling = Rolling(h, BASES[0])
-                at = distinct(picks(rolling, len(h), length))
-                parts.append((rolling.of(at, at + k), contexts(rolling, at, len(h), k), at))
-                ids.append(doc_id)
-                keys.append(key)
-                counts.append(len(at))
-            if parts:
-                edge, context, at = (np.concatenate(x) for x in zip(*parts))
-                yield pd.DataFrame({
-                    "edge": edge.view(np.int64), "context": context.view(np.int64),
-                    "doc_id": np.repeat(np.asarray(ids, np.int64), counts), "key": np.repeat(keys, counts), "pos": at,
-                })
+            h, counts = hash_texts([t.encode() for t in pdf["text"]])
+            begin = np.cumsum(counts) - counts
+            rolling = Rolling(h, BASES[0])
+            pick = picks(rolling, length)
+            doc = np.repeat(np.arange(len(counts)), counts)[: len(pick)]
+            start = np.arange(len(pick))
+            whole = start + length <= (begin + counts)[doc]  # windows do not run into the next document
+            pick, doc, start = pick[whole], doc[whole], start[whole]
+            if not len(pick):
+                continue
+            lo, hi = runs(pick, start, np.concatenate([[True], doc[1:] != doc[:-1]]))
+            at, mine = pick[lo], doc[lo]
+            yield pd.DataFrame({
+                "edge": rolling.of(at, at + k).view(np.int64),
+                "context": contexts(rolling, start[lo], start[hi] + length, at).view(np.int64),
+                "doc_id": pdf["doc_id"].to_numpy(np.int64)[mine], "key": pdf["key"].to_numpy()[mine], "pos": at - begin[mine],
+            })
 
     return texts.mapInPandas(emit, "edge long, context long, doc_id long, key int, pos int")
 
@@ -123,37 +103,38 @@ def occurrences(texts: DataFrame, length: int) -> DataFrame:
 class Marked:
     """The windows of one marked document: decided by a path, or to be verified."""
 
-    def __init__(self, text: bytes, marks: list, length: int, memo: Hashes):
-        self.words = text.split()
-        n, k = len(self.words), length // 2
+    def __init__(self, text: bytes, marks: list, length: int):
+        self.h, _ = hash_texts([text])
         self.length = length
-        self.h = np.fromiter(map(memo.__getitem__, self.words), np.uint64, n)
         self.rolling = Rolling(self.h, BASES[0])
-        pick = picks(self.rolling, n, length)
-        at = distinct(pick)
-        low = np.concatenate([[0], at[:-1]])
-        high = np.concatenate([at[1:] + k, [n]]) - length
-        repeated, branching, least = np.zeros(len(at), bool), np.ones(len(at), bool), np.zeros(len(at), np.int64)
+        pick = picks(self.rolling, length)
+        start = np.arange(len(pick))
+        lo, hi = runs(pick, start, np.zeros(len(pick), bool))
+        place = pick[lo]
+        repeated, branching, least = np.zeros(len(lo), bool), np.ones(len(lo), bool), np.zeros(len(lo), np.int64)
         for pos, branches, doc in marks:
-            i = np.searchsorted(at, pos)
+            i = np.searchsorted(place, pos)
             repeated[i], branching[i], least[i] = True, branches, doc
         # a window belongs to the anchor it picks: wherever the window stands, it picks the same one
-        mine, start = np.searchsorted(at, pick), np.arange(len(pick))
-        inside = repeated[mine] & ~branching[mine] & (start >= low[mine]) & (start <= high[mine])
-        self.least = np.where(inside, least[mine], np.iinfo(np.int64).max)
+        mine = np.repeat(np.arange(len(lo)), hi - lo + 1)
+        inside = (repeated & ~branching)[mine]
+        self.first = least[mine]
+        self.least = np.where(inside, self.first, np.iinfo(np.int64).max)
         self.asked = repeated[mine] & ~inside
 
-    def windows(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        s = np.nonzero(self.asked)[0]
-        second = Rolling(self.h ^ np.uint64(MIX), BASES[1])
-        return s, self.rolling.of(s, s + self.length).view(np.int64), second.of(s, s + self.length).view(np.int64)
+    def windows(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Start, two hashes, and the least document of the anchor of each window to be verified."""
+        s = np.flatnonzero(self.asked)
+        second = Rolling(self.h ^ np.uint64(BASES[1]), BASES[1])
+        two = (second.of(s, s + self.length) >> np.uint64(32)).astype(np.uint32).view(np.int32)
+        return s, self.rolling.of(s, s + self.length).view(np.int64), two, self.first[s]
 
     def kept(self, doc_id: int, found: list[int] | None) -> np.ndarray:
         """Which words stay: those no window with a smaller document covers."""
         gone = self.least < doc_id
         if found is not None and len(found):
             gone[np.asarray(found, np.int64)] = True
-        edge = np.zeros(len(self.words) + 1, np.int64)
+        edge = np.zeros(len(self.h) + 1, np.int64)
         starts = np.nonzero(gone)[0]
         np.add.at(edge, starts, 1)
         np.add.at(edge, starts + self.length, -1)
@@ -186,41 +167,42 @@ def removals(texts: DataFrame, length: int) -> DataFrame:
     """``doc_id, key, spans, kept`` of the documents that lose words: word ranges removed, and the words that stay."""
     mine = marked(texts, length)
 
-    def each(pdf: pd.DataFrame, memo: Hashes) -> Iterator[tuple[int, int, Marked]]:
-        for doc_id, key, text, marks in zip(pdf["doc_id"], pdf["key"], pdf["text"], pdf["marks"]):
-            yield doc_id, key, Marked(zlib.decompress(text), _tuples(marks), length, memo)
+    def each(pdf: pd.DataFrame) -> Iterator[tuple[int, int, bytes, Marked]]:
+        for doc_id, key, packed_text, marks in zip(pdf["doc_id"], pdf["key"], pdf["text"], pdf["marks"]):
+            text = zlib.decompress(packed_text)
+            yield doc_id, key, text, Marked(text, _tuples(marks), length)
 
     def ask(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        memo = Hashes()
         for pdf in batches:
             parts, ids, keys, counts = [], [], [], []
-            for doc_id, key, m in each(pdf, memo):
+            for doc_id, key, _, m in each(pdf):
                 parts.append(m.windows())
                 ids.append(doc_id)
                 keys.append(key)
                 counts.append(len(parts[-1][0]))
             if parts:
-                s, one, two = (np.concatenate(x) for x in zip(*parts))
+                s, one, two, first = (np.concatenate(x) for x in zip(*parts))
                 yield pd.DataFrame({
                     "one": one, "two": two, "doc_id": np.repeat(np.asarray(ids, np.int64), counts),
-                    "key": np.repeat(keys, counts), "pos": s,
+                    "key": np.repeat(keys, counts), "pos": s, "first": first,
                 })
 
-    asked = mine.mapInPandas(ask, "one long, two long, doc_id long, key int, pos int")
+    asked = mine.mapInPandas(ask, "one long, two int, doc_id long, key int, pos int, first long")
     least = asked.groupBy("one", "two").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most"))
     least = least.filter("least <> most").select("one", "two", "least")
-    found = asked.join(least, ["one", "two"]).filter("least < doc_id")
+    # the first document with an anchor vouches for its windows and loses none of them
+    later = asked.filter("first < doc_id").drop("first")
+    found = later.join(least, ["one", "two"]).filter("least < doc_id")
     found = found.groupBy("doc_id", "key").agg(F.collect_set("pos").alias("found"))
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        memo = Hashes()
         for pdf in batches:
             out = []
-            for (doc_id, key, m), at in zip(each(pdf, memo), pdf["found"]):
+            for (doc_id, key, text, m), at in zip(each(pdf), pdf["found"]):
                 keep = m.kept(doc_id, at)
                 if not keep.all():
                     edges = np.flatnonzero(np.diff(np.concatenate([[True], keep, [True]]).astype(np.int8)))
-                    stay = b" ".join(w for w, k in zip(m.words, keep) if k)
+                    stay = b" ".join(w for w, k in zip(text.split(), keep) if k)
                     spans = [{"start": int(a), "end": int(b)} for a, b in zip(edges[::2], edges[1::2])]
                     out.append((doc_id, key, spans, stay.decode()))
             if out:
