@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from brinewave.llm.base import column, held, materialised, text_of
+from brinewave.llm.base import boxed, column, held, materialised, text_of, unboxed
 
 KINDS = ["email", "ip", "card", "phone", "removed", "generalised"]
 # Each pattern finds what its plain form finds from left to right: a run of characters is read once and not given
@@ -114,9 +114,9 @@ def with_row(docs: DataFrame) -> DataFrame:
 
 
 def contexts(rows: DataFrame, base: DataFrame) -> DataFrame:
-    """``entity, context, terms``: the words around each different use of an entity."""
+    """``rid, rid2, entity, context, terms``: the words around each use of an entity."""
     private = base.filter(F.size("spans") > 0).select(*ROW, "spans").dropDuplicates(ROW)
-    each = rows.join(small(private), ROW).select("_t", F.explode("spans").alias("s"))
+    each = rows.join(small(private), ROW).select(*ROW, "_t", F.explode("spans").alias("s"))
     start, end = F.col("s.start"), F.col("s.end")
     low = F.greatest(start - REACH, F.lit(0))
     before = letters(F.col("_t").substr(low + 1, start - low))
@@ -126,25 +126,36 @@ def contexts(rows: DataFrame, base: DataFrame) -> DataFrame:
         F.slice(before, F.greatest(n - (AROUND - 1), F.lit(1)), F.lit(AROUND)), F.slice(after, 1, AROUND)
     )
     value = F.lower(F.col("_t").substr(start + 1, end - start))
-    found = each.select(F.concat_ws(":", F.col("s.kind"), value).alias("entity"), F.array_distinct(near).alias("terms"))
-    return found.withColumn("context", F.xxhash64("terms")).dropDuplicates(["entity", "context"])
+    found = each.select(*ROW, F.concat_ws(":", F.col("s.kind"), value).alias("entity"), F.array_distinct(near).alias("terms"))
+    return found.withColumn("context", F.xxhash64("terms"))
+
+
+def ratio(total: int, n_e: Column, n_t: Column, n_et: Column) -> Column:
+    """Mutual information of term and entity by the information of the entity. A context counts copies once, so the
+    uses beside an entity never exceed all uses."""
+    n = F.lit(float(max(total, 2)))
+    information = F.log(n / n_e)
+    return F.when(information > 0, F.log(n * n_et / (n_e * F.greatest(n_t, n_et))) / information)
 
 
 def disclosing(rows: DataFrame, base: DataFrame) -> DataFrame:
-    """``term, ratio`` of the terms that disclose some entity, by their strongest entity; every word of ``_t`` counts."""
-    found = held(contexts(rows, base))
+    """``term, ratio`` of the terms that disclose some entity, by their strongest entity; every word of ``_t`` counts.
+
+    The documents whose contexts hold a term bound its uses from below, and with that its ratio from above: terms
+    that cannot reach ``GENERALISE``, all common words among them, need not be counted in the corpus.
+    """
+    uses = held(contexts(rows, base))
+    found = uses.dropDuplicates(["entity", "context"])
     entities = found.groupBy("entity").agg(F.count("*").alias("n_e")).filter(F.col("n_e") >= SUPPORT)
     pairs = found.select("entity", F.explode("terms").alias("term")).groupBy("entity", "term").agg(F.count("*").alias("n_et"))
-    pairs = held(pairs.filter(F.col("n_et") >= SUPPORT).join(entities, "entity"))
-    asked = pairs.select("term").distinct()
-    words = rows.select(F.explode(letters(F.col("_t"))).alias("term"))
+    least = uses.select(*ROW, F.explode("terms").alias("term")).distinct().groupBy("term").agg(F.count("*").alias("least"))
+    pairs = pairs.filter(F.col("n_et") >= SUPPORT).join(entities, "entity").join(least, "term")
     total = rows.select(F.sum(F.size(letters(F.col("_t"))).cast("bigint"))).first()[0] or 0
-    used = words.join(small(asked), "term").groupBy("term").agg(F.count("*").alias("n_t"))
-    n = F.lit(float(max(total, 2)))
-    # a context counts copies once, so the uses beside an entity never exceed all uses
-    pmi = F.log(n * F.col("n_et") / (F.col("n_e") * F.greatest("n_t", "n_et")))
-    information = F.log(n / F.col("n_e"))
-    told = pairs.join(used, "term").withColumn("ratio", F.when(information > 0, pmi / information))
+    most = ratio(total, F.col("n_e"), F.col("least"), F.col("n_et"))
+    pairs = held(pairs.filter(most >= GENERALISE).drop("least"))
+    words = rows.select(F.explode(letters(F.col("_t"))).alias("term"))
+    used = words.join(small(pairs.select("term").distinct()), "term").groupBy("term").agg(F.count("*").alias("n_t"))
+    told = pairs.join(used, "term").withColumn("ratio", ratio(total, F.col("n_e"), F.col("n_t"), F.col("n_et")))
     return told.groupBy("term").agg(F.max("ratio").alias("ratio")).filter(F.col("ratio") >= GENERALISE)
 
 
@@ -194,8 +205,8 @@ def sanitised(docs: DataFrame) -> DataFrame:
     """
     spans = found(docs).select(*ROW, all_spans().alias("_spans")).filter(F.size("_spans") > 0).dropDuplicates(ROW)
     text = text_of(docs)
-    keyed = docs.withColumns({"rid": F.xxhash64(column(docs, "doc_id"), text), "rid2": F.hash(text, column(docs, "doc_id"))})
-    joined = materialised(keyed.join(spans, ROW, "left"), _t=text)
+    keyed = boxed(docs, _t=text, rid=F.xxhash64(column(docs, "doc_id"), text), rid2=F.hash(text, column(docs, "doc_id")))
+    joined = keyed.join(spans, ROW, "left")
     masks = F.create_map(*[F.lit(x) for pair in MASKS.items() for x in pair])
     start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
 
@@ -209,5 +220,4 @@ def sanitised(docs: DataFrame) -> DataFrame:
 
     folded = F.aggregate("_spans", start, step)
     masked = F.concat(folded["out"], F.col("_t").substr(folded["at"] + 1, F.length("_t")))
-    replaced = joined.withColumn("text", F.when(F.col("_spans").isNull(), F.col("text")).otherwise(masked))
-    return replaced.select(*[f"`{c}`" for c in docs.columns])
+    return unboxed(joined, text=F.when(F.col("_spans").isNull(), F.col("_box.text")).otherwise(masked))
