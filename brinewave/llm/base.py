@@ -71,6 +71,18 @@ def labelled(documents: DataFrame, labels: DataFrame, label: str, of: int, held_
     return texts.join(F.broadcast(train), "doc_id").select("text", "label")
 
 
+def boxed(docs: DataFrame, **more: Column) -> DataFrame:
+    """The columns of ``docs`` in one struct, beside working columns that cannot clash with them."""
+    return docs.select(F.struct(*[column(docs, c).alias(c) for c in docs.columns]).alias("_box"), *[c.alias(n) for n, c in more.items()])
+
+
+def unboxed(df: DataFrame, **replaced: Column) -> DataFrame:
+    """The boxed columns in their order, some replaced or added."""
+    names = df.schema["_box"].dataType.names
+    old = [replaced.get(n, F.col("_box").getField(n)).alias(n) for n in names]
+    return df.select(*old, *[c.alias(n) for n, c in replaced.items() if n not in names])
+
+
 def remainder(doc_id: Column, of: int) -> Column:
     return F.crc32(doc_id.cast("string").cast("binary")) % of
 

@@ -17,7 +17,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from brinewave.llm.base import column, held, materialised, split_words, text_of
+from brinewave.llm.base import boxed, column, held, materialised, split_words, text_of, unboxed
 
 SHINGLE = 5
 RADIUS = 20
@@ -147,5 +147,5 @@ def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows of ``docs`` without a window of any item, all columns."""
     found = contaminated(docs, benchmark).select(*ROW).distinct()
     text = text_of(docs)
-    keyed = docs.withColumns({"rid": F.xxhash64(column(docs, "doc_id"), text), "rid2": F.hash(text, column(docs, "doc_id"))})
-    return keyed.join(found, ROW, "left_anti").select(*[f"`{c}`" for c in docs.columns])
+    keyed = boxed(docs, rid=F.xxhash64(column(docs, "doc_id"), text), rid2=F.hash(text, column(docs, "doc_id")))
+    return unboxed(keyed.join(found, ROW, "left_anti"))

@@ -20,7 +20,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from brinewave.llm.base import SPACE, column, held, text_of
+from brinewave.llm.base import SPACE, boxed, column, held, text_of, unboxed
 
 BLOCK = 64
 NEAR = 1e-9
@@ -184,7 +184,6 @@ def taken(docs: DataFrame, weights: Sequence[float] = (1, 2, 3), most: float = 3
     plan = plan.groupBy(F.col("key").alias("_key"), F.col("doc_id").alias("_id")).agg(
         F.sum("copies").alias("copies"), F.sum("taken").alias("taken")
     )
-    keyed = docs.withColumn("_key", F.xxhash64(column(docs, "doc_id").cast("string"), text_of(docs)))
-    found = keyed.join(plan, "_key").filter(column(docs, "doc_id").eqNullSafe(F.col("_id")))
-    once = found.dropDuplicates(["_key", "_id"])
-    return once.select(*[f"`{c}`" for c in docs.columns if c not in ("copies", "taken")], "copies", "taken")
+    keyed = boxed(docs, _key=F.xxhash64(column(docs, "doc_id").cast("string"), text_of(docs)), _own=column(docs, "doc_id"))
+    found = keyed.join(plan, "_key").filter(F.col("_own").eqNullSafe(F.col("_id"))).dropDuplicates(["_key", "_own"])
+    return unboxed(found, copies=F.col("copies"), taken=F.col("taken"))

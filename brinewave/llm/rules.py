@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from brinewave.llm.base import SPACE, column, held, materialised, split_words, text_of
+from brinewave.llm.base import SPACE, boxed, column, held, materialised, split_words, text_of, unboxed
 
 SYMBOLS = "#*$%&|<>"
 LIMIT = 100
@@ -131,7 +131,7 @@ def cleaned(docs: DataFrame, host: str = "source", limit: int = LIMIT) -> DataFr
     rows = measured(docs, host)
     bad = _texts(rows).join(frequent_lines(rows, limit), ["_host", "line"])
     bad = bad.groupBy("_host", "_hash").agg(F.collect_set("line").alias("_bad"))
-    keyed = docs.withColumns({"_host": F.xxhash64(column(docs, host)), "_hash": F.xxhash64(text_of(docs))})
-    kept = F.filter(F.split("text", "\n"), lambda x: ~F.array_contains("_bad", line_hash(x)))
-    text = F.when(F.col("_bad").isNull(), F.col("text")).otherwise(F.array_join(kept, "\n"))
-    return keyed.join(bad, ["_host", "_hash"], "left").withColumn("text", text).select(*[f"`{c}`" for c in docs.columns])
+    keyed = boxed(docs, _host=F.xxhash64(column(docs, host)), _hash=F.xxhash64(text_of(docs)))
+    kept = F.filter(F.split(F.col("_box.text"), "\n"), lambda x: ~F.array_contains("_bad", line_hash(x)))
+    text = F.when(F.col("_bad").isNull(), F.col("_box.text")).otherwise(F.array_join(kept, "\n"))
+    return unboxed(keyed.join(bad, ["_host", "_hash"], "left"), text=text)

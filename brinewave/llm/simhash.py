@@ -25,7 +25,7 @@ from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from brinewave.llm.base import column, held, prepared, text_of
+from brinewave.llm.base import boxed, column, held, prepared, text_of, unboxed
 from brinewave.llm.components import components
 
 BLOCK = 1024
@@ -181,9 +181,9 @@ def one_of_each(docs: DataFrame, shingle: int = 3, distance: int = 3) -> DataFra
     rows, groups = placed(docs, shingle, distance)
     first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "_rid")).alias("first")
     kept = rows.join(groups.select("_fp", "component"), "_fp").groupBy("component").agg(first).select("first._rid", "first.doc_id")
-    keyed = docs.withColumns({"_rid": row_hash(docs), "_id": column(docs, "doc_id")})
+    keyed = boxed(docs, _rid=row_hash(docs), _id=column(docs, "doc_id"))
     chosen = keyed.join(kept.withColumnRenamed("doc_id", "_first"), "_rid").filter(F.col("_id").eqNullSafe(F.col("_first")))
-    return chosen.dropDuplicates(["_rid", "_id"]).select(*[f"`{c}`" for c in docs.columns])
+    return unboxed(chosen.dropDuplicates(["_rid", "_id"]))
 
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
