@@ -65,6 +65,12 @@ def between_open(c: Column | str, first: str, last: str) -> Column:
     return (c > F.lit(first).cast("date")) & (c < F.lit(last).cast("date"))
 
 
+def in_season(c: Column | str, year: int) -> Column:
+    """Within a calendar year, as a half-open range that the scan can use."""
+    c = as_col(c)
+    return (c >= F.lit(f"{year}-01-01").cast("date")) & (c < F.lit(f"{year + 1}-01-01").cast("date"))
+
+
 def seasons_observed(df: DataFrame, date: str, first_season: int = 2015) -> DataFrame:
     """One row: seasons from the first one to the latest date."""
     return df.agg((F.max(F.year(date)) - first_season + 1).alias("n_seasons"))

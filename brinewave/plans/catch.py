@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType, StringType
 
-from brinewave.functions.dates import in_year
+from brinewave.functions.dates import in_season, in_year
 from brinewave.functions.labels import CATCH_LABELS, position, recode
 from brinewave.functions.nulls import complete, not_in, rows, standard_error
 from brinewave.functions.numeric import half_even, with_t_quantile
@@ -47,7 +47,7 @@ def filled(df: DataFrame) -> DataFrame:
 
 def catch_table(ss: DataFrame, season: int) -> DataFrame:
     """Dates, sites and catches of one season's seines, in date order."""
-    picked = ss.filter(F.col("year") == season).orderBy("survey_date", "seine_id")
+    picked = ss.filter(in_season("survey_date", season)).orderBy("survey_date", "seine_id")
     picked = picked.select("survey_date", "site_id", "site_name", "so_total", "pi_total", "cu_total")
     return rename(
         picked,
@@ -128,7 +128,7 @@ def rolling_catch(ss: DataFrame, season: int, reference_year: int | None = None)
     """
     # a survey without a seine takes its own id as place within the day
     season_rows = (
-        ss.filter(F.col("year") == season)
+        ss.filter(in_season("survey_date", season))
         .select(F.col("survey_date").alias("date"), "seine_id", "survey_id", "so_total")
         .withColumn("group", F.lit(str(season)))
     )
@@ -154,7 +154,7 @@ def intensity_counts(ss: DataFrame) -> DataFrame:
 
 def catch_intensity(ss: DataFrame, season: int, history: DataFrame | None = None) -> DataFrame:
     """Catch intensity of the season with 95 % t intervals, rounded to one digit, under the history."""
-    current = intensity_counts(ss.filter(F.col("year") == season))
+    current = intensity_counts(ss.filter(in_season("survey_date", season)))
     current = with_t_quantile(current, 0.975, F.col("n") - 1, "_t")
     half = F.col("_t") * F.col("se")
     current = current.withColumns({"lower_ci": half, "upper_ci": half}).drop("_t")
@@ -174,7 +174,7 @@ def proportion_counts(ss: DataFrame, totals: Sequence[str] = tuple(TOTALS)) -> D
 
 
 def species_proportion(ss: DataFrame, season: int, history: DataFrame | None = None) -> DataFrame:
-    current = proportion_counts(ss.filter(F.col("year") == season))
+    current = proportion_counts(ss.filter(in_season("survey_date", season)))
     out = current if history is None else bind(history, current)
     return out.withColumns(
         {"species": recode("species", CATCH_LABELS), "species_order": position("species", list(CATCH_LABELS))}

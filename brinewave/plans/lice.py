@@ -12,6 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from brinewave.functions.dates import in_season
 from brinewave.functions.labels import PRESENCE_LABELS, SALMON_LABELS, position, recode
 from brinewave.functions.nulls import (
     as_col,
@@ -32,8 +33,7 @@ from brinewave.operators.grouping import (
     moment_parts,
     sd_of_parts,
     share_within,
-    with_group_ratio,
-    with_total_ratio,
+    with_group_values,
 )
 from brinewave.operators.joins import members
 from brinewave.operators.reshape import bind, longer, longer_structs
@@ -41,6 +41,7 @@ from brinewave.plans.survey import counted_by_seine, seine_attributes
 from brinewave.session import stage
 
 SALMON = ["SO", "PI", "CU"]
+# Species labels.
 LEP = "Lepeophtheirus salmonis"
 CAL = "Caligus clemensi"
 
@@ -65,9 +66,11 @@ FIELD_SHEETS = {
         "lep": ["lpam", "lpaf", "lam", "laf", "lgf"],
     },
 }
+# Count columns of the current sheet.
 CURRENT_COUNTS = [
     "lep_cope", "lam", "laf", "lgf", "cal_cope", "cam", "caf", "cgf", "chal_a_b", "unid_cope", "unid_chal",
 ]
+# Count columns of the laboratory sheet.
 LAB_ATTACHED_LEP = ["lep_cop", "lep_cunifer_cop", "lep_chal_a", "lep_chal_b"]
 LAB_ATTACHED_CAL = [
     "cal_cop", "cal_chal_a_1", "cal_chal_a_2", "cal_chal_b_3", "cal_chal_b_4_f", "cal_chal_b_4_m",
@@ -214,17 +217,21 @@ def presence_by_year(fish: DataFrame, ss: DataFrame) -> DataFrame:
 
 
 def _inferred(df: DataFrame, ratio_mode: str) -> DataFrame:
-    """Split the unidentified lice by the leps-to-caligus ratio.
+    """Split the unidentified lice by the sums of leps and caligus in ``_sums``.
 
     "odds" is the published form: leps/cal for one species and one minus it for the other, which goes
-    negative when leps outnumber caligus. "share" uses leps/(leps + cal) instead.
+    negative when leps outnumber caligus. "share" uses leps/(leps + cal) instead, 1 where there is no caligus.
     """
-    r = F.col("ratio")
-    if ratio_mode == "share":
-        r = ratio(r, r + 1)
-    elif ratio_mode != "odds":
+    if ratio_mode not in ("odds", "share"):
         raise ValueError(f"ratio_mode must be odds or share, not {ratio_mode}")
-    return df.withColumns({"inferred_leps": F.col("unk") * r, "inferred_cal": F.col("unk") * (1 - r)})
+    sums = F.col("_sums")
+    r = ratio(sums["leps"], sums["leps"] + sums["cal"] if ratio_mode == "share" else sums["cal"])
+    df = df.withColumn("ratio", r).drop("_sums")
+    return df.withColumns({"inferred_leps": F.col("unk") * F.col("ratio"), "inferred_cal": F.col("unk") * (1 - F.col("ratio"))})
+
+
+def _both_sums() -> Column:
+    return F.struct(F.sum("leps").alias("leps"), F.sum("cal").alias("cal"))
 
 
 def _per_fish(df: DataFrame, cells: dict[tuple[str, str], Column], origin: str) -> DataFrame:
@@ -246,7 +253,7 @@ def current_lice(
     lice: DataFrame, fish: DataFrame, ss: DataFrame, season: int, ratio_mode: str = "odds", salmon_only: bool = True
 ) -> DataFrame:
     """This season's field counts, long, with unidentified chalimus split by species."""
-    places = seine_attributes(ss.filter(F.col("year") == season), ["survey_date"])
+    places = seine_attributes(ss.filter(in_season("survey_date", season)), ["survey_date"])
     hosts = complete(fish, ["ufn"]).select("ufn", "seine_id", "species").join(places, "seine_id")
     joined = complete(lice.join(hosts, ["ufn", "seine_id"], "right").select(*FISH_KEYS, *CURRENT_COUNTS))
     sums = joined.withColumns(
@@ -256,7 +263,7 @@ def current_lice(
             "unk": row_sum(["chal_a_b", "unid_cope", "unid_chal"]),
         }
     )
-    split = _inferred(with_total_ratio(sums, "leps", "cal"), ratio_mode)
+    split = _inferred(sums.withColumn("_sums", sums.agg(_both_sums().alias("_sums")).scalar()), ratio_mode)
     cells = {
         (LEP, "attached"): row_sum(["lep_cope", "inferred_leps"]),
         (LEP, "motile"): row_sum(["lam", "laf", "lgf"]),
@@ -279,11 +286,18 @@ def _comparable(lice: DataFrame, catches: DataFrame, sites: DataFrame) -> DataFr
     return lice.join(hosts, "ufn")
 
 
-def lab_attached(lab: DataFrame, catches: DataFrame, sites: DataFrame) -> DataFrame:
-    """Attached lice of the laboratory sheet, long; missing counts are left out."""
-    leps = [c for c in LAB_ATTACHED_LEP if c in lab.columns]
-    cals = [c for c in LAB_ATTACHED_CAL if c in lab.columns]
-    cells = {(LEP, "attached"): row_sum_present(leps), (CAL, "attached"): row_sum_present(cals)}
+def lab_attached(
+    lab: DataFrame,
+    catches: DataFrame,
+    sites: DataFrame,
+    leps: Sequence[str] = tuple(LAB_ATTACHED_LEP),
+    cals: Sequence[str] = tuple(LAB_ATTACHED_CAL),
+) -> DataFrame:
+    """Attached lice of the laboratory sheet, long; missing counts are left out, a missing column is an error."""
+    absent = [c for c in [*leps, *cals] if c not in lab.columns]
+    if absent:
+        raise ValueError(f"the laboratory sheet has no column {', '.join(absent)}")
+    cells = {(LEP, "attached"): row_sum_present(list(leps)), (CAL, "attached"): row_sum_present(list(cals))}
     return complete(_per_fish(_comparable(lab, catches, sites), cells, "sealice_lab_fs"), ["count"])
 
 
@@ -315,7 +329,7 @@ def field_attached(field: DataFrame, catches: DataFrame, sites: DataFrame, ratio
             "unk": row_sum([f"{c}_field" for c in ("chal_a", "chal_b", "unid_cope", "unid_chal")]),
         }
     )
-    split = _inferred(with_group_ratio(sums, ["year"], "leps", "cal"), ratio_mode)
+    split = _inferred(with_group_values(sums, ["year"], _sums=_both_sums()), ratio_mode)
     cells = {
         (LEP, "attached"): row_sum_present(["lep_cope_field", "inferred_leps"]),
         (CAL, "attached"): row_sum_present(["cal_cope_field", "inferred_cal"]),

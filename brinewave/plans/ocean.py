@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from brinewave.functions.dates import in_season
 from brinewave.functions.nulls import complete, strict_mean
 from brinewave.functions.numeric import t_quantile_large
 from brinewave.operators.grouping import means
@@ -51,7 +52,7 @@ def climatology(ctd: DataFrame, season: int, stations: Sequence[str] | None = No
 
 def season_means(ctd: DataFrame, season: int, stations: Sequence[str] | None = None) -> DataFrame:
     """Daily means of the top layer by station in the season's sampling window."""
-    base = in_season_days(top_layer(with_calendar(ctd)).filter(F.col("year") == season))
+    base = in_season_days(top_layer(with_calendar(ctd.filter(in_season("date", season)))))
     if stations is not None:
         base = base.filter(F.col("station").isin(*stations))
     return means(base, ["station", "yday"], CTD_MEANS)
@@ -160,7 +161,7 @@ def surface_temperature(probe: DataFrame) -> DataFrame:
 
 
 def secchi_since(secchi: DataFrame, year: int) -> DataFrame:
-    return secchi.filter(F.year("date") > year)
+    return secchi.filter(F.col("date") >= F.lit(f"{year + 1}-01-01").cast("date"))
 
 
 def curve_against_observed(

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from brinewave.functions.dates import between_open, iso_week
+from brinewave.functions.dates import between_open, in_season, iso_week
 from brinewave.functions.nulls import complete, ratio, strict_mean
 from brinewave.functions.numeric import half_even
 from brinewave.operators.grouping import duplicated_groups, first_per_key, means
@@ -57,7 +57,7 @@ def migration_timing(catches: DataFrame) -> DataFrame:
 
 def season_progress(ss: DataFrame, season: int) -> DataFrame:
     """Cumulative percent of one season's raw catches, in date and seine order, blocked."""
-    caught = ss.filter((F.col("year") == season) & (F.col("so_total") > 0))
+    caught = ss.filter(in_season("survey_date", season) & (F.col("so_total") > 0))
     caught = caught.select("year", "survey_date", "seine_id", "so_total", "yday")
     caught = with_place(caught, F.col("seine_id"))
     summed = blocked_running_total(
@@ -67,9 +67,10 @@ def season_progress(ss: DataFrame, season: int) -> DataFrame:
     return summed.withColumn("percent", percent).drop("_place", "_block", "_upto", "_total", "year")
 
 
-def timing_points(ss: DataFrame, season: int) -> DataFrame:
-    """Points to fit: all earlier years pooled, and the season."""
-    history = migration_timing(corrected_catch(ss.filter(F.col("year") < season), season - 1))
+def timing_points(ss: DataFrame, season: int, corrected: int) -> DataFrame:
+    """Points to fit: all earlier years pooled, double effort of the ``corrected`` season averaged, and the season."""
+    past = ss.filter(F.col("survey_date") < F.lit(f"{season}-01-01").cast("date"))
+    history = migration_timing(corrected_catch(past, corrected))
     current = season_progress(ss, season)
     return bind(
         history.select(F.lit("predicted_percent").alias("period"), "yday", "percent"),
@@ -77,11 +78,11 @@ def timing_points(ss: DataFrame, season: int) -> DataFrame:
     )
 
 
-def timing_fits(ss: DataFrame, season: int) -> DataFrame:
-    return logistic_fits(timing_points(ss, season), "period", "yday", "percent")
+def timing_fits(ss: DataFrame, season: int, corrected: int) -> DataFrame:
+    return logistic_fits(timing_points(ss, season, corrected), "period", "yday", "percent")
 
 
-def timing_curves(ss: DataFrame, season: int, points: int = 100) -> DataFrame:
+def timing_curves(ss: DataFrame, season: int, corrected: int, points: int = 100) -> DataFrame:
     """Both fitted curves on an even grid over the days of the history."""
-    curves = curve_points(timing_fits(ss, season), "period", "predicted_percent", "yday", points, "predicted")
+    curves = curve_points(timing_fits(ss, season, corrected), "period", "predicted_percent", "yday", points, "predicted")
     return curves.select("period", "point", "yday", "predicted")

@@ -171,17 +171,18 @@ SELECT survey_date, seine_id, so_total, yday,
 FROM ss WHERE year = {SEASON} AND so_total > 0"""
 ss_query("q18_season_progress", PROGRESS, doubles=["percent"])(on_ss(timing.season_progress, SEASON))
 
+CORRECTED = SEASON - 2
 PAST = "past AS (SELECT * FROM ss WHERE year < 2001)"
 ss_query(
     "q19_timing_points",
     f"""SELECT 'predicted_percent' AS period, yday, percent FROM timing
         UNION ALL SELECT 'predicted_current', yday, percent FROM ({PROGRESS}) p""",
-    extra=(PAST, *timing_ctes(SEASON - 1, "past")),
+    extra=(PAST, *timing_ctes(CORRECTED, "past")),
     doubles=["percent"],
-)(on_ss(timing.timing_points, SEASON))
+)(on_ss(timing.timing_points, SEASON, CORRECTED))
 
-query("q19_timing_fits", SURVEY, digits=4)(on_ss(timing.timing_fits, SEASON))
-query("q19_timing_curves", SURVEY, digits=4)(on_ss(timing.timing_curves, SEASON))
+query("q19_timing_fits", SURVEY, digits=4)(on_ss(timing.timing_fits, SEASON, CORRECTED))
+query("q19_timing_curves", SURVEY, digits=4)(on_ss(timing.timing_curves, SEASON, CORRECTED))
 
 ss_query(
     "q20_rolling_catch",

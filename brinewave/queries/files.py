@@ -61,7 +61,7 @@ def read_skipping(speed):
 @query("s04_units_row", ["sst"], "SELECT survey, date, temp FROM sst", doubles=["temp"])
 def units_row(sst):
     path = as_text_file(sst, "survey,date,temp", "text,yyyy-mm-dd,degrees")
-    return readers.read_with_units_row(sst.sparkSession, path, "survey string, date date, temp double", "date")
+    return readers.read_with_units_row(sst.sparkSession, path, "survey string, date date, temp double")
 
 
 @query(

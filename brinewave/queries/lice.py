@@ -132,16 +132,17 @@ COMPLETE = " AND ".join(f"{c} IS NOT NULL" for c in lice.CURRENT_COUNTS)
 AS_DOUBLE = ", ".join(f"CAST({c} AS DOUBLE) AS {c}" for c in lice.CURRENT_COUNTS[:8])
 
 
-def current_ctes(leps_share: str, cal_share: str) -> list[str]:
+def current_ctes(leps_share: str) -> list[str]:
     return [
         f"""loused AS (
   SELECT c.survey_date, c.seine_id, c.species, l.*  EXCLUDE (seine_id), lep_cope + lam + laf + lgf AS leps,
          cal_cope + cam + caf + cgf AS cal, chal_a_b + unid_cope + unid_chal AS unk
   FROM lice l JOIN catches c ON l.ufn = c.ufn AND l.seine_id = c.seine_id
   WHERE year(c.survey_date) = {SEASON} AND {COMPLETE})""",
-        "odds AS (SELECT CAST(sum(leps) AS DOUBLE) / CAST(sum(cal) AS DOUBLE) AS r FROM loused)",
+        f"""odds AS (SELECT {leps_share} AS r
+          FROM (SELECT CAST(sum(leps) AS DOUBLE) AS leps, CAST(sum(cal) AS DOUBLE) AS cal FROM loused) s)""",
         f"""counted AS (
-  SELECT survey_date, seine_id, species, ufn, {AS_DOUBLE}, unk * ({leps_share}) AS inferred_leps, unk * ({cal_share}) AS inferred_cal FROM loused, odds)""",
+  SELECT survey_date, seine_id, species, ufn, {AS_DOUBLE}, unk * r AS inferred_leps, unk * (1 - r) AS inferred_cal FROM loused, odds)""",
         """current_lice AS (
   SELECT survey_date, seine_id, species, ufn,
          CASE WHEN part IN ('cal_cope', 'inferred_cal', 'cam', 'caf', 'cgf') THEN 'Caligus clemensi'
@@ -155,14 +156,15 @@ def current_ctes(leps_share: str, cal_share: str) -> list[str]:
     ]
 
 
-CURRENT = current_ctes("r", "1 - r")
+LEPS_SHARES = {"odds": "leps / nullif(cal, 0)", "share": "leps / nullif(leps + cal, 0)"}
+CURRENT = current_ctes(LEPS_SHARES["odds"])
 CURRENT_VIEWS = ("lice", "fish", *SURVEY)
-for mode, leps_share, cal_share in (("odds", "r", "1 - r"), ("share", "r / (1 + r)", "1 - r / (1 + r)")):
+for mode, leps_share in LEPS_SHARES.items():
     query(
         f"q33_current_lice_{mode}",
         CURRENT_VIEWS,
         """SELECT *, year(survey_date) AS year FROM current_lice WHERE species IN ('SO', 'PI', 'CU')""",
-        extra=(SS, CATCHES, *current_ctes(leps_share, cal_share)),
+        extra=(SS, CATCHES, *current_ctes(leps_share)),
         doubles=['"count"'],
     )(
         lambda counts, fish, *s, mode=mode: lice.current_lice(
@@ -170,6 +172,10 @@ for mode, leps_share, cal_share in (("odds", "r", "1 - r"), ("share", "r / (1 +
         )
     )
 
+# the attached columns that the laboratory sheet of the tables has
+LAB_LEPS = ["lep_cop", "lep_chal_a", "lep_chal_b"]
+LAB_CALS = ["cal_cop", "cal_chal_a_1", "cal_chal_b_3"]
+
 LAB = """lab AS (
   SELECT survey_date, seine_id, species, ufn,
          CASE WHEN part LIKE 'lep%' THEN 'Lepeophtheirus salmonis' ELSE 'Caligus clemensi' END AS louse_species,
@@ -185,7 +191,7 @@ query(
     "SELECT * FROM lab",
     extra=(SS, CATCHES, LAB),
     doubles=['"count"'],
-)(lambda lab, fish, alike, *s: lice.lab_attached(lab, lice.catch_data(fish, survey_seines(*s)), alike))
+)(lambda lab, fish, alike, *s: lice.lab_attached(lab, lice.catch_data(fish, survey_seines(*s)), alike, LAB_LEPS, LAB_CALS))
 
 SERIES = """series AS (
   SELECT l.survey_date, c.seine_id, l.species, l.ufn,
@@ -234,7 +240,7 @@ def long_table(counts, lab, series, field, fish, alike, *s):
     ss = survey_seines(*s)
     catches = lice.catch_data(fish, ss)
     everything = lice.all_sources(
-        lice.lab_attached(lab, catches, alike),
+        lice.lab_attached(lab, catches, alike, LAB_LEPS, LAB_CALS),
         lice.current_lice(counts, fish, ss, SEASON, salmon_only=False),
         lice.field_attached(field, catches, alike),
         lice.motile_series(series, catches),
@@ -249,7 +255,7 @@ query(
     extra=(SS, CATCHES, LAB, *FIELD, DUPS),
 )(
     lambda lab, field, fish, alike, *s: lice.cross_source_duplicates(
-        lice.lab_attached(lab, lice.catch_data(fish, survey_seines(*s)), alike),
+        lice.lab_attached(lab, lice.catch_data(fish, survey_seines(*s)), alike, LAB_LEPS, LAB_CALS),
         lice.field_attached(field, lice.catch_data(fish, survey_seines(*s)), alike),
     )
 )

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import csv
 import sys
 from collections.abc import Iterator, Sequence
 
@@ -9,7 +10,7 @@ import pandas as pd
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructType
+from pyspark.sql.types import StructType
 
 NA_OPTIONS = {"header": True, "nullValue": "NA", "nanValue": "NaN"}
 
@@ -31,44 +32,51 @@ def read_quoted(spark: SparkSession, path: str, schema: str) -> DataFrame:
     )
 
 
-def _drop_head(lines: int):
+def _drop_head(header: int, after: int, names: Sequence[str]):
+    """Drop the lines up to the header and ``after`` more; the header line of each file must have the names."""
+
     def drop(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         seen: dict[str, int] = {}
         for batch in batches:
-            first = batch["start"] == 0
-            if not first.any():
-                yield batch[["value"]]
-                continue
             place = batch.groupby("file").cumcount() + batch["file"].map(seen).fillna(0)
-            for file, n in batch[first].groupby("file").size().items():
+            for line in batch.loc[place == header, "value"]:
+                found = next(csv.reader([line]), [])
+                if found != list(names):
+                    raise ValueError(f"the header is {found}, not {list(names)}")
+            for file, n in batch.groupby("file").size().items():
                 seen[file] = seen.get(file, 0) + int(n)
-            yield batch.loc[~first | (place >= lines), ["value"]]
+            yield batch.loc[place > header + after, ["value"]]
 
     return drop
 
 
-def read_skipping(spark: SparkSession, path: str, skip: int, schema: str) -> DataFrame:
-    """CSV files that open with ``skip`` lines of preamble and a header line.
+def _body(spark: SparkSession, path: str, header: int, after: int, names: Sequence[str]) -> DataFrame:
+    """The lines of CSV files below their heads, blank ones left out.
 
-    Files stay splittable: only the split at the start of a file drops lines, by counting them as
-    they pass, so no file is ever held in memory.
+    Files stay splittable: only the split at the start of a file passes through Python, which counts its lines as they
+    go, so no file is ever held in memory; later splits stay in the JVM.
     """
     lines = spark.read.text(path).select(
         "value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start")
     )
-    body = lines.mapInPandas(_drop_head(skip + 1), "value string").filter(F.length(F.trim("value")) > 0)
-    parsed = F.from_csv("value", schema, {"nullValue": "NA"})
-    return body.select(parsed.alias("row")).select("row.*")
+    first = lines.filter("start = 0").select("value", "file")
+    body = first.mapInPandas(_drop_head(header, after, names), "value string")
+    return body.unionByName(lines.filter("start > 0").select("value")).filter(F.length(F.trim("value")) > 0)
+
+
+def read_skipping(spark: SparkSession, path: str, skip: int, schema: str) -> DataFrame:
+    """CSV files that open with ``skip`` lines of preamble and a header line, which must name the schema's columns."""
+    body = _body(spark, path, skip, 0, StructType.fromDDL(schema).names)
+    return body.select(F.from_csv("value", schema, {"nullValue": "NA"}).alias("row")).select("row.*")
 
 
-def read_with_units_row(spark: SparkSession, path: str, schema: str, key: str) -> DataFrame:
-    """CSV with a row of units under the header: rows whose key does not parse are dropped, the rest
-    cast to the schema."""
+def read_with_units_row(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """CSV files with a row of units under the header: that row of each file is dropped, whatever it says, and all
+    others are cast to the schema, missing where a value does not parse."""
     wanted = StructType.fromDDL(schema)
-    texts = StructType([f.__class__(f.name, StringType()) for f in wanted.fields])
-    raw = spark.read.schema(texts).options(**NA_OPTIONS, enforceSchema=False).csv(path)
-    typed = raw.select(*[F.col(f"`{f.name}`").try_cast(f.dataType).alias(f.name) for f in wanted.fields])
-    return typed.filter(F.col(f"`{key}`").isNotNull())
+    texts = ", ".join(f"`{f.name}` string" for f in wanted.fields)
+    rows = _body(spark, path, 0, 1, wanted.names).select(F.from_csv("value", texts, {"nullValue": "NA"}).alias("row"))
+    return rows.select(*[F.col(f"row.`{f.name}`").try_cast(f.dataType).alias(f.name) for f in wanted.fields])
 
 
 def read_sheets(spark: SparkSession, folder: str, sheets: dict[str, str]) -> dict[str, DataFrame]:

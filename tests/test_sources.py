@@ -42,9 +42,20 @@ def test_skip_preamble_of_every_file(spark, tmp_path, split):
 
 
 def test_units_row(spark, tmp_path):
-    path = write(tmp_path / "a.csv", "survey,date,temp\n-,yyyy-mm-dd,C\nDI,2017-05-01,9.5\nJS,2017-05-02,oops\n")
-    rows = readers.read_with_units_row(spark, path, schemas.PROBE, "date").collect()
-    assert [tuple(r) for r in rows] == [("DI", dt.date(2017, 5, 1), 9.5), ("JS", dt.date(2017, 5, 2), None)]
+    path = write(tmp_path / "a.csv", "survey,date,temp\n-,yyyy-mm-dd,C\nDI,2017-05-01,9.5\nJS,2017-05-02,oops\nJS,NA,3\n")
+    rows = readers.read_with_units_row(spark, path, schemas.PROBE).collect()
+    assert [tuple(r) for r in rows] == [
+        ("DI", dt.date(2017, 5, 1), 9.5), ("JS", dt.date(2017, 5, 2), None), ("JS", None, 3.0)
+    ]
+
+
+def test_swapped_header_is_refused(spark, tmp_path):
+    log = write(tmp_path / "log.csv", "x\nspeed,stamp\n3.5,2018-01-01 00:00\n")
+    with pytest.raises(Exception, match="the header is"):
+        readers.read_skipping(spark, log, 1, "stamp string, speed double").collect()
+    units = write(tmp_path / "units.csv", "date,survey,temp\nd,-,C\n2017-05-01,DI,1\n")
+    with pytest.raises(Exception, match="the header is"):
+        readers.read_with_units_row(spark, units, schemas.PROBE).collect()
 
 
 def test_quoted_line_feeds(spark, tmp_path):
