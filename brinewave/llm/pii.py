@@ -142,7 +142,7 @@ def disclosing(rows: DataFrame, base: DataFrame) -> DataFrame:
     """``term, ratio`` of the terms that disclose some entity, by their strongest entity; every word of ``_t`` counts.
 
     The documents whose contexts hold a term bound its uses from below, and with that its ratio from above: terms
-    that cannot reach ``GENERALISE``, all common words among them, need not be counted in the corpus.
+    that cannot reach ``GENERALISE``, all common words among them, are dropped before their counts are joined.
     """
     uses = held(contexts(rows, base))
     found = uses.dropDuplicates(["entity", "context"])
@@ -154,7 +154,8 @@ def disclosing(rows: DataFrame, base: DataFrame) -> DataFrame:
     most = ratio(total, F.col("n_e"), F.col("least"), F.col("n_et"))
     pairs = held(pairs.filter(most >= GENERALISE).drop("least"))
     words = rows.select(F.explode(letters(F.col("_t"))).alias("term"))
-    used = words.join(small(pairs.select("term").distinct()), "term").groupBy("term").agg(F.count("*").alias("n_t"))
+    # all words are counted before they meet the terms, so that the join makes a row a term and not a row a use
+    used = words.groupBy("term").agg(F.count("*").alias("n_t")).join(small(pairs.select("term").distinct()), "term")
     told = pairs.join(used, "term").withColumn("ratio", ratio(total, F.col("n_e"), F.col("n_t"), F.col("n_et")))
     return told.groupBy("term").agg(F.max("ratio").alias("ratio")).filter(F.col("ratio") >= GENERALISE)
 
