@@ -202,7 +202,8 @@ def learn_lexicon(sample: DataFrame) -> list[tuple[str, bool]]:
             if len(toxic) + len(clean) > 1 << 20:
                 yield _counts(toxic, clean)
                 toxic, clean = Counter(), Counter()
-        yield _counts(toxic, clean)
+        if toxic or clean:
+            yield _counts(toxic, clean)
 
     counted = sample.mapInPandas(count, "term string, toxic long, clean long").groupBy("term").agg(
         F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean")
@@ -222,7 +223,8 @@ def learn_lexicon(sample: DataFrame) -> list[tuple[str, bool]]:
                     for term in (w[i] + "$", *(w[i][:n] for n in STEMS if n <= len(w[i]))):
                         if term in terms:
                             seen.add((term, around, int(label)))
-            yield pd.DataFrame(sorted(seen), columns=["term", "around", "label"])
+            if seen:
+                yield pd.DataFrame(sorted(seen), columns=["term", "around", "label"])
 
     apart = sample.mapInPandas(contexts, "term string, around string, label int").distinct()
     uses = apart.groupBy("term").agg(F.sum("label").alias("n"), F.count("*").alias("all"))
@@ -271,7 +273,8 @@ def train(documents: DataFrame, labels: DataFrame, label: str = "toxic", of: int
                 hits = found_in(text, automaton)
                 least = min(((q, e) for _, e, q in hits), default=None)  # what stands beside a plainer hit tells nothing
                 out.update((k, e, q, int(y)) for k, e, q in hits if (q, e) == least)
-        yield pd.DataFrame([(*k, n) for k, n in out.items()], columns=["entry", "edits", "quoted", "label", "n"])
+        if out:
+            yield pd.DataFrame([(*k, n) for k, n in out.items()], columns=["entry", "edits", "quoted", "label", "n"])
 
     seen = sample.mapInPandas(kinds, "entry int, edits int, quoted boolean, label int, n long")
     table = seen.groupBy("entry", "edits", "quoted", "label").agg(F.sum("n").alias("n")).toPandas()
