@@ -6,8 +6,10 @@ import pytest
 from compare import differences, duck
 
 import __spark_entry__ as entry
+from brinewave.queries import load
 
-NAMES = list(entry.queries())
+QUERIES, ORACLES = load()
+NAMES = list(QUERIES)
 WITHOUT_SQL = {
     "m01_loess_grid_interpolated",
     "q03_temperature_anomaly_interpolated",
@@ -23,12 +25,13 @@ def connection(sf_dir):
 
 @pytest.mark.parametrize("name", NAMES)
 def test_query_matches_sql(spark, connection, sf_dir, name):
-    found = differences(spark, connection, name, entry.queries()[name], entry.oracle_sql().get(name), sf_dir)
+    found = differences(spark, connection, name, QUERIES[name], ORACLES.get(name), sf_dir)
     assert [d for d in found if d != "no rows"] == []
 
 
 def test_every_query_is_checked_but_the_fits():
-    assert set(NAMES) - set(entry.oracle_sql()) == WITHOUT_SQL
+    assert set(NAMES) - set(ORACLES) == WITHOUT_SQL
+    assert set(NAMES) <= set(entry.queries()) and set(ORACLES) <= set(entry.oracle_sql())
 
 
 def test_entry_runs(spark):
