@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from brinewave.llm import chat, decontamination, lm, mixing, pii, quality, rules, simhash, substrings, toxicity
+from brinewave.llm import (
+    chat, decontamination, gnat, lm, minhash, mixing, pii, quality, rules, simhash, spelling, substrings, toxicity,
+)
 from brinewave.llm.base import SPACE, prepared, remainder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -186,3 +188,114 @@ SELECT conv_id, count(*) AS n_turns,
     AS formatted_chars
 FROM e GROUP BY conv_id
 """
+
+
+@query
+def op11_minhash_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = minhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=2)
+    return found.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(False)))
+
+
+ORACLES["op11_minhash_near_duplicates"] = rf"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '{SPACE}'), lambda x: x <> '') AS w FROM documents),
+s AS MATERIALIZED (
+  SELECT doc_id, list_sort(list_distinct(CASE WHEN len(w) = 1 THEN w
+    ELSE list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]) END)) AS g FROM d),
+c AS MATERIALIZED (SELECT g, min(doc_id) AS node FROM s WHERE len(g) > 0 GROUP BY g),
+e AS MATERIALIZED (SELECT node, len(g) AS n, unnest(g) AS x FROM c),
+i AS (SELECT a.node AS a, b.node AS b, a.n AS na, b.n AS nb, count(*) AS common
+  FROM e AS a JOIN e AS b ON a.x = b.x AND a.node < b.node AND 100 * least(a.n, b.n) >= 80 * greatest(a.n, b.n)
+  GROUP BY a.node, b.node, a.n, b.n),
+l AS MATERIALIZED (SELECT a, b FROM i WHERE 100 * common >= 80 * (na + nb - common)),
+both_ways AS MATERIALIZED (SELECT a, b FROM l UNION ALL SELECT b, a FROM l),
+reached AS (
+  SELECT node, node AS other FROM c UNION SELECT r.node, b FROM reached AS r JOIN both_ways ON r.other = a),
+m AS (SELECT node, min(other) AS component_id FROM reached GROUP BY node)
+SELECT doc_id, CAST(len(s.g) AS BIGINT) AS n_shingles, coalesce(component_id, doc_id) AS component_id,
+  doc_id = coalesce(component_id, doc_id) AS kept
+FROM s LEFT JOIN c ON s.g = c.g LEFT JOIN m ON c.node = m.node
+"""
+
+
+@query
+def op12_gnat_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows, books = gnat.compressed(table(spark, sf_dir, "embeddings"), parts=8, entries=16, rounds=6)
+    return rows.select("vec_id", "code", "error", "label_error", F.lit(gnat.digest(books)).alias("codebooks_sha256"))
+
+
+def _rounds(rounds: int) -> str:
+    """The codebooks b0, b1, ... and the assignments a0, a1, ... of each of the rounds, and the last assignment."""
+    out = []
+    for k in range(rounds + 1):
+        out.append(f"""a{k} AS MATERIALIZED (
+  SELECT rid, p, min((dist, e)) AS best FROM (
+    SELECT x.rid, x.p, b.e, CAST(sum((x.x - b.x) * (x.x - b.x)) AS BIGINT) AS dist
+    FROM comps AS x JOIN b{k} AS b ON x.p = b.p AND x.i = b.i GROUP BY x.rid, x.p, b.e) AS t GROUP BY rid, p)""")
+        if k < rounds:
+            out.append(f"""b{k + 1} AS MATERIALIZED (
+  SELECT b.p, b.e, b.i, coalesce(m.x, b.x) AS x FROM b{k} AS b LEFT JOIN (
+    SELECT a.p, a.best[2] AS e, x.i, CAST(floor(sum(x.x) / count(*)) AS BIGINT) AS x
+    FROM a{k} AS a JOIN comps AS x ON a.rid = x.rid AND a.p = x.p GROUP BY a.p, a.best[2], x.i) AS m
+  ON b.p = m.p AND b.e = m.e AND b.i = m.i)""")
+    return ",\n".join(out)
+
+
+ORACLES["op12_gnat_vector_codes"] = rf"""
+WITH v AS (
+  SELECT row_number() OVER (ORDER BY vec_id, embedding) AS rid, vec_id, label, embedding FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+comps AS MATERIALIZED (
+  SELECT rid, (k - 1) * 8 // n AS p, k AS i, CAST(floor(4096 * CAST(x AS DOUBLE)) AS BIGINT) AS x FROM (
+    SELECT rid, len(embedding) AS n, unnest(embedding) AS x, unnest(range(1, len(embedding) + 1)) AS k FROM v) AS u),
+b0 AS MATERIALIZED (SELECT p, rid - 1 AS e, i, x FROM comps WHERE rid <= 16),
+{_rounds(6)},
+coded AS (
+  SELECT rid, string_agg(printf('%02x', best[2]), '' ORDER BY p) AS code, CAST(sum(best[1]) AS BIGINT) AS error FROM a6 GROUP BY rid),
+books AS (SELECT sha256(string_agg(CAST(x AS VARCHAR), ',' ORDER BY p, e, i)) AS codebooks_sha256 FROM b6)
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, codebooks_sha256
+FROM v JOIN coded ON v.rid = coded.rid CROSS JOIN books
+"""
+
+
+@query
+def op13_pivotal_spelling_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.grouped(spelling.counted(table(spark, sf_dir, "documents"), typo_every=97))
+
+
+ORACLES["op13_pivotal_spelling_groups"] = r"""
+WITH RECURSIVE t AS MATERIALIZED (
+  SELECT list_transform(range(256), lambda b: list_reduce(range(8), lambda x, k:
+    CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END, CAST(b AS BIGINT))) AS crc),
+r AS (
+  SELECT doc_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[A-Za-zÀ-ÿ]+')) AS run FROM documents),
+u AS MATERIALIZED (SELECT doc_id, run, count(*) AS n FROM r WHERE length(run) > 4 GROUP BY doc_id, run),
+h AS (
+  SELECT run, n, xor(list_reduce(list_transform(flatten(list_transform(string_split(doc_id || ':' || run, ''),
+      lambda c: CASE WHEN unicode(c) < 128 THEN [unicode(c)] ELSE [195, unicode(c) - 64] END)), lambda b: CAST(b AS BIGINT)),
+    lambda x, b: xor(x >> 8, crc[(xor(x, b) & 255) + 1]), 4294967295), 4294967295) AS h FROM u, t),
+o AS (
+  SELECT CASE WHEN h % 97 = 0 THEN substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word, n FROM h),
+w AS MATERIALIZED (
+  SELECT word, CAST(sum(n) AS BIGINT) AS n FROM o WHERE length(word) > 4 GROUP BY word HAVING sum(n) > 2),
+k AS MATERIALIZED (
+  SELECT word, n, i, substr(word, 1, i - 1) || substr(word, i + 1) AS key FROM (
+    SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM w) AS x),
+shorter AS (SELECT DISTINCT k.word, k.n, w.word AS other, w.n AS other_n FROM k JOIN w ON k.key = w.word),
+near AS MATERIALIZED (
+  SELECT word, other, other_n FROM shorter UNION SELECT other, word, n FROM shorter
+  UNION SELECT a.word, b.word, b.n FROM k AS a JOIN k AS b ON a.key = b.key AND a.i = b.i AND a.word <> b.word),
+best AS (
+  SELECT word, count(*) AS n_near, min((-other_n, other)) AS best FROM near GROUP BY word),
+f AS MATERIALIZED (
+  SELECT w.word, w.n, coalesce(n_near, 0) AS n_near,
+    CASE WHEN -best[1] >= 2 * w.n THEN best[2] END AS form, CASE WHEN -best[1] >= 2 * w.n THEN -best[1] END AS form_n
+  FROM w LEFT JOIN best ON w.word = best.word),
+up AS (
+  SELECT word, word AS root, form AS next FROM f
+  UNION ALL SELECT up.word, f.word, f.form FROM up JOIN f ON up.next = f.word)
+SELECT f.word, f.form, up.root, f.n, CAST(f.n_near AS BIGINT) AS n_near, CAST(f.form_n AS BIGINT) AS form_n
+FROM f JOIN up ON f.word = up.word WHERE up.next IS NULL
+"""

@@ -21,7 +21,7 @@ def test_query_matches_sql(spark, sf_dir, name):
 
 def test_queries_without_sql():
     assert set(queries.QUERIES) - set(queries.ORACLES) == WITHOUT_SQL
-    assert sorted(int(n[2:].split("_")[0]) for n in queries.QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in queries.QUERIES) == list(range(1, 14))
 
 
 def test_registered(spark):
