@@ -6,12 +6,15 @@ minhashes. A table key pairs one hash of the first collection with one of the se
 in some table unless one collection misses entirely: probability ``1 - (1 - (1 - s ** DEPTH) ** TABLES) ** 2``, with the values
 below 4e-4 at s = 0.8, 2e-5 at 0.85 and 3e-7 at 0.9.
 
-Equal sets are one node. A hash that no other node has is dropped before keys are formed, which loses no bucket. What has
-to be right is connection, so buckets are worked off in two ways, both verified by the exact intersection of full sets:
-first every node meets the hub (the node of the least hash) that it shares most buckets with, twice; then, in the
-buckets that still hold nodes of different components, all nodes of different components meet in blocks. There, a pair
-goes on to verification if enough of its minhashes agree (probability to lose a pair of similarity 0.8: below 1e-6).
-A bucket in one component has nothing left to do, however large it is.
+Equal sets are one node. A hash that no other node has is dropped before keys are formed, which loses no bucket.
+
+What has to be right is connection, so no pairs are written within a bucket. Nodes of one bucket first meet its hub, the node
+with most company; a node follows the hub that most of its minhashes agree with. Buckets whose nodes all follow one hub are
+done; in the others, followers of different hubs meet in blocks, of which a spanning forest of similar sketches
+comes out. Both together make families: two nodes of one bucket with similar sketches are always in one (a pair of similarity 0.8
+has dissimilar ones with probability 1e-8). Within a family, links are confirmed by the exact intersection of full sets, of each
+node with its hub first, then in blocks between nodes that do not follow one confirmed hub; again a forest of links comes out.
+Blocks of the largest following meet those of the others only, so a large group around one text costs no more than its rows.
 """
 
 from __future__ import annotations
@@ -33,9 +36,8 @@ SHINGLE = 2
 SIMILARITY = 80  # percent
 TABLES = 12
 DEPTH = 3
-HUBS = 2
-SHARED_LEAST = 6  # buckets of a node and its hub; pairs below it meet in blocks
-BLOCK = 256
+BLOCK = 512  # nodes, where sketches meet
+BLOCK_MEMBERS = 1 << 17  # shingles, where sets meet
 #: Of 72 minhashes, 36 or more agree but for a chance of 1e-8 at similarity 0.8; chance agreements only add pairs.
 AGREE_LEAST = 36
 SPAN = 1 << 13
@@ -104,77 +106,158 @@ def sketched(docs: DataFrame, shingle: int) -> DataFrame:
 
 
 def mixed(rows: DataFrame) -> DataFrame:
-    """The rows of ``rows(key, node, comp, n)`` whose key holds nodes of different components."""
+    """The rows of ``rows(key, comp, ...)`` whose key has different values of ``comp``."""
     apart = rows.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo <> hi").select("key")
     return rows.join(apart, "key", "left_semi")
 
 
 def buckets(nodes: DataFrame) -> DataFrame:
-    """``key, node, comp, n``: the table keys of every node that has company there; each node is its own component."""
-    each = nodes.select("node", "n", F.posexplode("hashes").alias("at", "h"))
-    shared = mixed(each.select(F.xxhash64("at", "h").alias("key"), "node", F.col("node").alias("comp"), "n", "at", "h"))
+    """``key, node, score``: the table keys of every node that has company there. The score is the node's company in all hashes."""
+    each = nodes.select("node", F.posexplode("hashes").alias("at", "h")).withColumn("key", F.xxhash64("at", "h"))
+    company = each.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1")
     # a bucket's nodes share both hashes: what stands alone in one collection is in no bucket
     pair = F.struct("at", "h")
-    sides = shared.groupBy("node", "n").agg(
+    sides = each.join(company, "key").groupBy("node").agg(
         F.collect_list(F.when(F.col("at") < TABLES, pair)).alias("first"),
         F.collect_list(F.when(F.col("at") >= TABLES, pair)).alias("second"),
+        F.sum("n").alias("score"),
     )  # at most TABLES entries each
-    keys = sides.select("node", "n", F.explode("first").alias("x"), "second").select("node", "n", "x", F.explode("second").alias("y"))
-    return mixed(keys.select(F.xxhash64("x.at", "x.h", "y.at", "y.h").alias("key"), "node", F.col("node").alias("comp"), "n"))
+    keys = sides.select("node", "score", F.explode("first").alias("x"), "second").select("node", "score", "x", F.explode("second").alias("y"))
+    rows = keys.select(F.xxhash64("x.at", "x.h", "y.at", "y.h").alias("key"), "node", "score", F.col("node").alias("comp"))
+    return mixed(rows).drop("comp")
 
 
 def sizes_allow(a: str, b: str):
     return 100 * F.least(a, b) >= SIMILARITY * F.greatest(a, b)
 
 
-def to_hubs(rows: DataFrame, turn: int) -> DataFrame:
-    """``a, b``: every node with the hub of another component that it shares most buckets with."""
-    order = F.struct(F.xxhash64("node", F.lit(turn)).alias("h"), "node", "comp", "n")
-    hubs = rows.groupBy("key").agg(F.min(order).alias("hub"))
-    met = rows.join(hubs, "key").filter(F.col("comp") != F.col("hub.comp"))
-    met = met.filter(sizes_allow("n", "hub.n")).groupBy("node", F.col("hub.node").alias("b")).agg(F.count("*").alias("times"))
-    best = met.filter(F.col("times") >= SHARED_LEAST).groupBy("node").agg(F.max(F.struct("times", "b")).alias("x"))
-    return best.select(F.col("node").alias("a"), F.col("x.b").alias("b"))
+def to_hubs(rows: DataFrame, nodes: DataFrame) -> DataFrame:
+    """``a, b, agree``: every node with the hubs of its buckets whose sizes and sketches allow the similarity."""
+    hubs = rows.groupBy("key").agg(F.max(F.struct("score", "node")).alias("hub"))
+    pairs = rows.join(hubs, "key").select(F.col("node").alias("a"), F.col("hub.node").alias("b")).filter("a <> b").distinct()
+    a = nodes.select(F.col("node").alias("a"), F.col("n").alias("n_a"), F.col("sketch").alias("of_a"))
+    b = nodes.select(F.col("node").alias("b"), F.col("n").alias("n_b"), F.col("sketch").alias("of_b"))
 
+    @F.pandas_udf("int")
+    def agreements(x: pd.Series, y: pd.Series) -> pd.Series:
+        return pd.Series((table(x) == table(y)).sum(1), dtype="int32")
 
-def across(rows: DataFrame, sketches: DataFrame) -> DataFrame:
-    """``a, b`` of all nodes of different components in one bucket whose sizes and sketches allow the similarity.
+    met = pairs.join(a, "a").join(b, "b").filter(sizes_allow("n_a", "n_b"))
+    return met.select("a", "b", agreements("of_a", "of_b").alias("agree")).filter(F.col("agree") >= AGREE_LEAST)
 
-    A bucket is cut into blocks by the node; two blocks meet in one task, whatever the size of the bucket.
+
+def table(sketches) -> np.ndarray:
+    """Sketches in binary form, one a row."""
+    return np.frombuffer(b"".join(sketches), np.uint16).reshape(len(sketches), 2 * TABLES * DEPTH)
+
+
+def met_in_blocks(rows: DataFrame, weight, limit: int, *carried: str) -> DataFrame:
+    """``left, right`` of ``rows(key, node, comp, ...)``: pairs of blocks of one key that nodes of different ``comp`` can meet in.
+
+    The nodes of a key's largest comp are in blocks of their own, which meet the blocks of the others only; the others' blocks
+    meet each other, and a block itself (``right`` empty). A block has about ``limit`` of the weight, whatever the key has.
     """
-    parts = rows.groupBy("key").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
-    dealt = rows.join(parts, "key").join(sketches, "node").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
-    met = dealt.select("*", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
-    one = F.struct("node", "comp", "n", "sketch")
-    first = F.col("block") == F.least("block", "other")
-    met = met.groupBy("key", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j")).agg(
-        F.collect_list(F.when(first, one)).alias("left"), F.collect_list(F.when(~first, one)).alias("right")
+    parts = rows.groupBy("key", "comp").agg(F.sum(weight).alias("w")).groupBy("key").agg(
+        F.max(F.struct("w", "comp")).alias("most"), F.sum("w").alias("w")
     )
+    blocks = lambda w: F.ceil(w / limit).cast("int")
+    parts = parts.select("key", F.col("most.comp").alias("main"), blocks(F.col("most.w")).alias("own"), blocks(F.col("w") - F.col("most.w")).alias("others"))
+    dealt = rows.join(parts, "key")
+    h, is_main = F.xxhash64("node"), F.col("comp") == F.col("main")
+    block = F.when(is_main, F.pmod(h, F.col("own"))).otherwise(F.col("own") + F.pmod(h, F.col("others"))).cast("int")
+    first = F.when(is_main, F.col("own")).otherwise(0)
+    met = dealt.withColumn("block", block).withColumn("with", F.explode(F.sequence(first, F.col("own") + F.col("others") - 1)))
+    one, low = F.struct("node", "comp", *carried), F.least("block", "with")
+    return met.groupBy("key", low.alias("i"), F.greatest("block", "with").alias("j")).agg(
+        F.collect_list(F.when(F.col("block") == low, one)).alias("left"), F.collect_list(F.when(F.col("block") != low, one)).alias("right")
+    ).select("left", "right")
+
+
+class Forest:
+    """Classes of a few numbered things, joined by links; keeps the links that joined two classes."""
+
+    def __init__(self, classes: np.ndarray) -> None:
+        self.of = np.unique(classes, return_inverse=True)[1]
+        self.links: list[tuple[int, int]] = []
+
+    def join(self, a: int, b: int) -> None:
+        if self.of[a] != self.of[b]:
+            self.links.append((a, b))
+            self.of[self.of == self.of[b]] = self.of[a]
+
+
+def forest(left, right, linked) -> list[tuple[int, int]]:
+    """Links between the nodes of two blocks (of one, if ``right`` is empty) that join their classes.
+
+    ``linked(i, js)`` tells which of the rows ``js`` of both together are linked to row ``i``. Rows of one class do not meet.
+    """
+    both = [*left, *right]
+    node = np.array([r["node"] for r in both], np.int64)
+    found = Forest(np.array([r["comp"] for r in both], np.int64))
+    for i in range(len(left) if len(right) else len(both)):
+        js = np.flatnonzero(found.of[: len(both)] != found.of[i])
+        js = js[js >= max(i + 1, len(left) if len(right) else 0)]
+        for j in linked(i, js) if len(js) else ():
+            found.join(i, int(j))
+    return [(int(node[i]), int(node[j])) for i, j in found.links]
+
+
+def similar(rows, sizes: np.ndarray):
+    """For ``forest``: the rows whose sizes and sketches allow the similarity."""
+    sketch = table([r["sketch"] for r in rows])
+
+    def of(i: int, js: np.ndarray) -> np.ndarray:
+        js = js[100 * np.minimum(sizes[js], sizes[i]) >= SIMILARITY * np.maximum(sizes[js], sizes[i])]
+        return js[(sketch[js] == sketch[i]).sum(1) >= AGREE_LEAST]
 
-    def table(rows) -> tuple[np.ndarray, ...]:
-        sketch = np.frombuffer(b"".join(r["sketch"] for r in rows), np.uint16).reshape(len(rows), -1)
-        return *(np.array([r[c] for r in rows], np.int64) for c in ("node", "comp", "n")), sketch
+    return of
+
+
+def sketch_links(rows: DataFrame, nodes: DataFrame) -> DataFrame:
+    """``a, b``: a forest over the nodes of different comps in one bucket whose sizes and sketches allow the similarity."""
+    met = met_in_blocks(rows.join(nodes.select("node", "n", "sketch"), "node"), F.lit(1), BLOCK, "n", "sketch")
 
     def compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            found = []
-            for i, j, lo, hi in zip(pdf["i"], pdf["j"], pdf["left"], pdf["right"]):
-                if not len(lo) or i != j and not len(hi):
-                    continue
-                a = table(lo)
-                b = a if i == j else table(hi)
-                for r in range(len(lo)):
-                    near = (b[1] != a[1][r]) & (100 * np.minimum(b[2], a[2][r]) >= SIMILARITY * np.maximum(b[2], a[2][r]))
-                    near[: r + 1 if i == j else 0] = False
-                    at = np.flatnonzero(near)
-                    at = at[(b[3][at] == a[3][r]).sum(1) >= AGREE_LEAST]
-                    found.append(np.stack([np.full(len(at), a[0][r]), b[0][at]]))
-            if found:
-                both = np.sort(np.concatenate(found, axis=1), axis=0)
-                both = np.unique(both, axis=1)
-                yield pd.DataFrame({"a": both[0], "b": both[1]})
-
-    return met.select("i", "j", "left", "right").mapInPandas(compare, "a long, b long").distinct()
+            found = set()
+            for left, right in zip(pdf["left"], pdf["right"]):
+                both = [*left, *right]
+                found.update(forest(left, right, similar(both, np.array([r["n"] for r in both]))))
+            yield pd.DataFrame(sorted(found), columns=["a", "b"], dtype="int64")
+
+    return met.mapInPandas(compare, "a long, b long").distinct()
+
+
+def set_links(rows: DataFrame) -> DataFrame:
+    """``a, b``: a forest of the confirmed links between nodes of different comps in one family.
+
+    ``rows(key, node, comp, n, sketch, members)`` of a family have one key.
+    """
+    met = met_in_blocks(rows, F.col("n") + 64, BLOCK_MEMBERS, "n", "sketch", "members")
+
+    def compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            found = set()
+            for left, right in zip(pdf["left"], pdf["right"]):
+                both = [*left, *right]
+                sizes = np.array([len(r["members"]) for r in both])
+                ends = np.cumsum([0, *sizes])
+                names, place = np.unique(np.concatenate([r["members"] for r in both]), return_inverse=True)
+                mark, near = np.zeros(len(names), bool), similar(both, sizes)
+
+                def linked(i: int, js: np.ndarray) -> np.ndarray:
+                    js = near(i, js)
+                    if not len(js):
+                        return js
+                    mark[place[ends[i] : ends[i + 1]]] = True
+                    common = np.array([np.count_nonzero(mark[place[ends[j] : ends[j + 1]]]) for j in js])
+                    mark[place[ends[i] : ends[i + 1]]] = False
+                    return js[100 * common >= SIMILARITY * (sizes[i] + sizes[js] - common)]
+
+                found.update(forest(left, right, linked))
+            yield pd.DataFrame(sorted(found), columns=["a", "b"], dtype="int64")
+
+    return met.mapInPandas(compare, "a long, b long").distinct()
 
 
 def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -186,10 +269,9 @@ def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return pairs.join(a, "a").join(b, "b").filter(100 * common >= SIMILARITY * total).select("a", "b")
 
 
-def placed(rows: DataFrame, links: DataFrame) -> DataFrame:
-    """``rows`` with the component of each node under ``links``."""
-    found = components(links)
-    return rows.drop("comp").join(found.withColumnRenamed("component", "comp"), "node", "left").withColumn("comp", F.coalesce("comp", "node"))
+def following(rows: DataFrame, hubs: DataFrame) -> DataFrame:
+    """``rows`` with the hub of each node in ``comp``; a node without one is its own, as a hub's own name is."""
+    return rows.join(hubs.select(F.col("a").alias("node"), F.col("b").alias("comp")), "node", "left").withColumn("comp", F.coalesce("comp", "node"))
 
 
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
@@ -201,7 +283,7 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
     doc_id are returned and linked but never name a component (null where no row of it has an id). Repeated rows are
     returned each. Other columns are ignored; an empty table gives no row.
     """
-    spark = prepared(docs.sparkSession)
+    prepared(docs.sparkSession)
     rows = held(sketched(docs, shingle))
     first = F.min(F.struct("rid", "rid2")).alias("row")
     same = F.min(F.struct("n", "hashes", "sketch")).alias("x")  # equal in all rows of a digest
@@ -210,7 +292,11 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
     nodes = held(nodes.select("digest", "least", "row", "x.*").withColumn("node", F.monotonically_increasing_id()))
 
     met = held(buckets(nodes))
-    wanted = met.select("node").distinct().join(nodes.select("node", "row.*"), "node")
+    near_hubs = held(to_hubs(met, nodes))
+    best = near_hubs.groupBy("a").agg(F.max(F.struct("agree", "b")).alias("x")).select("a", F.col("x.b").alias("b"))
+    beside = sketch_links(mixed(following(met, best)).select("key", "node", "comp"), nodes)
+    families = held(components(near_hubs.select("a", "b").union(beside)))
+    wanted = families.join(nodes.select("node", "row.*"), "node")
     text, doc_id = text_of(docs), column(docs, "doc_id")
     texts = docs.select(F.xxhash64(doc_id, text).alias("rid"), F.hash(text, doc_id).alias("rid2"), text.alias("text"))
 
@@ -221,14 +307,12 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
     chosen = texts.join(wanted, ["rid", "rid2"]).select("node", "text").dropDuplicates(["node"])
     sets = held(chosen.mapInPandas(members, "node long, members array<long>"))
 
-    links = spark.createDataFrame([], "a long, b long")
-    left = met
-    for turn in range(HUBS):
-        links = held(links.union(verified(to_hubs(left, turn), sets)))
-        left = held(mixed(placed(left, links)))
-    links = links.union(verified(across(left, nodes.select("node", "sketch")), sets))
-
-    groups = placed(nodes.select("node", "digest", "least"), links)
+    confirmed = held(verified(best, sets))
+    inside = mixed(following(families.withColumnRenamed("component", "key"), confirmed))
+    inside = inside.join(nodes.select("node", "n", "sketch"), "node").join(sets, "node")
+    found = components(confirmed.union(set_links(inside)))
+    found = found.withColumnRenamed("component", "comp")
+    groups = nodes.select("node", "digest", "least").join(found, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
     named = groups.groupBy("comp").agg(F.min("least").alias("component_id"))
     groups = groups.join(named, "comp").select("digest", "component_id")
     linked = rows.filter("digest IS NOT NULL").join(groups, "digest")
