@@ -80,7 +80,9 @@ def weight_density(fish: DataFrame) -> DataFrame:
     return density_histogram(fish, "weight", 4.0)
 
 
-def length_against_curve(fish: DataFrame, ss: DataFrame, season: int, species: str = "SO", region: str = "DI") -> DataFrame:
+def length_against_curve(
+    fish: DataFrame, ss: DataFrame, season: int, species: str = "SO", region: str = "DI", surface: str = "interpolate"
+) -> DataFrame:
     """Season lengths against the smoothed all-year length of the day.
 
     The curve has one row a day of the year, so each fish matches once.
@@ -89,7 +91,7 @@ def length_against_curve(fish: DataFrame, ss: DataFrame, season: int, species: s
     placed = fish_with_survey(one, ss, ["region", "year", "yday"]).filter(F.col("region") == region)
     lengths = complete(placed.select("ufn", "species", "year", "yday", "fork_length"), ["fork_length"])
     past = lengths.filter(F.col("year") < season)
-    curve = predict_observed(past, ["species"], "yday", "fork_length", 1.0, "loess_annual")
+    curve = predict_observed(past, ["species"], "yday", "fork_length", 1.0, "loess_annual", surface)
     curve = curve.select("species", F.col("yday").cast("int").alias("yday"), "loess_annual")
     current = lengths.filter(F.col("year") == season).drop("year")
     labelled = curve_against_observed(current, curve, ["species", "yday"], "fork_length", "loess_annual")

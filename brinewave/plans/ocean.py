@@ -2,14 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from brinewave.functions.dates import in_season
 from brinewave.functions.nulls import complete, strict_mean
-from brinewave.functions.numeric import t_quantile_large
 from brinewave.operators.grouping import means
 from brinewave.operators.joins import members
 from brinewave.operators.ordered import with_crossing_midpoints
@@ -22,6 +21,18 @@ FIRST_DAY, LAST_DAY = 32, 213  # both excluded
 
 SPAN = 0.65  # smoothing span of the average curve
 
+Spans = float | Mapping[str, float]  # one for all stations, or those of some; the others have SPAN
+
+
+def span_of(spans: Spans) -> float | Column:
+    """The span of each station."""
+    if not isinstance(spans, Mapping):
+        return spans
+    out = F.lit(SPAN)
+    for station, span in spans.items():
+        out = F.when(F.col("station") == station, span).otherwise(out)
+    return out
+
 
 def with_calendar(ctd: DataFrame) -> DataFrame:
     return ctd.withColumns({"year": F.year("date"), "yday": F.dayofyear("date")})
@@ -58,14 +69,14 @@ def season_means(ctd: DataFrame, season: int, stations: Sequence[str] | None = N
     return means(base, ["station", "yday"], CTD_MEANS)
 
 
-def anomaly(average: DataFrame, this_year: DataFrame, span: float = SPAN, surface: str = "direct") -> DataFrame:
+def anomaly(average: DataFrame, this_year: DataFrame, span: Spans = SPAN, surface: str = "interpolate") -> DataFrame:
     """Season means against the smoothed average curve, with the points where they cross.
 
     Each season day gets the curve value and the side it lies on; between neighbours on different
     sides a midpoint row is added, whose temperature is set to the curve.
     """
     fitted = predict_for_days(
-        average, ["station"], "yday", "mean_temp", span, this_year, surface, "predicted_mean_temp"
+        average, ["station"], "yday", "mean_temp", span_of(span), this_year, surface, "predicted_mean_temp"
     )
     side = F.when(F.col("mean_temp") > F.col("predicted_mean_temp"), "pos").when(
         F.col("mean_temp") <= F.col("predicted_mean_temp"), "neg"
@@ -77,7 +88,7 @@ def anomaly(average: DataFrame, this_year: DataFrame, span: float = SPAN, surfac
     return crossed.sortWithinPartitions("station", "yday")
 
 
-def temperature_anomaly(ctd: DataFrame, season: int, span: float = SPAN, surface: str = "direct") -> DataFrame:
+def temperature_anomaly(ctd: DataFrame, season: int, span: Spans = SPAN, surface: str = "interpolate") -> DataFrame:
     merged = merged_stations(ctd)
     return anomaly(climatology(merged, season), season_means(merged, season), span, surface)
 
@@ -98,11 +109,11 @@ def envelope(ctd: DataFrame) -> DataFrame:
     )
 
 
-def climatology_band(average: DataFrame, span: float = SPAN, level: float = 0.95) -> DataFrame:
+def climatology_band(average: DataFrame, span: Spans = SPAN, level: float = 0.95) -> DataFrame:
     """Smoothed average with a confidence band."""
-    band = predict_band(average, ["station"], "yday", "mean_temp", span)
-    reach = t_quantile_large(0.5 + level / 2, F.col("df")) * F.col("se")
-    return band.withColumns({"lower": F.col("fit") - reach, "upper": F.col("fit") + reach}).drop("x10", "df")
+    band = predict_band(average, ["station"], "yday", "mean_temp", span_of(span), level)
+    reach = F.col("t") * F.col("se")
+    return band.withColumns({"lower": F.col("fit") - reach, "upper": F.col("fit") + reach}).drop("x10", "df", "delta1", "t")
 
 
 def corridor_means(

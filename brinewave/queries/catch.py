@@ -181,8 +181,87 @@ ss_query(
     doubles=["percent"],
 )(on_ss(timing.timing_points, SEASON, CORRECTED))
 
-query("q19_timing_fits", SURVEY, digits=4)(on_ss(timing.timing_fits, SEASON, CORRECTED))
-query("q19_timing_curves", SURVEY, digits=4)(on_ss(timing.timing_curves, SEASON, CORRECTED))
+_CURVE = "(1 / (1 + exp((mid - x) / scale)))"
+_SUMS = ", ".join(
+    [f"sum(n * j{i} * j{j}) AS a{i}{j}" for i in range(3) for j in range(i, 3)] + [f"sum(n * j{i} * r) AS r{i}" for i in range(3)]
+)
+#: The logistic fits by recursion over steps: normal equations, adjugate, all halvings of the step, the largest accepted.
+FITS = f"""WITH points AS (
+  SELECT 'predicted_percent' AS period, CAST(yday AS DOUBLE) AS x, percent AS y FROM timing
+  UNION ALL SELECT 'predicted_current', CAST(yday AS DOUBLE), percent FROM ({{progress}}) p),
+days AS MATERIALIZED (
+  SELECT period, x, CAST(count(*) AS DOUBLE) AS n, avg(y) AS mean, var_pop(y) * count(*) AS noise FROM points GROUP BY period, x),
+fit_groups AS MATERIALIZED (
+  SELECT period, max(y) AS top, median(x) AS middle, count(*) AS n, min(x) AS x_min, max(x) AS x_max, count(DISTINCT x) AS n_x
+  FROM points WHERE x IS NOT NULL AND y IS NOT NULL GROUP BY period),
+noise AS MATERIALIZED (SELECT period, sum(noise) AS noise FROM days GROUP BY period),
+steps AS (
+  SELECT period, 0 AS step, top AS asym, middle AS mid, CAST(1 AS DOUBLE) AS scale, CAST(1 AS DOUBLE) AS factor, false AS converged,
+         n_x > 2 AS open FROM fit_groups
+  UNION ALL
+  SELECT period, step + 1, CASE WHEN stays THEN asym ELSE asym + best * d0 END, CASE WHEN stays THEN mid ELSE mid + best * d1 END,
+         CASE WHEN stays THEN scale ELSE scale + best * d2 END, CASE WHEN stays THEN factor ELSE least(2 * best, 1) END,
+         ended, NOT stays
+  FROM (
+    SELECT *, ended OR NOT regular OR best IS NULL AS stays FROM (
+      SELECT period, step, asym, mid, scale, factor, d0, d1, d2, regular, ended,
+             max(k) FILTER (WHERE trial <= rss) AS best
+      FROM (
+        SELECT m.*, k, sum(days.n * (days.mean - (m.asym + k * d0) / (1 + exp((m.mid + k * d1 - days.x) / (m.scale + k * d2)))) ** 2)
+               AS trial
+        FROM (
+          SELECT s.* EXCLUDE (noise), rss, coalesce(regular, false) AS regular,
+                 coalesce(regular AND (explained <= 1e-10 * greatest(rss + s.noise - explained, 1e-300)
+                   OR greatest(abs(d0), abs(d1), abs(d2)) <= 1e-12 * greatest(abs(asym), abs(mid), abs(scale))), false) AS ended
+          FROM (
+            SELECT period, step, asym, mid, scale, factor, noise, rss, det > 1e-18 * a00 * a11 * a22 AS regular,
+                   u0 / nullif(det, 0) AS d0, u1 / nullif(det, 0) AS d1, u2 / nullif(det, 0) AS d2,
+                   (u0 * r0 + u1 * r1 + u2 * r2) / nullif(det, 0) AS explained
+            FROM (
+              SELECT *, a00 * c00 + a01 * c01 + a02 * c02 AS det, c00 * r0 + c01 * r1 + c02 * r2 AS u0,
+                     c01 * r0 + c11 * r1 + c12 * r2 AS u1, c02 * r0 + c12 * r1 + c22 * r2 AS u2
+              FROM (
+                SELECT *, a11 * a22 - a12 * a12 AS c00, a02 * a12 - a01 * a22 AS c01, a01 * a12 - a02 * a11 AS c02,
+                       a00 * a22 - a02 * a02 AS c11, a01 * a02 - a00 * a12 AS c12, a00 * a11 - a01 * a01 AS c22
+                FROM (
+                  SELECT period, step, asym, mid, scale, factor, noise, sum(n * r * r) AS rss, {_SUMS}
+                  FROM (
+                    SELECT *, mean - asym * f AS r, f AS j0, -asym * f * (1 - f) / scale AS j1,
+                           asym * f * (1 - f) / scale * (mid - x) / scale AS j2
+                    FROM (SELECT steps.*, noise.noise, days.x, days.n, days.mean, {_CURVE} AS f
+                          FROM steps JOIN days USING (period) JOIN noise USING (period) WHERE open AND step < 50) w) g
+                  GROUP BY ALL) a) b) c) s) m
+          JOIN days ON days.period = m.period JOIN (SELECT 1 / 2 ** unnest(range(11)) AS k) halvings ON k <= m.factor
+        GROUP BY ALL) t
+      GROUP BY ALL) u) v),
+fits AS (
+  SELECT period, asym, mid, scale, converged, n, x_min, x_max
+  FROM (SELECT * FROM steps QUALIFY row_number() OVER (PARTITION BY period ORDER BY step DESC) = 1) JOIN fit_groups USING (period))"""
+
+
+def fits_ctes() -> tuple[str, ...]:
+    return (PAST, *timing_ctes(CORRECTED, "past"), FITS.replace("{progress}", PROGRESS).removeprefix("WITH "))
+
+
+ss_query(
+    "q19_timing_fits",
+    "SELECT * FROM fits",
+    extra=fits_ctes(),
+    doubles=["asym", "mid", "scale", "x_min", "x_max"],
+    digits=4,
+    recursive=True,
+)(on_ss(timing.timing_fits, SEASON, CORRECTED))
+
+ss_query(
+    "q19_timing_curves",
+    """SELECT period, point, yday, asym / (1 + exp((mid - yday) / scale)) AS predicted FROM (
+         SELECT f.*, CAST(point AS BIGINT) AS point, b.x_min + point * (b.x_max - b.x_min) / 99 AS yday
+         FROM fits f, (SELECT x_min, x_max FROM fits WHERE period = 'predicted_percent') b, range(100) r(point)) c""",
+    extra=fits_ctes(),
+    doubles=["yday", "predicted"],
+    digits=4,
+    recursive=True,
+)(on_ss(timing.timing_curves, SEASON, CORRECTED))
 
 ss_query(
     "q20_rolling_catch",

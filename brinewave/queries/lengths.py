@@ -108,4 +108,4 @@ query(
     ),
     doubles=["fork_length", "loess_annual"],
     digits=6,
-)(lambda fish, *s: lengths.length_against_curve(fish, survey_seines(*s), SEASON))
+)(lambda fish, *s: lengths.length_against_curve(fish, survey_seines(*s), SEASON, surface="direct"))

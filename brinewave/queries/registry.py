@@ -37,11 +37,12 @@ def query(
     integers: Sequence[str] = (),
     extra: Sequence[str] = (),
     digits: int = 9,
+    recursive: bool = False,
 ):
     """Register ``f(*views)``.
 
     ``sql`` may name the views as tables; ``extra`` are further common table expressions in front of
-    it; ``doubles`` and ``integers`` list the result columns to round and to cast in DuckDB.
+    it (``recursive`` if one of them is); ``doubles`` and ``integers`` list the result columns to round and to cast in DuckDB.
     """
 
     def register(f: Callable[..., DataFrame]):
@@ -57,7 +58,7 @@ def query(
             changes += [f"CAST({c} AS BIGINT) AS {c}" for c in integers]
             star = f"* REPLACE ({', '.join(changes)})" if changes else "*"
             ctes = ",\n".join([*with_views(*views), *extra])
-            head = f"WITH {ctes}\n" if ctes else ""
+            head = f"WITH {'RECURSIVE ' if recursive else ''}{ctes}\n" if ctes else ""
             ORACLES[name] = f"{head}SELECT {star} FROM (\n{sql.strip()}\n) AS result"
         return f
 

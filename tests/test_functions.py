@@ -1,7 +1,9 @@
 from __future__ import annotations
 
 import datetime as dt
+import math
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -105,3 +107,23 @@ def test_t_quantile_joins_expansion_smoothly(spark):
     assert got[0] is None and got[None] is None
     assert got[201] == pytest.approx(numeric.t_quantile(0.975, 201), abs=1e-9)
     assert got[200] > got[201] > got[10**6] > 1.9599
+
+
+def test_t_quantiles_at_any_degrees(spark):
+    from brinewave.functions.numeric import t_quantile, t_quantile_at
+
+    degrees = [0.3, 0.5, 1.0, 1.5, 2.0, 2.75, 7.0, 17.25, 40.0, 150.5, 999.0, 1001.0, 5e4]
+    df = spark.createDataFrame([(d,) for d in degrees] + [(0.0,), (-1.0,), (None,)], "df double")
+    for p in (0.6, 0.9, 0.975, 0.9995):
+        got = {r.df: r.t for r in df.withColumn("t", t_quantile_at(p, F.col("df"))).collect()}
+        assert got[0.0] is None and got[-1.0] is None and got[None] is None
+        for d in degrees:
+            if d == int(d) and d < 1000:
+                assert got[d] == pytest.approx(t_quantile(p, int(d)), rel=1e-9)
+            elif d < 300:  # the area by quadrature over s, t = sinh(s)
+                s = np.linspace(0, math.asinh(got[d]), 200_001)
+                x = np.sinh(s)
+                log_density = math.lgamma((d + 1) / 2) - math.lgamma(d / 2) - 0.5 * math.log(d * math.pi) - (d + 1) / 2 * np.log1p(x * x / d)
+                assert 0.5 + np.trapezoid(np.exp(log_density) * np.cosh(s), s) == pytest.approx(p, abs=1e-9)
+        assert got[5e4] < got[1001.0] < got[999.0]
+    assert [round(r.t, 3) for r in df.filter("df = 1").withColumn("t", t_quantile_at(0.975, F.col("df"))).collect()] == [12.706]

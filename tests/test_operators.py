@@ -200,6 +200,54 @@ def test_logistic_fit_reports_failure(spark):
     assert not growth.logistic_fits(flat, "g", "x", "y").first().converged
 
 
+def gauss_newton(x, n, mean, noise, top):
+    """One group step by step, with a QR solve."""
+    at = np.repeat(x, n.astype(int))
+    beta, factor, root = np.array([top, np.median(at), 1.0]), 1.0, np.sqrt(n)
+
+    def parts(b):
+        f = 1 / (1 + np.exp((b[1] - x) / b[2]))
+        slope = b[0] * f * (1 - f) / b[2]
+        return root * (mean - b[0] * f), root[:, None] * np.column_stack([f, -slope, slope * (b[1] - x) / b[2]])
+
+    for _ in range(growth.MAX_STEPS):
+        r, g = parts(beta)
+        q, t = np.linalg.qr(g)
+        along = q.T @ r
+        if along @ along <= 1e-10 * (r @ r + noise - along @ along):
+            return *beta, True
+        step = np.linalg.solve(t, along)
+        while (new := parts(beta + factor * step)[0]) @ new > r @ r:
+            factor /= 2
+            if factor < 1 / 1024:
+                return *beta, False
+        beta, factor = beta + factor * step, min(2 * factor, 1.0)
+    return *beta, False
+
+
+def test_thousands_of_logistic_fits_in_one_plan(spark):
+    rng = np.random.default_rng(12)
+    data, want = [], {}
+    for k in range(2000):
+        x = np.sort(rng.choice(np.arange(110, 210), 20, replace=False)).astype(float)
+        asym, mid, scale = rng.uniform(80, 110), rng.uniform(140, 180), rng.uniform(3, 12)
+        low = asym / (1 + np.exp((mid - x) / scale)) + rng.normal(0, 1.5, 20)
+        high = low + rng.uniform(0, 2, 20)
+        if k < 60:
+            mean, noise = (low + high) / 2, ((high - low) ** 2 / 2).sum()
+            want[str(k)] = gauss_newton(x, np.full(20, 2.0), mean, noise, max(low.max(), high.max()))
+        data += [(str(k), float(a), float(b)) for a, b in zip([*x, *x], [*low, *high])]
+    fits = growth.logistic_fits(spark.createDataFrame(data, "g string, x double, y double"), "g", "x", "y")
+    assert "Python" not in fits._jdf.queryExecution().executedPlan().toString()
+    got = {r.g: r for r in fits.collect()}
+    assert len(got) == 2000 and sum(r.converged for r in got.values()) > 1900
+    for k, w in want.items():
+        r = got[k]
+        assert r.converged == w[3]
+        if r.converged:
+            assert (r.asym, r.mid, r.scale) == pytest.approx(w[:3], rel=1e-6)
+
+
 def test_linear_trend(spark):
     df = spark.createDataFrame([("a", x, 2.0 * x + 1) for x in range(5)], "k string, x int, y double")
     r = growth.linear_trend(df, ["k"], "x", "y").first()

@@ -13,13 +13,7 @@ from brinewave.fixtures import views
 from brinewave.plans import catch, lice, ocean, timing
 from brinewave.plans.survey import survey_seines
 
-PYTHON_ALLOWED = {
-    "m01_loess_grid_interpolated",
-    "q03_temperature_anomaly_interpolated",
-    "q19_timing_curves",
-    "q19_timing_fits",
-    "s03_read_skipping_preamble",
-}
+PYTHON_ALLOWED = {"s03_read_skipping_preamble"}
 
 
 def plan_of(df):
