@@ -1,19 +1,22 @@
-"""Histograms, box statistics and the two-way binning of wind.
+"""Histograms, quantiles, box statistics and the two-way binning of wind.
 
-Everything starts from counts of distinct values, so raw rows are combined on the map side and a hot
-group costs no more than its number of distinct values.
+Raw rows are combined on the map side everywhere: into bins, or into counts of ranges of values and then of the values
+of the few ranges that matter.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from brinewave.functions.nulls import as_col, ratio, rows
 from brinewave.operators.joins import null_safe_join
-from brinewave.operators.ordered import blocked_running_total
+from brinewave.operators.ordered import range_blocks
+
+VALUES = 8192  # expected distinct values of a range that quantiles are looked for in
 
 # Sixteen compass points, clockwise from north.
 COMPASS = [
@@ -63,33 +66,37 @@ def density_histogram(df: DataFrame, value: str, width: float, scale: float = 5.
     return counts.withColumn("frequency", ratio(F.col("n") * scale * 100, total * F.lit(width)))
 
 
-def value_counts(df: DataFrame, keys: Sequence[str], value: str, counted: str | None = None) -> DataFrame:
-    """Rows (or the sum of ``counted``) of each distinct value by group."""
-    present = df.filter(F.col(value).isNotNull())
-    return present.groupBy(*keys, value).agg((F.sum(counted) if counted else rows()).alias("m"))
-
-
 def quantiles(
-    counts: DataFrame, keys: Sequence[str], value: str, probs: dict[str, float], block_width: float
+    df: DataFrame, keys: Sequence[str], value: str, probs: dict[str, float], counted: str | None = None, every: int = VALUES
 ) -> DataFrame:
-    """Exact interpolated quantiles (linear between order statistics) from counts of distinct values.
+    """Exact interpolated quantiles (linear between order statistics) by group; missing values are skipped.
 
-    Cumulative counts are built in two levels, first over value blocks of ``block_width``, then
-    inside each block, so the values of one group are never sorted in one task.
+    Selection in two passes, both combined before the shuffle: rows are counted by range of values (``range_blocks``, about
+    ``every`` distinct values each), which tells the ranges that hold the wanted order statistics; only there are the
+    values themselves counted. ``counted`` names a count column where the rows are counts of a value already.
     """
     keys = list(keys)
-    blocks = counts.withColumn("_block", F.floor(F.col(value) / F.lit(block_width)))
-    ranked = blocked_running_total(blocks, keys, ["_block"], [value], "m", "_upto", total="n").drop("_block")
-
-    picks = []
+    present = df.filter(F.col(value).isNotNull()).withColumn("_m", F.col(counted) if counted else F.lit(1).cast("bigint"))
+    ranged = range_blocks(present.select(*keys, value, "_m"), keys, [value], every=every)
+    counts = ranged.groupBy(*keys, "_block").agg(F.sum("_m").alias("_sum"))
+    one_group = Window.partitionBy(*keys)
+    before = one_group.orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    counts = counts.withColumns(
+        {"n": F.sum("_sum").over(one_group), "_before": F.coalesce(F.sum("_sum").over(before), F.lit(0))}
+    )
+    places = {}
     for name, p in probs.items():
-        at = (F.col("n") - 1) * F.lit(p)
-        low = F.floor(at)
-        high = F.least(low + 1, F.col("n") - 1)
-        for end, place in (("lo", low), ("hi", high)):
-            holds = (place < F.col("_upto")) & (place >= F.col("_upto") - F.col("m"))
-            picks.append(F.max(F.when(holds, F.col(value))).alias(f"_{name}_{end}"))
-    found = ranked.groupBy(*keys, "n").agg(*picks)
+        low = F.floor((F.col("n") - 1) * F.lit(p))
+        places[f"_{name}_lo"], places[f"_{name}_hi"] = low, F.least(low + 1, F.col("n") - 1)
+    needed = [(p >= F.col("_before")) & (p < F.col("_before") + F.col("_sum")) for p in places.values()]
+    needed = counts.filter(reduce(lambda a, b: a | b, needed)).drop("_sum")
+    inside = null_safe_join(ranged, needed, [*keys, "_block"], "inner")
+    ranked = inside.groupBy(*keys, "_block", "n", "_before", value).agg(F.sum("_m").alias("_m"))
+    upto = F.sum("_m").over(Window.partitionBy(*keys, "_block").orderBy(value).rowsBetween(Window.unboundedPreceding, 0))
+    ranked = ranked.withColumn("_upto", F.col("_before") + upto)
+
+    holds = {c: (p < F.col("_upto")) & (p >= F.col("_upto") - F.col("_m")) for c, p in places.items()}
+    found = ranked.groupBy(*keys, "n").agg(*[F.max(F.when(h, F.col(value))).alias(c) for c, h in holds.items()])
     out = []
     for name, p in probs.items():
         at = (F.col("n") - 1) * F.lit(p)
@@ -98,27 +105,29 @@ def quantiles(
     return found.select(*keys, "n", *out)
 
 
-def _fences(counts: DataFrame, keys: Sequence[str], value: str, block_width: float) -> DataFrame:
-    q = quantiles(counts, keys, value, {"lower": 0.25, "middle": 0.5, "upper": 0.75}, block_width)
+def _with_fences(df: DataFrame, keys: list[str], value: str, counted: str | None, every: int) -> DataFrame:
+    """The present rows with the quartiles and fences of their group, and their count ``_m``."""
+    q = quantiles(df, keys, value, {"lower": 0.25, "middle": 0.5, "upper": 0.75}, counted, every)
     reach = (F.col("upper") - F.col("lower")) * 1.5
-    return q.withColumns({"_low": F.col("lower") - reach, "_high": F.col("upper") + reach})
+    q = q.withColumns({"_low": F.col("lower") - reach, "_high": F.col("upper") + reach})
+    present = df.filter(F.col(value).isNotNull()).select(*keys, value, (F.col(counted) if counted else F.lit(1).cast("bigint")).alias("_m"))
+    return null_safe_join(present, q, keys)
 
 
 def box_statistics(
-    df: DataFrame, keys: Sequence[str], value: str, block_width: float = 8.0, counted: str | None = None
+    df: DataFrame, keys: Sequence[str], value: str, counted: str | None = None, every: int = VALUES
 ) -> DataFrame:
     """Box-plot numbers by group: quartiles, whisker ends within 1.5 IQR, and outlier count.
 
     ``counted`` names a count column where the rows are counts of a value already.
     """
     keys = list(keys)
-    counts = value_counts(df, keys, value, counted)
-    joined = null_safe_join(counts, _fences(counts, keys, value, block_width), keys)
+    joined = _with_fences(df, keys, value, counted, every)
     inside = F.col(value).between(F.col("_low"), F.col("_high"))
     stats = joined.groupBy(*keys, "n", "lower", "middle", "upper").agg(
         F.min(F.when(inside, F.col(value))).alias("_lowest"),
         F.max(F.when(inside, F.col(value))).alias("_highest"),
-        F.coalesce(F.sum(F.when(~inside, F.col("m"))), F.lit(0)).alias("n_outliers"),
+        F.coalesce(F.sum(F.when(~inside, F.col("_m"))), F.lit(0)).alias("n_outliers"),
     )
     return stats.select(
         *keys,
@@ -133,14 +142,12 @@ def box_statistics(
 
 
 def box_outliers(
-    df: DataFrame, keys: Sequence[str], value: str, block_width: float = 8.0, counted: str | None = None
+    df: DataFrame, keys: Sequence[str], value: str, counted: str | None = None, every: int = VALUES
 ) -> DataFrame:
     """Distinct values beyond the whiskers of their group, with their counts."""
-    keys = list(keys)
-    counts = value_counts(df, keys, value, counted)
-    joined = null_safe_join(counts, _fences(counts, keys, value, block_width), keys)
+    joined = _with_fences(df, list(keys), value, counted, every)
     beyond = (F.col(value) < F.col("_low")) | (F.col(value) > F.col("_high"))
-    return joined.filter(beyond).select(*keys, value, F.col("m").alias("n"))
+    return joined.filter(beyond).groupBy(*keys, value).agg(F.sum("_m").alias("n"))
 
 
 def wind_rose(

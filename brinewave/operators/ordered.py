@@ -16,6 +16,13 @@ from brinewave.functions.nulls import as_col, ratio
 from brinewave.operators.joins import null_safe_join
 
 CHUNK_ROWS = 1_000_000
+BLOCK_ROWS = 100_000  # expected rows of a range block
+
+_SEARCH = """IF(coalesce(size(_splitters), 0) = 0, 0,
+  aggregate(sequence(1, length(bin(size(_splitters)))), struct(0 AS low, size(_splitters) AS high), (b, step) ->
+    IF(b.low >= b.high, b, IF(_splitters[shiftright(b.low + b.high, 1)] <= _row,
+      struct(shiftright(b.low + b.high, 1) + 1 AS low, b.high AS high),
+      struct(b.low AS low, shiftright(b.low + b.high, 1) AS high)))).low)"""
 
 
 def running_total(
@@ -50,6 +57,26 @@ def next_row(column: Column | str, keys: Sequence[str], order: Sequence[str]) ->
     return F.lead(as_col(column)).over(Window.partitionBy(*keys).orderBy(*order))
 
 
+def range_blocks(
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], name: str = "_block", every: int = BLOCK_ROWS
+) -> DataFrame:
+    """Cut each key's rows into ranges of the order columns: ``name`` is a row's range, from 0 on.
+
+    The splitters are one in ``every`` distinct order values, taken by their hash, so they follow the data however the
+    values are spread, are the same in every evaluation, and are found by a pre-aggregated pass. A key's splitters are one
+    array; a row finds its range in it by bisection. Rows of equal order values share a range.
+    """
+    if not keys:
+        one = range_blocks(df.withColumn("_all", F.lit(0)), ["_all"], order, name, every)
+        return one.drop("_all")
+    keys = list(keys)
+    row = F.struct(*[F.col(c) for c in order])
+    picked = df.filter(F.pmod(F.xxhash64(*order), F.lit(every)) == 0).select(*keys, row.alias("_row")).distinct()
+    splitters = picked.groupBy(*keys).agg(F.sort_array(F.collect_list("_row")).alias("_splitters"))
+    found = null_safe_join(df, splitters, keys).withColumn("_row", row)
+    return found.withColumn(name, F.expr(_SEARCH)).drop("_splitters", "_row")
+
+
 def _block_starts(blocks: DataFrame, keys: list[str], block: list[str], total: str | None) -> DataFrame:
     """Sum before each block, built level by level.
 
@@ -84,8 +111,8 @@ def blocked_running_total(
     """Running total over raw rows; ``total`` names a column for the whole total of the key.
 
     ``block`` columns, taken in turn, must be a non-decreasing function of ``order`` within a key
-    (for instance the date and a range of ids). Block totals are pre-aggregated and accumulated by
-    level; each row then only needs the running total inside its own block.
+    (for instance the date and a range of ids, see ``range_blocks``). Block totals are pre-aggregated and
+    accumulated by level; each row then only needs the running total inside its own block.
     """
     keys, block = list(keys), list(block)
     starts = _block_starts(df.groupBy(*keys, *block).agg(F.sum(value).alias("_sum")), keys, block, total)

@@ -15,27 +15,24 @@ from brinewave.functions.numeric import half_even, with_t_quantile
 from brinewave.operators.columns import change_numeric, rename
 from brinewave.operators.grouping import mean_sd_se, means, share_within, uncounted
 from brinewave.operators.joins import lookup_join
-from brinewave.operators.ordered import blocked_centred_mean, centred_mean, running_total
+from brinewave.operators.ordered import BLOCK_ROWS, blocked_centred_mean, centred_mean, range_blocks, running_total
 from brinewave.operators.reshape import bind, longer, split_rows
 from brinewave.plans.survey import TOTALS
 
-ID_BLOCK = 1_000_000  # ids per block when a long series is cut up
-
 # Order of the species in the charts.
 INTENSITY_SPECIES = ["Sockeye", "Pink", "Chum"]
 
 
-def with_place(df: DataFrame, unique_id: Column) -> DataFrame:
-    """Add ``_place``, the order of rows within a day, and ``_block``, a coarse range of places.
+def with_place(df: DataFrame, unique_id: Column, day: Sequence[str], every: int = BLOCK_ROWS) -> DataFrame:
+    """Add ``_place``, the order of rows within a day, and ``_block``, a range of places.
 
-    Number ids keep their order, and at most ``ID_BLOCK`` rows share a block. Text ids are put in
-    the order of their hash, which is stable and spreads evenly over 65,536 blocks.
+    ``day`` are the columns that name a day. Number ids keep their order; text ids are put in the order of their hash,
+    which is stable. The ranges follow the ids that are there (``range_blocks``), be they dense or sparse.
     """
     placed = df.withColumn("_place", unique_id)
-    if isinstance(placed.schema["_place"].dataType, NumericType):
-        return placed.withColumn("_block", F.floor(F.col("_place") / F.lit(ID_BLOCK)))
-    placed = placed.withColumn("_place", F.xxhash64("_place"))
-    return placed.withColumn("_block", F.shiftright("_place", 48))
+    if not isinstance(placed.schema["_place"].dataType, NumericType):
+        placed = placed.withColumn("_place", F.xxhash64("_place"))
+    return range_blocks(placed, day, ["_place"], every=every)
 
 
 def filled(df: DataFrame) -> DataFrame:
@@ -132,7 +129,7 @@ def rolling_catch(ss: DataFrame, season: int, reference_year: int | None = None)
         .select(F.col("survey_date").alias("date"), "seine_id", "survey_id", "so_total")
         .withColumn("group", F.lit(str(season)))
     )
-    season_rows = with_place(season_rows, F.coalesce("seine_id", "survey_id"))
+    season_rows = with_place(season_rows, F.coalesce("seine_id", "survey_id"), ["date"])
     current = blocked_centred_mean(
         season_rows, ["group"], ["date", "_block"], ["_place", "seine_id"], "so_total", "seven_avg"
     ).drop("_block", "_place", "seine_id", "survey_id")

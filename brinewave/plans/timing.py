@@ -59,7 +59,7 @@ def season_progress(ss: DataFrame, season: int) -> DataFrame:
     """Cumulative percent of one season's raw catches, in date and seine order, blocked."""
     caught = ss.filter(in_season("survey_date", season) & (F.col("so_total") > 0))
     caught = caught.select("year", "survey_date", "seine_id", "so_total", "yday")
-    caught = with_place(caught, F.col("seine_id"))
+    caught = with_place(caught, F.col("seine_id"), ["survey_date"])
     summed = blocked_running_total(
         caught, ["year"], ["survey_date", "_block"], ["_place", "seine_id"], "so_total", "_upto", total="_total"
     )

@@ -366,9 +366,7 @@ ss_query(
     doubles=["middle"],
 )(
     on_ss(
-        lambda ss: bins.quantiles(
-            bins.value_counts(ss.filter("so_total > 0"), ["year"], "yday"), ["year"], "yday", {"middle": 0.5}, 16
-        )
+        lambda ss: bins.quantiles(ss.filter("so_total > 0"), ["year"], "yday", {"middle": 0.5})
         .drop("n")
         .join(
             ss.filter("so_total > 0").groupBy("year").agg(F.max("so_total").alias("top"), F.min("so_total").alias("bottom")),
@@ -376,6 +374,19 @@ ss_query(
         )
     )
 )
+query(
+    "a17_continuous_quantiles",
+    ["ctd"],
+    """SELECT station, count(temperature) AS n, quantile_cont(temperature, 0.025) AS low, quantile_cont(temperature, 0.5) AS middle,
+              quantile_cont(temperature, 0.975) AS high
+       FROM (SELECT station, temperature + salinity / 7 + depth / 1000 AS temperature FROM ctd) c GROUP BY station""",
+    doubles=["low", "middle", "high"],
+)(
+    lambda ctd: bins.quantiles(
+        ctd.select("station", (F.col("temperature") + F.col("salinity") / 7 + F.col("depth") / 1000).alias("temperature")),
+        ["station"], "temperature", {"low": 0.025, "middle": 0.5, "high": 0.975}, every=64,
+    )
+)
 query("a18_distinct_rows", ["fish"], "SELECT DISTINCT species, lice_presence FROM fish")(
     lambda fish: fish.select("species", "lice_presence").distinct()
 )

@@ -119,6 +119,37 @@ def test_blocked_running_total_equals_one_window(spark):
         assert [found[r[2]] for r in mine] == [(w, want[-1]) for w in want]
 
 
+@pytest.mark.parametrize("days", [1, 3])
+def test_running_total_over_sparse_ids_is_cut_evenly(spark, days):
+    rng = random.Random(17)
+    data = [(rng.randrange(days), rng.choice([None, rng.randrange(-(2**63), 2**63)]) if i % 50 == 0 else rng.randrange(-(2**63), 2**63), i % 7)
+            for i in range(20_000)]
+    data = list({(d, i): (d, i, v) for d, i, v in data}.values())
+    df = spark.createDataFrame(data, "day int, id long, v int")
+    blocked = ordered.range_blocks(df, ["day"], ["id"], every=100)
+    sizes = [r["count"] for r in blocked.groupBy("day", "_block").count().collect()]
+    assert len(sizes) > 100 and max(sizes) < 2000
+    got = ordered.blocked_running_total(blocked, [], ["day", "_block"], ["id"], "v", "upto", total="all")
+    want, total = {}, 0
+    for d, i, v in sorted(data, key=lambda r: (r[0], r[1] is not None, r[1] or 0)):
+        total += v
+        want[d, i] = total
+    assert {(r.day, r.id): r.upto for r in got.collect()} == want
+
+
+def test_quantiles_count_values_inside_their_range_only(spark):
+    rng = np.random.default_rng(18)
+    v = {"a": rng.lognormal(0, 3, 6000), "b": rng.normal(size=9), "c": np.repeat([1.5, 2.5], 500), "d": np.array([7.0])}
+    df = spark.createDataFrame([(k, float(x)) for k, xs in v.items() for x in xs] + [("a", None), ("e", None)], "k string, x double")
+    probs = {"p0": 0.0, "p1": 0.013, "p50": 0.5, "p99": 0.987, "p100": 1.0}
+    for every in (1, 50, 10**6):
+        got = {r.k: r for r in bins.quantiles(df, ["k"], "x", probs, every=every).collect()}
+        assert set(got) == set(v)
+        for k, xs in v.items():
+            assert got[k].n == len(xs)
+            assert [got[k][c] for c in probs] == pytest.approx(np.quantile(xs, list(probs.values())).tolist(), rel=1e-12)
+
+
 @pytest.mark.parametrize("chunk", [1, 2, 3, 1000])
 def test_blocked_centred_mean_equals_one_window(spark, chunk):
     data, df = series(spark, 60, seed=chunk)
@@ -152,7 +183,7 @@ def test_crossings(spark):
 @given(st.lists(st.tuples(st.sampled_from(["a", "b", None]), st.integers(-40, 40)), min_size=1, max_size=40))
 def test_box_statistics_against_numpy(spark, data):
     df = spark.createDataFrame([(k, v / 2) for k, v in data], "k string, v double")
-    got = {r.k: r for r in bins.box_statistics(df, ["k"], "v", block_width=3.0).collect()}
+    got = {r.k: r for r in bins.box_statistics(df, ["k"], "v", every=3).collect()}
     for k in {k for k, _ in data}:
         v = np.array([x / 2 for g, x in data if g == k])
         q1, q2, q3 = np.quantile(v, [0.25, 0.5, 0.75])
