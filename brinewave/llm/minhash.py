@@ -8,13 +8,15 @@ below 4e-4 at s = 0.8, 2e-5 at 0.85 and 3e-7 at 0.9.
 
 Equal sets are one node. A hash that no other node has is dropped before keys are formed, which loses no bucket.
 
-What has to be right is connection, so no pairs are written within a bucket. Nodes of one bucket first meet its hub, the node
-with most company; a node follows the hub that most of its minhashes agree with. Buckets whose nodes all follow one hub are
-done; in the others, followers of different hubs meet in blocks, of which a spanning forest of similar sketches
-comes out. Both together make families: two nodes of one bucket with similar sketches are always in one (a pair of similarity 0.8
-has dissimilar ones with probability 1e-8). Within a family, links are confirmed by the exact intersection of full sets, of each
-node with its hub first, then in blocks between nodes that do not follow one confirmed hub; again a forest of links comes out.
-Blocks of the largest following meet those of the others only, so a large group around one text costs no more than its rows.
+What has to be right is connection, so no pairs are written within a bucket. The nodes that share one hash first meet its hub,
+the node with most company; a node follows the hub of most company among those with a similar sketch. Hashes whose nodes
+all follow one hub are done, and so is every table key made of them; keys are formed for what is left. In buckets that still hold
+followers of different hubs, these meet in blocks, of which a spanning forest of similar sketches comes out. Both together make
+families: two nodes of one bucket with similar sketches are always in one (a pair of similarity 0.8 has dissimilar ones with
+probability 1e-8). Within a family, links are confirmed by the exact intersection of full sets: of each node with the hub it
+follows and the one it agrees most with, then in blocks between nodes that do not follow one confirmed hub; again a forest of
+links comes out. Blocks of the largest following meet those of the others only, so a large group around one text costs no more
+than its rows.
 """
 
 from __future__ import annotations
@@ -111,20 +113,30 @@ def mixed(rows: DataFrame) -> DataFrame:
     return rows.join(apart, "key", "left_semi")
 
 
-def buckets(nodes: DataFrame) -> DataFrame:
-    """``key, node, score``: the table keys of every node that has company there. The score is the node's company in all hashes."""
+def shared_hashes(nodes: DataFrame) -> DataFrame:
+    """``key, node, at, h, score``: the hashes that nodes share with others. The score is a node's company in all hashes."""
     each = nodes.select("node", F.posexplode("hashes").alias("at", "h")).withColumn("key", F.xxhash64("at", "h"))
     company = each.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1")
-    # a bucket's nodes share both hashes: what stands alone in one collection is in no bucket
-    pair = F.struct("at", "h")
+    # at most 2 * TABLES entries of one node
     sides = each.join(company, "key").groupBy("node").agg(
+        F.collect_list(F.struct("key", "at", "h")).alias("hashes"), F.sum("n").alias("score")
+    )
+    return sides.select("node", "score", F.inline("hashes"))
+
+
+def buckets(rows: DataFrame) -> DataFrame:
+    """``key, node, comp`` of the table keys that nodes of different comps share.
+
+    ``rows(key, node, comp, at, h)`` are the hashes that nodes of different comps share: the nodes of a bucket share both of its
+    hashes, so a key of any other hash has one comp.
+    """
+    pair = F.struct("at", "h")
+    sides = rows.groupBy("node", "comp").agg(
         F.collect_list(F.when(F.col("at") < TABLES, pair)).alias("first"),
         F.collect_list(F.when(F.col("at") >= TABLES, pair)).alias("second"),
-        F.sum("n").alias("score"),
-    )  # at most TABLES entries each
-    keys = sides.select("node", "score", F.explode("first").alias("x"), "second").select("node", "score", "x", F.explode("second").alias("y"))
-    rows = keys.select(F.xxhash64("x.at", "x.h", "y.at", "y.h").alias("key"), "node", "score", F.col("node").alias("comp"))
-    return mixed(rows).drop("comp")
+    )
+    keys = sides.select("node", "comp", F.explode("first").alias("x"), "second").select("node", "comp", "x", F.explode("second").alias("y"))
+    return mixed(keys.select(F.xxhash64("x.at", "x.h", "y.at", "y.h").alias("key"), "node", "comp"))
 
 
 def sizes_allow(a: str, b: str):
@@ -132,9 +144,9 @@ def sizes_allow(a: str, b: str):
 
 
 def to_hubs(rows: DataFrame, nodes: DataFrame) -> DataFrame:
-    """``a, b, agree``: every node with the hubs of its buckets whose sizes and sketches allow the similarity."""
+    """``a, b, score, agree``: every node with the hubs of its hashes whose sizes and sketches allow the similarity."""
     hubs = rows.groupBy("key").agg(F.max(F.struct("score", "node")).alias("hub"))
-    pairs = rows.join(hubs, "key").select(F.col("node").alias("a"), F.col("hub.node").alias("b")).filter("a <> b").distinct()
+    pairs = rows.join(hubs, "key").select(F.col("node").alias("a"), F.col("hub.node").alias("b"), "hub.score").filter("a <> b").distinct()
     a = nodes.select(F.col("node").alias("a"), F.col("n").alias("n_a"), F.col("sketch").alias("of_a"))
     b = nodes.select(F.col("node").alias("b"), F.col("n").alias("n_b"), F.col("sketch").alias("of_b"))
 
@@ -143,7 +155,7 @@ def to_hubs(rows: DataFrame, nodes: DataFrame) -> DataFrame:
         return pd.Series((table(x) == table(y)).sum(1), dtype="int32")
 
     met = pairs.join(a, "a").join(b, "b").filter(sizes_allow("n_a", "n_b"))
-    return met.select("a", "b", agreements("of_a", "of_b").alias("agree")).filter(F.col("agree") >= AGREE_LEAST)
+    return met.select("a", "b", "score", agreements("of_a", "of_b").alias("agree")).filter(F.col("agree") >= AGREE_LEAST)
 
 
 def table(sketches) -> np.ndarray:
@@ -291,10 +303,12 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
     nodes = rows.filter("digest IS NOT NULL").groupBy("digest").agg(F.min("doc_id").alias("least"), first, same)
     nodes = held(nodes.select("digest", "least", "row", "x.*").withColumn("node", F.monotonically_increasing_id()))
 
-    met = held(buckets(nodes))
-    near_hubs = held(to_hubs(met, nodes))
-    best = near_hubs.groupBy("a").agg(F.max(F.struct("agree", "b")).alias("x")).select("a", F.col("x.b").alias("b"))
-    beside = sketch_links(mixed(following(met, best)).select("key", "node", "comp"), nodes)
+    hashes = held(shared_hashes(nodes))
+    near_hubs = held(to_hubs(hashes, nodes))
+    # a hub that is followed has more company than its followers
+    chosen = near_hubs.groupBy("a").agg(F.max(F.struct("score", "b")).alias("x"), F.max(F.struct("agree", "b")).alias("y"))
+    chosen = held(chosen.select("a", F.col("x.b").alias("b"), F.col("y.b").alias("closest")))
+    beside = sketch_links(buckets(mixed(following(hashes, chosen))), nodes)
     families = held(components(near_hubs.select("a", "b").union(beside)))
     wanted = families.join(nodes.select("node", "row.*"), "node")
     text, doc_id = text_of(docs), column(docs, "doc_id")
@@ -304,11 +318,13 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
         for pdf in batches:
             yield pd.DataFrame({"node": pdf["node"], "members": [s.view(np.int64) for s in sets_of(pdf["text"], shingle)]})
 
-    chosen = texts.join(wanted, ["rid", "rid2"]).select("node", "text").dropDuplicates(["node"])
-    sets = held(chosen.mapInPandas(members, "node long, members array<long>"))
+    read = texts.join(wanted, ["rid", "rid2"]).select("node", "text").dropDuplicates(["node"])
+    sets = held(read.mapInPandas(members, "node long, members array<long>"))
 
-    confirmed = held(verified(best, sets))
-    inside = mixed(following(families.withColumnRenamed("component", "key"), confirmed))
+    asked = chosen.select("a", "b").union(chosen.select("a", F.col("closest").alias("b"))).distinct()
+    confirmed = held(verified(asked, sets))
+    leads = confirmed.join(near_hubs.select("a", "b", "score"), ["a", "b"]).groupBy("a").agg(F.max(F.struct("score", "b")).alias("x"))
+    inside = mixed(following(families.withColumnRenamed("component", "key"), leads.select("a", F.col("x.b").alias("b"))))
     inside = inside.join(nodes.select("node", "n", "sketch"), "node").join(sets, "node")
     found = components(confirmed.union(set_links(inside)))
     found = found.withColumnRenamed("component", "comp")
