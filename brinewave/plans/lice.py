@@ -27,18 +27,15 @@ from brinewave.functions.nulls import (
 )
 from brinewave.functions.numeric import lower_bar
 from brinewave.operators.grouping import (
-    duplicated_groups,
     mean_of_parts,
     merged_parts,
     moment_parts,
     sd_of_parts,
     share_within,
-    with_group_values,
 )
-from brinewave.operators.joins import members
+from brinewave.operators.joins import null_safe_join
 from brinewave.operators.reshape import bind, longer, longer_structs
 from brinewave.plans.survey import counted_by_seine, seine_attributes
-from brinewave.session import stage
 
 SALMON = ["SO", "PI", "CU"]
 # Species labels.
@@ -78,7 +75,6 @@ LAB_ATTACHED_CAL = [
 ]
 MEASURES = ["total_lice", "copepodid", "chalimus", "motile", "motile_caligus", "motile_lep"]
 # the order hosts_examined takes them in
-ORIGINS = ["current_lice", "sealice_lab_fs", "lab_mots_ts", "sealice_field"]
 FISH_KEYS = ["survey_date", "seine_id", "species", "ufn"]
 
 
@@ -216,74 +212,162 @@ def presence_by_year(fish: DataFrame, ss: DataFrame) -> DataFrame:
 # ---- the yearly series from four sources -------------------------------------------------------
 
 
-def _inferred(df: DataFrame, ratio_mode: str) -> DataFrame:
-    """Split the unidentified lice by the sums of leps and caligus in ``_sums``.
+#
+# A sheet is narrowed to one schema first: what it counts of either louse, attached and motile, what could not be told
+# apart (``unk``), and the sums whose ratio splits that. All sheets then meet the fish in one join on ``ufn``, and whatever
+# is asked of single fish (copies, duplicates between sources, first records) stays in that partitioning.
 
-    "odds" is the published form: leps/cal for one species and one minus it for the other, which goes
-    negative when leps outnumber caligus. "share" uses leps/(leps + cal) instead, 1 where there is no caligus.
-    """
-    if ratio_mode not in ("odds", "share"):
-        raise ValueError(f"ratio_mode must be odds or share, not {ratio_mode}")
-    sums = F.col("_sums")
-    r = ratio(sums["leps"], sums["leps"] + sums["cal"] if ratio_mode == "share" else sums["cal"])
-    df = df.withColumn("ratio", r).drop("_sums")
-    return df.withColumns({"inferred_leps": F.col("unk") * F.col("ratio"), "inferred_cal": F.col("unk") * (1 - F.col("ratio"))})
+
+def _sheet(df: DataFrame, origin: str, **columns: Column) -> DataFrame:
+    numbers = {k: c.cast("double") if k in _MEASURES else c for k, c in columns.items()}
+    return df.select("ufn", F.lit(origin).alias("origin"), *[c.alias(k) for k, c in numbers.items()])
+
+
+_MEASURES = ("lep", "cal", "lep_motile", "cal_motile", "unk", "leps", "cals")
+
+
+def current_sheet(lice: DataFrame) -> DataFrame:
+    """This season's field counts of fish that were counted in full."""
+    return _sheet(
+        complete(lice, CURRENT_COUNTS), "current_lice", own_seine=F.col("seine_id"), lep=F.col("lep_cope"), cal=F.col("cal_cope"),
+        lep_motile=row_sum(["lam", "laf", "lgf"]), cal_motile=row_sum(["cam", "caf", "cgf"]),
+        unk=row_sum(["chal_a_b", "unid_cope", "unid_chal"]),
+        leps=row_sum(["lep_cope", "lam", "laf", "lgf"]), cals=row_sum(["cal_cope", "cam", "caf", "cgf"]),
+    )
+
+
+def lab_sheet(
+    lab: DataFrame, leps: Sequence[str] = tuple(LAB_ATTACHED_LEP), cals: Sequence[str] = tuple(LAB_ATTACHED_CAL)
+) -> DataFrame:
+    """Attached lice of the laboratory sheet; a missing column is an error."""
+    absent = [c for c in [*leps, *cals] if c not in lab.columns]
+    if absent:
+        raise ValueError(f"the laboratory sheet has no column {', '.join(absent)}")
+    return _sheet(lab, "sealice_lab_fs", lep=row_sum_present(list(leps)), cal=row_sum_present(list(cals)))
 
 
-def _both_sums() -> Column:
-    return F.struct(F.sum("leps").alias("leps"), F.sum("cal").alias("cal"))
+def field_sheet(field: DataFrame) -> DataFrame:
+    """Attached lice of the field sheet."""
+    return _sheet(
+        field, "sealice_field", lep=F.col("lep_cope_field"), cal=F.col("cal_cope_field"),
+        unk=row_sum([f"{c}_field" for c in ("chal_a", "chal_b", "unid_cope", "unid_chal")]),
+        leps=row_sum([f"{c}_field" for c in ("lep_cope", "lpam", "lpaf", "lam", "laf", "lgf")]),
+        cals=row_sum([f"{c}_field" for c in ("cal_cope", "cal_mot", "cgf")]),
+    )
 
 
-def _per_fish(df: DataFrame, cells: dict[tuple[str, str], Column], origin: str) -> DataFrame:
-    """Long rows a fish: one per (louse species, stage) cell, copies of a fish added up."""
-    names = {cell: f"cell_{i}" for i, cell in enumerate(cells)}
-    summed = (
-        df.select(*FISH_KEYS, *[c.cast("double").alias(names[cell]) for cell, c in cells.items()])
-        .groupBy(*FISH_KEYS)
-        .agg(*[F.sum(n).alias(n) for n in names.values()])
+def series_sheet(series: DataFrame) -> DataFrame:
+    """The published motile counts, one row a fish and louse."""
+    kept = series.filter(
+        (F.col("region") == "DI") & (F.col("year") == F.year("survey_date")) & (F.col("louse_species") != "all_lice")
+    )
+    is_cal = F.col("louse_species") == "motile_caligus"
+    return _sheet(
+        kept, "lab_mots_ts", own_date=F.col("survey_date"), own_species=F.col("species"), louse=F.when(is_cal, CAL).otherwise(LEP),
+        lep_motile=F.when(~is_cal, F.col("n_lice")), cal_motile=F.when(is_cal, F.col("n_lice")),
+    )
+
+
+def _placed(sheets: Sequence[DataFrame], catches: DataFrame, sites: DataFrame | None, season: int | None) -> DataFrame:
+    """The rows of the sheets with their fish: this season's seines for the current sheet, comparable sites for the two of
+    attached lice; the published series keeps its own date and species and needs no fish."""
+    hosts = catches.withColumn("_alike", F.lit(False)) if sites is None else catches.join(
+        sites.select("site_id").distinct().withColumn("_alike", F.lit(True)), "site_id", "left"
+    )
+    hosts = hosts.select(
+        "ufn", "seine_id", F.col("species").alias("_species"), F.col("survey_date").alias("_date"),
+        F.coalesce((F.col("region") == "DI") & F.col("_alike"), F.lit(False)).alias("_alike"),
+    )
+    rows_ = bind(*sheets)
+    for name, kind in (("own_seine", dict(hosts.dtypes)["seine_id"]), ("own_date", "date"), ("own_species", "string"),
+                       ("louse", "string"), *((m, "double") for m in _MEASURES)):
+        if name not in rows_.columns:
+            rows_ = rows_.withColumn(name, F.lit(None).cast(kind))
+    is_series = F.col("origin") == "lab_mots_ts"
+    current = (F.col("seine_id") == F.col("own_seine")) & (in_season("_date", season) if season else F.lit(True))
+    wanted = F.when(F.col("origin") == "current_lice", current).otherwise(is_series | F.col("_alike"))
+    return rows_.join(hosts, "ufn", "left").filter(wanted).select(
+        "ufn", "origin", "seine_id", F.when(is_series, F.col("own_date")).otherwise(F.col("_date")).alias("survey_date"),
+        F.when(is_series, F.col("own_species")).otherwise(F.col("_species")).alias("species"), "louse", *_MEASURES,
     )
-    entries = [
-        F.struct(F.lit(louse).alias("louse_species"), F.lit(stage).alias("life_stage"), F.col(n).alias("count"))
-        for (louse, stage), n in names.items()
-    ]
-    return summed.select(*FISH_KEYS, F.inline(F.array(*entries))).withColumn("origin", F.lit(origin))
+
+
+def lice_by_fish(
+    sheets: Sequence[DataFrame],
+    catches: DataFrame,
+    sites: DataFrame | None = None,
+    season: int | None = None,
+    ratio_mode: str = "odds",
+    distinct_sources: bool = True,
+) -> DataFrame:
+    """One row a fish and source: its keys, ``origin``, ``entries`` (louse species, life stage, count) and whether it is
+    the ``first`` record of its host in the source. Rows of the published series are kept one by one.
+
+    Unidentified lice are split by the ratio of both species' sums of the year, in the current sheet (one season) and in the field
+    sheet. "odds" is the published form: leps/cal for one species and one minus it for the other, which goes negative when leps
+    outnumber caligus. "share" uses leps/(leps + cal) instead, 1 where there is no caligus. Copies of a fish are added up.
+    Attached lice that were not counted give no entry. With ``distinct_sources``, field rows of fish that have the same louse and stage
+    in more than one row of laboratory and field are left out; ``twice`` marks such fish.
+    """
+    if ratio_mode not in ("odds", "share"):
+        raise ValueError(f"ratio_mode must be odds or share, not {ratio_mode}")
+    origin = F.col("origin")
+    field, series = origin == "sealice_field", origin == "lab_mots_ts"
+    placed = _placed(sheets, catches, sites, season).withColumn("_year", F.year("survey_date"))
+    sums = placed.filter(origin.isin("current_lice", "sealice_field")).groupBy("origin", "_year").agg(
+        F.sum("leps").alias("_leps"), F.sum("cals").alias("_cals")
+    )
+    both = F.col("_leps") + F.col("_cals") if ratio_mode == "share" else F.col("_cals")
+    placed = null_safe_join(placed.drop("leps", "cals"), sums, ["origin", "_year"])
+    for name, inferred in (("lep", F.col("unk") * ratio("_leps", both)), ("cal", F.col("unk") * (1 - ratio("_leps", both)))):
+        present = F.when(F.coalesce(name, inferred).isNotNull(), F.coalesce(name, F.lit(0.0)) + F.coalesce(inferred, F.lit(0.0)))
+        total = F.when(origin == "current_lice", F.col(name) + inferred).when(field, present).otherwise(F.col(name))
+        placed = placed.withColumn(f"_{name}", total)
+    copy = F.when(series, F.monotonically_increasing_id())  # rows of the series are not added up
+    fish = placed.groupBy(*FISH_KEYS, "origin", "louse", copy.alias("_copy")).agg(
+        F.sum("_lep").alias("lep"), F.sum("_cal").alias("cal"), F.sum("lep_motile").alias("lep_motile"), F.sum("cal_motile").alias("cal_motile")
+    )
+    attached = lambda c: ~series & ((origin == "current_lice") | F.col(c).isNotNull())
+    motile = lambda louse: (origin == "current_lice") | (series & (F.col("louse") == louse))
+    cells = [
+        (attached("lep"), LEP, "attached", "lep"), (attached("cal"), CAL, "attached", "cal"),
+        (motile(LEP), LEP, "motile", "lep_motile"), (motile(CAL), CAL, "motile", "cal_motile"),
+    ]
+    entries = F.array_compact(F.array(*[
+        F.when(there, F.struct(F.lit(louse).alias("louse_species"), F.lit(stage).alias("life_stage"), F.col(c).alias("count")))
+        for there, louse, stage, c in cells
+    ]))
+    fish = fish.withColumn("entries", entries).filter(F.size("entries") > 0)
+    # from here on by fish: a few rows each
+    one_fish = Window.partitionBy("ufn")
+    checked = origin.isin("sealice_lab_fs", "sealice_field")
+    times = [F.sum((checked & F.col(c).isNotNull()).cast("int")).over(one_fish) > 1 for c in ("lep", "cal")]
+    fish = fish.withColumn("twice", times[0] | times[1])
+    if distinct_sources:
+        fish = fish.filter(~(field & F.col("twice")))
+    records = Window.partitionBy("ufn", "origin", "species").orderBy(F.col("survey_date").asc_nulls_last(), "_copy")
+    return fish.select(*FISH_KEYS, "origin", "entries", "twice", (F.row_number().over(records) == 1).alias("first"))
+
+
+def long_lice(by_fish: DataFrame) -> DataFrame:
+    """One row per louse species and stage of a fish."""
+    return by_fish.select(*FISH_KEYS, F.inline("entries"), "origin")
 
 
 def current_lice(
     lice: DataFrame, fish: DataFrame, ss: DataFrame, season: int, ratio_mode: str = "odds", salmon_only: bool = True
 ) -> DataFrame:
-    """This season's field counts, long, with unidentified chalimus split by species."""
-    places = seine_attributes(ss.filter(in_season("survey_date", season)), ["survey_date"])
-    hosts = complete(fish, ["ufn"]).select("ufn", "seine_id", "species").join(places, "seine_id")
-    joined = complete(lice.join(hosts, ["ufn", "seine_id"], "right").select(*FISH_KEYS, *CURRENT_COUNTS))
-    sums = joined.withColumns(
-        {
-            "leps": row_sum(["lep_cope", "lam", "laf", "lgf"]),
-            "cal": row_sum(["cal_cope", "cam", "caf", "cgf"]),
-            "unk": row_sum(["chal_a_b", "unid_cope", "unid_chal"]),
-        }
-    )
-    split = _inferred(sums.withColumn("_sums", sums.agg(_both_sums().alias("_sums")).scalar()), ratio_mode)
-    cells = {
-        (LEP, "attached"): row_sum(["lep_cope", "inferred_leps"]),
-        (LEP, "motile"): row_sum(["lam", "laf", "lgf"]),
-        (CAL, "attached"): row_sum(["cal_cope", "inferred_cal"]),
-        (CAL, "motile"): row_sum(["cam", "caf", "cgf"]),
-    }
-    out = _per_fish(split, cells, "current_lice").withColumn("year", F.year("survey_date"))
+    """This season's field counts, long, with unidentified lice split by species."""
+    catches = catch_data(fish, ss.filter(in_season("survey_date", season)), "inner")
+    out = long_lice(lice_by_fish([current_sheet(lice)], catches, season=season, ratio_mode=ratio_mode, distinct_sources=False))
+    out = out.withColumn("year", F.year("survey_date"))
     return out.filter(F.col("species").isin(*SALMON)) if salmon_only else out
 
 
-def catch_data(fish: DataFrame, ss: DataFrame) -> DataFrame:
+def catch_data(fish: DataFrame, ss: DataFrame, how: str = "left") -> DataFrame:
     """One row a fish with its survey date and site."""
     places = seine_attributes(ss, ["survey_date", "site_id", "region"])
-    return complete(fish, ["ufn"]).select("ufn", "seine_id", "species").join(places, "seine_id", "left")
-
-
-def _comparable(lice: DataFrame, catches: DataFrame, sites: DataFrame) -> DataFrame:
-    """Lice of fish from the region and the sites sampled alike in every year."""
-    hosts = members(catches.filter(F.col("region") == "DI"), sites, ["site_id"])
-    return lice.join(hosts, "ufn")
+    return complete(fish, ["ufn"]).select("ufn", "seine_id", "species").join(places, "seine_id", how)
 
 
 def lab_attached(
@@ -294,112 +378,39 @@ def lab_attached(
     cals: Sequence[str] = tuple(LAB_ATTACHED_CAL),
 ) -> DataFrame:
     """Attached lice of the laboratory sheet, long; missing counts are left out, a missing column is an error."""
-    absent = [c for c in [*leps, *cals] if c not in lab.columns]
-    if absent:
-        raise ValueError(f"the laboratory sheet has no column {', '.join(absent)}")
-    cells = {(LEP, "attached"): row_sum_present(list(leps)), (CAL, "attached"): row_sum_present(list(cals))}
-    return complete(_per_fish(_comparable(lab, catches, sites), cells, "sealice_lab_fs"), ["count"])
+    return long_lice(lice_by_fish([lab_sheet(lab, leps, cals)], catches, sites))
 
 
 def motile_series(series: DataFrame, catches: DataFrame) -> DataFrame:
     """The published motile counts with their seine."""
-    kept = series.filter(
-        (F.col("region") == "DI")
-        & (F.col("year") == F.year("survey_date"))
-        & (F.col("louse_species") != "all_lice")
-    )
-    louse = F.when(F.col("louse_species") == "motile_caligus", CAL).otherwise(LEP)
-    joined = kept.join(catches.select("ufn", "seine_id"), "ufn", "left")
-    return joined.select(
-        *FISH_KEYS,
-        louse.alias("louse_species"),
-        F.lit("motile").alias("life_stage"),
-        F.col("n_lice").cast("double").alias("count"),
-        F.lit("lab_mots_ts").alias("origin"),
-    )
+    return long_lice(lice_by_fish([series_sheet(series)], catches))
 
 
 def field_attached(field: DataFrame, catches: DataFrame, sites: DataFrame, ratio_mode: str = "odds") -> DataFrame:
     """Attached lice of the field sheet, long, unidentified ones split by each year's ratio."""
-    base = _comparable(field, catches, sites).withColumn("year", F.year("survey_date"))
-    sums = base.withColumns(
-        {
-            "leps": row_sum([f"{c}_field" for c in ("lep_cope", "lpam", "lpaf", "lam", "laf", "lgf")]),
-            "cal": row_sum([f"{c}_field" for c in ("cal_cope", "cal_mot", "cgf")]),
-            "unk": row_sum([f"{c}_field" for c in ("chal_a", "chal_b", "unid_cope", "unid_chal")]),
-        }
-    )
-    split = _inferred(with_group_values(sums, ["year"], _sums=_both_sums()), ratio_mode)
-    cells = {
-        (LEP, "attached"): row_sum_present(["lep_cope_field", "inferred_leps"]),
-        (CAL, "attached"): row_sum_present(["cal_cope_field", "inferred_cal"]),
-    }
-    return complete(_per_fish(split, cells, "sealice_field"), ["count"])
-
-
-def cross_source_duplicates(*sources: DataFrame) -> DataFrame:
-    """Fish that have the same louse species and stage in more than one row over the sources."""
-    both = bind(*sources).select("ufn", "louse_species", "life_stage")
-    return duplicated_groups(both, ["ufn", "louse_species", "life_stage"]).select("ufn").distinct()
-
-
-def _hosts_of(source: DataFrame, host: Sequence[str], attached: bool, motile: bool) -> DataFrame:
-    """Distinct hosts by species and the year of their first record."""
-    first = source.groupBy(*host).agg(F.min("survey_date").alias("survey_date"))
-    n = first.groupBy(F.year("survey_date").alias("year"), "species").agg(rows().alias("n"))
-    zero = F.lit(0).cast("bigint")
-    return n.select(
-        "year",
-        "species",
-        (F.col("n") if attached else zero).alias("n_hosts_attached"),
-        (F.col("n") if motile else zero).alias("n_hosts_motile"),
-    )
+    return long_lice(lice_by_fish([field_sheet(field)], catches, sites, ratio_mode=ratio_mode, distinct_sources=False))
 
 
-def hosts_examined(
-    current: DataFrame,
-    lab: DataFrame | None = None,
-    series: DataFrame | None = None,
-    field: DataFrame | None = None,
-    least: int | None = None,
-) -> DataFrame:
-    """Hosts examined by species, year and stage over all sources."""
-    counts = [_hosts_of(current, ["ufn", "species"], True, True)]
-    if lab is not None:
-        counts.append(_hosts_of(lab, ["ufn", "species"], True, False))
-    if series is not None:
-        counts.append(_hosts_of(series, ["ufn", "species"], False, True))
-    if field is not None:
-        counts.append(_hosts_of(field, ["ufn", "species", "life_stage"], True, False))
-    both = ["n_hosts_attached", "n_hosts_motile"]
-    total = bind(*counts).groupBy("species", "year").agg(*[F.sum(c).alias(c) for c in both])
-    long = longer(total, both, "life_stage", "n_hosts")
-    stage = F.when(F.col("life_stage") == "n_hosts_motile", "motile").otherwise("attached")
-    long = long.withColumn("life_stage", stage)
-    return long if least is None else long.filter(F.col("n_hosts") >= least)
-
+def cross_source_duplicates(lab: DataFrame, field: DataFrame, catches: DataFrame, sites: DataFrame) -> DataFrame:
+    """Fish that have the same louse species and stage in more than one row of the laboratory and field sheets."""
+    return lice_by_fish([lab, field], catches, sites, distinct_sources=False).filter("twice").select("ufn").distinct()
 
-def all_sources(lab: DataFrame, current: DataFrame, field: DataFrame, series: DataFrame) -> DataFrame:
-    """The long table of all four sources, staged in folders by origin.
 
-    It feeds the duplicate check, hosts, abundance and prevalence, so it is written once instead of
-    being computed four times. The field part still holds the fish the laboratory has too.
-    """
-    return stage(bind(lab, current.drop("year"), field, series), "lice-long", ["origin"])
-
-
-def without_duplicates(sources: DataFrame) -> DataFrame:
-    """All sources, less the field rows of fish with cross-source duplicates."""
+def _stages_examined(by_fish: DataFrame) -> DataFrame:
     origin = F.col("origin")
-    twice = cross_source_duplicates(sources.filter(origin.isin("sealice_lab_fs", "sealice_field")))
-    field = sources.filter(origin == "sealice_field").join(twice, "ufn", "left_anti")
-    return bind(sources.filter(origin != "sealice_field"), field)
+    return by_fish.withColumns(
+        {"attached": origin != "lab_mots_ts", "motile": origin.isin("current_lice", "lab_mots_ts")}
+    )
 
 
-def hosts_of_sources(long: DataFrame) -> DataFrame:
-    """Hosts examined, from the long table without duplicates."""
-    part = {o: long.filter(F.col("origin") == o) for o in ORIGINS}
-    return hosts_examined(*[part[o] for o in ORIGINS])
+def hosts_examined(by_fish: DataFrame, least: int | None = None) -> DataFrame:
+    """Hosts examined by species, year of their first record and stage, over all sources."""
+    both = ["attached", "motile"]
+    counts = _stages_examined(by_fish.filter("first")).groupBy("species", F.year("survey_date").alias("year")).agg(
+        *[F.sum(F.col(c).cast("bigint")).alias(c) for c in both]
+    )
+    long = longer(counts, both, "life_stage", "n_hosts")
+    return long if least is None else long.filter(F.col("n_hosts") >= least)
 
 
 def _stage_label(c: Column | str = "life_stage") -> Column:
@@ -411,26 +422,32 @@ def _species_shown(df: DataFrame) -> DataFrame:
     return shown.withColumn("species_order", position("species", list(SALMON_LABELS.values())))
 
 
-def yearly_abundance(long: DataFrame, hosts: DataFrame, least: int = 3) -> DataFrame:
+def yearly_abundance(by_fish: DataFrame, least: int = 3) -> DataFrame:
     """Mean lice a fish by year, species, louse and stage; the error counts the hosts examined.
 
-    Lice rows are aggregated before the few host counts are joined.
+    One aggregation gives both: the first record of a host is counted with its first entry of each stage.
     """
     keys = ["year", "species", "louse_species", "life_stage"]
-    base = complete(long.filter(F.col("species") != "CO"), ["count"])
-    base = base.withColumn("year", F.year("survey_date"))
-    stats = base.groupBy(*keys).agg(F.avg("count").alias("mean_abundance"), F.stddev_samp("count").alias("sd"))
-    joined = stats.join(hosts, ["species", "year", "life_stage"], "left").filter(F.col("n_hosts") >= least)
+    place = F.posexplode("entries").alias("at", "e")
+    rows_ = by_fish.filter(F.col("species") != "CO").select("species", "survey_date", "first", "entries", place)
+    counted = F.col("first") & (F.array_position(F.transform("entries", lambda e: e["life_stage"]), F.col("e.life_stage")) == F.col("at") + 1)
+    rows_ = rows_.select(F.year("survey_date").alias("year"), "species", "e.*", counted.cast("bigint").alias("_host"))
+    stats = rows_.groupBy(*keys).agg(
+        F.avg("count").alias("mean_abundance"), F.stddev_samp("count").alias("sd"), F.sum("_host").alias("_hosts")
+    )
+    stage = Window.partitionBy("species", "year", "life_stage")  # one row a louse species
+    stats = stats.withColumn("n_hosts", F.sum("_hosts").over(stage)).drop("_hosts")
+    joined = stats.filter(F.col("mean_abundance").isNotNull() & (F.col("n_hosts") >= least))
     out = joined.withColumns({"se": ratio("sd", F.sqrt("n_hosts")), "life_stage": _stage_label()})
     bars = {"lower": lower_bar("mean_abundance", "se"), "upper": F.col("mean_abundance") + F.col("se")}
     return _species_shown(out.withColumns(bars))
 
 
-def yearly_prevalence(long: DataFrame) -> DataFrame:
+def yearly_prevalence(by_fish: DataFrame) -> DataFrame:
     """Mean over seines of the share of infected hosts, by year, species, louse and stage."""
     seine = ["survey_date", "seine_id", "species", "louse_species", "life_stage"]
     infected = F.when(F.col("count") > 0, 1).when(F.col("count") <= 0, 0)
-    per_seine = long.groupBy(*seine).agg(rows().alias("n_hosts"), strict_sum(infected).alias("n_infected"))
+    per_seine = long_lice(by_fish).groupBy(*seine).agg(rows().alias("n_hosts"), strict_sum(infected).alias("n_infected"))
     per_seine = per_seine.withColumns(
         {"prop_infected": ratio("n_infected", "n_hosts"), "year": F.year("survey_date")}
     )

@@ -236,16 +236,11 @@ DUPS = """dups AS (
                             GROUP BY ufn, louse_species, life_stage HAVING count(*) > 1) d)"""
 
 
-def long_table(counts, lab, series, field, fish, alike, *s):
-    ss = survey_seines(*s)
-    catches = lice.catch_data(fish, ss)
-    everything = lice.all_sources(
-        lice.lab_attached(lab, catches, alike, LAB_LEPS, LAB_CALS),
-        lice.current_lice(counts, fish, ss, SEASON, salmon_only=False),
-        lice.field_attached(field, catches, alike),
-        lice.motile_series(series, catches),
-    )
-    return lice.without_duplicates(everything)
+def by_fish(counts, lab, series, field, fish, alike, *s):
+    sheets = [
+        lice.lab_sheet(lab, LAB_LEPS, LAB_CALS), lice.current_sheet(counts), lice.field_sheet(field), lice.series_sheet(series)
+    ]
+    return lice.lice_by_fish(sheets, lice.catch_data(fish, survey_seines(*s)), alike, SEASON)
 
 
 query(
@@ -255,8 +250,7 @@ query(
     extra=(SS, CATCHES, LAB, *FIELD, DUPS),
 )(
     lambda lab, field, fish, alike, *s: lice.cross_source_duplicates(
-        lice.lab_attached(lab, lice.catch_data(fish, survey_seines(*s)), alike, LAB_LEPS, LAB_CALS),
-        lice.field_attached(field, lice.catch_data(fish, survey_seines(*s)), alike),
+        lice.lab_sheet(lab, LAB_LEPS, LAB_CALS), lice.field_sheet(field), lice.catch_data(fish, survey_seines(*s)), alike
     )
 )
 
@@ -287,7 +281,7 @@ ALL_CTES = [
   UNION ALL SELECT species, year, 'motile', CAST(sum(m) AS BIGINT) FROM host_counts GROUP BY ALL)""",
 ]
 query("q38_hosts_examined", ALL_VIEWS, "SELECT * FROM hosts", extra=ALL_CTES, integers=["n_hosts"])(
-    lambda *v: lice.hosts_of_sources(long_table(*v))
+    lambda *v: lice.hosts_examined(by_fish(*v))
 )
 SHOWN = " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in SALMON_LABELS.items())
 ORDER = " ".join(f"WHEN '{k}' THEN {i + 1}" for i, k in enumerate(SALMON_LABELS))
@@ -310,8 +304,7 @@ STAGE = "CASE life_stage WHEN 'motile' THEN 'Motile' ELSE 'Attached' END AS life
     integers=["species_order"],
 )
 def yearly_abundance(*v):
-    long = long_table(*v)
-    return lice.yearly_abundance(long, lice.hosts_of_sources(long))
+    return lice.yearly_abundance(by_fish(*v))
 
 
 @query(
@@ -333,4 +326,4 @@ def yearly_abundance(*v):
     integers=["species_order"],
 )
 def yearly_prevalence(*v):
-    return lice.yearly_prevalence(long_table(*v))
+    return lice.yearly_prevalence(by_fish(*v))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -164,3 +165,28 @@ def test_shared_folder_reads_the_setting():
     assert session.shared_folder(Session(None, "local[2]")) == session.shared_folder(Session(None, "local[2]"))
     with pytest.raises(ValueError, match="share"):
         session.shared_folder(Session(None, "yarn"))
+
+
+def test_four_lice_sources_in_one_pass(spark, sf_dir):
+    """No job while planning, one reading of the sheets and one more for the ratios; duplicates and first records move nothing."""
+    folder = Path(session.shared_folder(spark))
+    before = set(folder.iterdir())
+    plans = {n: plan_of(entry.queries()[n](spark, sf_dir)) for n in ("q38_hosts_examined", "q39_yearly_abundance", "q40_yearly_prevalence")}
+    assert set(folder.iterdir()) == before  # nothing is written while planning
+    for name, plan in plans.items():
+        assert plan.count("FileScan parquet") <= 18, (name, plan.count("FileScan parquet"))
+        assert plan.count("Window") <= 4 and "parquet/lice" not in plan
+
+
+def test_hosts_count_by_their_first_record(spark):
+    ss = survey_rows(spark, [(1, "2019-05-06", 1, 3), (2, "2020-05-06", 1, 3)])
+    fish = spark.createDataFrame([("A", 10, "SO"), ("A", 20, "SO"), ("B", 20, "PI")], "ufn string, seine_id bigint, species string")
+    series = spark.createDataFrame(
+        [("A", dt.date(2019, 5, 6), 2019, "DI", "SO", "motile_lep", 2), ("A", dt.date(2019, 5, 6), 2019, "DI", "SO", "motile_caligus", None),
+         ("Z", dt.date(2020, 5, 6), 2020, "DI", "SO", "motile_lep", 1), ("Z", dt.date(2020, 5, 6), 2019, "DI", "SO", "motile_lep", 1)],
+        "ufn string, survey_date date, year int, region string, species string, louse_species string, n_lice int",
+    )
+    rows = lice.lice_by_fish([lice.series_sheet(series)], lice.catch_data(fish, ss))
+    got = {(r.species, r.year, r.life_stage): r.n_hosts for r in lice.hosts_examined(rows).collect()}
+    assert got == {("SO", 2019, "attached"): 0, ("SO", 2019, "motile"): 1, ("SO", 2020, "attached"): 0, ("SO", 2020, "motile"): 1}
+    assert lice.long_lice(rows).count() == 5  # the fish with two seines stands for two rows of each louse
