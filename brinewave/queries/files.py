@@ -47,6 +47,49 @@ def explore(seines):
     return readers.explore(seines.sparkSession, path)
 
 
+def late_types(seines: DataFrame) -> tuple[str, DataFrame]:
+    """One file in id order whose columns change type late: whole numbers first, then fractions, then words."""
+    late = F.col("seine_id") > F.lit(20_000)
+    rows = seines.select(
+        "seine_id", "survey_id",
+        F.when(late & (F.col("seine_id") % 70 == 0), F.lit("many")).otherwise(F.col("so_total").cast("string")).alias("so_total"),
+        F.when(late, F.concat(F.col("pi_total"), F.lit(".5"))).otherwise(F.col("pi_total").cast("string")).alias("pi_total"),
+    )
+    path = landing(seines)
+    sinks.write_csv(rows.repartitionByRange(1, "seine_id").sortWithinPartitions("seine_id"), path)
+    return path, rows
+
+
+NUMBERED = """numbered AS (
+  SELECT *, row_number() OVER (ORDER BY seine_id) + 1 AS line FROM (
+    SELECT seine_id, survey_id, CASE WHEN seine_id > 20000 AND seine_id % 70 = 0 THEN 'many' ELSE CAST(so_total AS VARCHAR) END AS so_total,
+           CASE WHEN seine_id > 20000 THEN pi_total || '.5' ELSE CAST(pi_total AS VARCHAR) END AS pi_total FROM seines) s)"""
+
+
+@query(
+    "s02_guessed_types",
+    ["seines"],
+    "SELECT seine_id, survey_id, TRY_CAST(so_total AS BIGINT) AS so_total, CASE WHEN pi_total NOT LIKE '%.5' THEN CAST(pi_total AS BIGINT) END AS pi_total FROM numbered",
+    extra=(NUMBERED,),
+)
+def guessed(seines):
+    path, _ = late_types(seines)
+    return readers.read_guessed(seines.sparkSession, path, guess_max=100).table
+
+
+@query(
+    "s02_values_that_break_the_guess",
+    ["seines"],
+    """SELECT "column", min(line) AS line, 'bigint' AS expected, arg_min(actual, line) AS actual FROM (
+         SELECT 'so_total' AS "column", line, so_total AS actual FROM numbered WHERE so_total = 'many'
+         UNION ALL SELECT 'pi_total', line, pi_total FROM numbered WHERE pi_total LIKE '%.5') p GROUP BY 1""",
+    extra=(NUMBERED,),
+)
+def guess_problems(seines):
+    path, _ = late_types(seines)
+    return readers.read_guessed(seines.sparkSession, path, guess_max=100).first_problems().drop("file")
+
+
 @query(
     "s03_read_skipping_preamble",
     ["wind_speed"],
@@ -129,6 +172,21 @@ def year_folders(surveys):
     return sinks.reload(surveys.sparkSession, path)
 
 
+@query(
+    "s09_committed_seasons",
+    ["surveys"],
+    f"""SELECT survey_id, survey_date, CASE WHEN year(survey_date) >= {SEASON - 1} THEN 'rerun' ELSE 'first' END AS run_name,
+               year(survey_date) AS year FROM surveys WHERE year(survey_date) >= {SEASON - 3}""",
+)
+def committed_seasons(surveys):
+    path = landing(surveys)
+    rows = surveys.select("survey_id", "survey_date", F.lit("first").alias("run_name"), F.year("survey_date").alias("year"))
+    sinks.commit_seasons(rows, path)
+    for season in (SEASON - 1, SEASON):
+        sinks.commit_seasons(rows.filter(F.col("year") == season).withColumn("run_name", F.lit("rerun")), path)
+    return sinks.read_seasons(surveys.sparkSession, path, range(SEASON - 3, SEASON + 1))
+
+
 @query(
     "s10_reload_stage_csv",
     ["seines"],

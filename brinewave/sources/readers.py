@@ -5,10 +5,11 @@ from __future__ import annotations
 import csv
 import sys
 from collections.abc import Iterator, Sequence
+from dataclasses import dataclass
 
 import pandas as pd
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -25,6 +26,99 @@ def explore(spark: SparkSession, path: str, sample: float = 1.0) -> DataFrame:
     return spark.read.options(**NA_OPTIONS, inferSchema=True, samplingRatio=sample).csv(path)
 
 
+#: Types a text may be, narrowest first. A column gets the first that all of its sampled values parse as.
+GUESSED_TYPES = ("boolean", "bigint", "double", "date", "timestamp", "string")
+
+
+@dataclass
+class Guessed:
+    """A table read with guessed types; ``problems`` has the values that its types could not hold."""
+
+    table: DataFrame
+    types: dict[str, str]
+    problems: DataFrame
+
+    def first_problems(self) -> DataFrame:
+        """The first value of each column that breaks the guess: column, file, line, expected, actual."""
+        first = F.min(F.struct("file", "line", "expected", "actual")).alias("x")
+        return self.problems.groupBy("column").agg(first).select("column", "x.*")
+
+
+def numbered_lines(spark: SparkSession, path: str) -> DataFrame:
+    """``value, file, line``: the lines of text files with their numbers from 1 on.
+
+    Splits are counted where they are read, and a running total over the splits of a file gives their offsets: no line
+    is sorted and no file is read by one task.
+    """
+    lines = spark.read.text(path).select(
+        "value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"),
+        F.monotonically_increasing_id().alias("id"),
+    )  # ids count up within a split
+    splits = lines.groupBy("file", "start").agg(F.min("id").alias("first"), F.count("*").alias("n"))
+    before = F.sum("n").over(Window.partitionBy("file").orderBy("start").rowsBetween(Window.unboundedPreceding, -1))
+    splits = splits.select("file", "start", (F.coalesce(before, F.lit(0)) - F.col("first") + 1).alias("shift"))
+    return lines.join(splits, ["file", "start"]).select("value", "file", (F.col("id") + F.col("shift")).alias("line"))
+
+
+def _parses(text: Column, kind: str) -> Column:
+    if kind == "boolean":
+        return F.lower(text).isin("true", "false", "t", "f")
+    if kind == "bigint":
+        return text.rlike(r"^\s*[+-]?\d+\s*$") & text.try_cast("bigint").isNotNull()
+    if kind == "double":
+        return ~text.rlike("[dDfF]\\s*$") & text.try_cast("double").isNotNull()
+    if kind == "date":
+        return text.rlike(r"^\d{4}-\d{2}-\d{2}$") & text.try_cast("date").isNotNull()
+    if kind == "timestamp":
+        return text.rlike(r"^\d{4}-\d{2}-\d{2}[T ]\d{2}:\d{2}") & text.try_cast("timestamp").isNotNull()
+    return F.lit(True)
+
+
+def read_guessed(spark: SparkSession, path: str, guess_max: int = 1000) -> Guessed:
+    """Headed CSV files with types guessed from the first ``guess_max`` rows of each file.
+
+    One aggregation over these rows: a value's possible types are bits, a column's are the bits that all values share,
+    and the narrowest is taken (boolean where all are missing). Later values that do not parse become missing and are
+    listed as problems with their line. A record is one line; every file has the same header.
+    """
+    head = spark.read.text(path).limit(1).collect()
+    names = next(csv.reader([head[0]["value"]]), []) if head else []
+    if not names:
+        raise ValueError("there is no header line")
+    texts = ", ".join(f"`{n}` string" for n in names)
+    rows = numbered_lines(spark, path).filter((F.col("line") > 1) & (F.length(F.trim("value")) > 0))
+    rows = rows.select("file", "line", F.from_csv("value", texts, {"nullValue": "NA"}).alias("row"))
+
+    def value(name: str) -> Column:
+        return F.col("row").getField(name)
+
+    def mask(name: str) -> Column:
+        bits = [F.when(_parses(value(name), k), 1 << i).otherwise(0) for i, k in enumerate(GUESSED_TYPES)]
+        return F.when(value(name).isNotNull(), sum(bits[1:], bits[0]))
+
+    shared = rows.filter(F.col("line") <= guess_max + 1).agg(
+        *[F.bit_and(mask(n)).alias(str(i)) for i, n in enumerate(names)]
+    ).first()
+    types = {
+        n: next(k for b, k in enumerate(GUESSED_TYPES) if shared[i] is None or shared[i] >> b & 1) for i, n in enumerate(names)
+    }
+
+    def typed(name: str) -> Column:
+        kind, text = types[name], value(name)
+        if kind == "boolean":
+            return F.when(_parses(text, kind), F.lower(text).isin("true", "t"))
+        return F.when(_parses(text, kind), text.try_cast(kind))
+
+    table = rows.select(*[typed(n).alias(n) for n in names])
+    odd = [
+        F.when(value(n).isNotNull() & ~F.coalesce(_parses(value(n), types[n]), F.lit(False)),
+               F.struct(F.lit(n).alias("column"), F.lit(types[n]).alias("expected"), value(n).alias("actual")))
+        for n in names
+    ]
+    problems = rows.select("file", "line", F.inline(F.array_compact(F.array(*odd))))
+    return Guessed(table, types, problems.select("column", "file", "line", "expected", "actual"))
+
+
 def read_quoted(spark: SparkSession, path: str, schema: str) -> DataFrame:
     """CSV whose quoted fields may hold commas, doubled quotes and line feeds."""
     return (

@@ -3,6 +3,7 @@ from __future__ import annotations
 import datetime as dt
 
 import pytest
+from pyspark.sql import functions as F
 
 from brinewave import schemas
 from brinewave.sources import readers, sinks
@@ -94,3 +95,56 @@ def test_cast_feed_prunes_folders_and_pushes_depth(spark, tmp_path):
     pruned = plan[plan.index("PartitionFilters: [") :].split("]")[0]
     assert "station" in pruned and "year" in pruned and "LessThanOrEqual(depth,30.0)" in plan
     assert "salinity" not in plan[plan.index("ReadSchema") :]
+
+
+@pytest.mark.parametrize("split", ["128MB", "64b"])
+def test_types_are_guessed_from_the_first_rows(spark, tmp_path, split):
+    lines = ["n,x,flag,day,at,note,none"]
+    lines += [f"{i},{i}.5,{'TF'[i % 2]},2019-05-0{1 + i % 9},2019-05-01T10:0{i % 10}:00,a{i},NA" for i in range(40)]
+    lines += ["", "3000000000,7,T,2019-05-01,2019-05-01 10:00,\"b, c\",NA", "4.25,many,maybe,May 1,noon,d,late", "x,1e3,F,NA,NA,NA,NA"]
+    path = write(tmp_path / "late.csv", "\n".join(lines) + "\n")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", split)
+    try:
+        got = readers.read_guessed(spark, path, guess_max=30)
+        assert list(got.types.values()) == ["bigint", "double", "boolean", "date", "timestamp", "string", "boolean"]
+        first = {r["column"]: (r.line, r.expected, r.actual) for r in got.first_problems().collect()}
+        rows = {r.note: r for r in got.table.collect()}
+        problems = sorted((r["column"], r.line) for r in got.problems.collect())
+        whole = readers.read_guessed(spark, path, guess_max=1000)
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert first == {
+        "n": (44, "bigint", "4.25"), "x": (44, "double", "many"), "flag": (44, "boolean", "maybe"), "day": (44, "date", "May 1"),
+        "at": (44, "timestamp", "noon"), "none": (44, "boolean", "late"),
+    }
+    assert problems == [("at", 44), ("day", 44), ("flag", 44), ("n", 44), ("n", 45), ("none", 44), ("x", 44)]
+    assert len(rows) == 43 and rows["b, c"].n == 3_000_000_000 and rows["d"].n is None and rows[None].x == 1000.0
+    assert rows["a3"].flag is False and rows["a2"].day == dt.date(2019, 5, 3)
+    assert list(whole.types.values()) == ["string", "string", "string", "string", "string", "string", "string"]
+    assert whole.problems.count() == 0
+
+
+def test_guess_of_files_without_rows_or_header(spark, tmp_path):
+    path = write(tmp_path / "empty.csv", "a,b\n")
+    got = readers.read_guessed(spark, path)
+    assert got.types == {"a": "boolean", "b": "boolean"} and got.table.count() == 0
+    with pytest.raises(ValueError, match="header"):
+        readers.read_guessed(spark, write(tmp_path / "none.csv", ""))
+
+
+def test_a_failed_rerun_leaves_the_season_readable(spark, tmp_path):
+    path = str(tmp_path / "seasons")
+    with pytest.raises(ValueError, match="no season"):
+        sinks.read_seasons(spark, path)
+    rows = spark.createDataFrame([(i, 2018 + i % 3, "old") for i in range(300)], "id int, year int, run_name string")
+    first = sinks.commit_seasons(rows, path)
+    broken = rows.filter("year = 2019").withColumn("run_name", F.when(F.col("id") == 298, F.raise_error(F.lit("lost"))).otherwise("new"))
+    with pytest.raises(Exception, match="lost"):
+        sinks.commit_seasons(broken, path)
+    assert sinks.read_seasons(spark, path).filter("run_name = 'old'").count() == 300
+    second = sinks.commit_seasons(rows.filter("year = 2019").withColumn("run_name", F.lit("new")), path)
+    got = {(r.year, r.run_name): r["count"] for r in sinks.read_seasons(spark, path).groupBy("year", "run_name").count().collect()}
+    assert got == {(2018, "old"): 100, (2019, "new"): 100, (2020, "old"): 100}
+    one = sinks.read_seasons(spark, path, [2019])
+    assert all(second in f for f in one.inputFiles()) and one.count() == 100
+    assert [tuple(r) for r in sinks.superseded(spark, path).collect()] == [(2019, first)]
