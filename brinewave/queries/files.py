@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from brinewave.fixtures import SEASON
 from brinewave.queries.registry import query
 from brinewave.session import shared_folder
-from brinewave.sources import readers, sinks
+from brinewave.sources import feed, readers, sinks
 
 
 def landing(df: DataFrame) -> str:
@@ -135,6 +135,21 @@ def cast_feed(ctd):
     return readers.read_casts(ctd.sparkSession, path, ["QU39", "QU29"], 1996, (32, 213), 30)
 
 
+@query(
+    "s06_cast_feed_pages",
+    ["ctd"],
+    """SELECT station, date, depth, temperature FROM ctd
+       WHERE station IN ('QU39', 'QU29') AND year(date) > 1996 AND depth <= 30
+         AND dayofyear(date) > 32 AND dayofyear(date) < 213""",
+    doubles=["depth", "temperature"],
+)
+def cast_feed_pages(ctd):
+    path = landing(ctd)
+    feed.land_feed(ctd, path)
+    wanted = ["station", "date", "depth", "temperature"]
+    return feed.read_feed(ctd.sparkSession, path, ["QU39", "QU29"], 1996, (32, 213), 30, wanted)
+
+
 @query("s07_named_table", ["fish"], "SELECT ufn, species FROM fish WHERE species = 'SO'")
 def named_table(fish):
     name = f"survey_seines_fish_{uuid.uuid4().hex}"

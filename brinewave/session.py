@@ -18,6 +18,8 @@ RUNTIME_SETTINGS = {
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     # year folders are replaced one by one, never the whole table
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # the cast feed takes conditions over
+    "spark.sql.python.filterPushdown.enabled": "true",
 }
 
 

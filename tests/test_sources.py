@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from brinewave import schemas
-from brinewave.sources import readers, sinks
+from brinewave.sources import feed, readers, sinks
 
 
 def write(path, text):
@@ -148,3 +148,29 @@ def test_a_failed_rerun_leaves_the_season_readable(spark, tmp_path):
     one = sinks.read_seasons(spark, path, [2019])
     assert all(second in f for f in one.inputFiles()) and one.count() == 100
     assert [tuple(r) for r in sinks.superseded(spark, path).collect()] == [(2019, first)]
+
+
+def test_feed_takes_conditions_and_fields_over(spark, tmp_path):
+    schema = "station string, date date, cast_number bigint, depth double, temperature double, salinity double, dissolved_oxygen_ml_l double"
+    rows = [(s, dt.date(y, m, 5), n, float(d), None if d == 7 else 8.0 + n, 29.0, None)
+            for s in ("QU39", "QU29", "JS2") for y in (2014, 2015, 2018) for m in (1, 3, 9) for n in (1, 2) for d in (0.5, 7, 30, 31)]
+    path = str(tmp_path / "feed")
+    feed.land_feed(spark.createDataFrame(rows, schema), path)
+    got = feed.read_feed(spark, path, ["QU39", "QU29"], 2014, (32, 213), 30, ["station", "date", "depth", "temperature"])
+    want = [(s, d, z, t) for s, d, _, z, t, _, _ in rows if s != "JS2" and d.year > 2014 and d.month == 3 and z <= 30]
+    assert sorted(map(str, (tuple(r) for r in got.collect()))) == sorted(map(str, want))
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "BatchScan cast_feed" in plan and "Filter (" not in plan and "salinity" not in plan  # nothing is left for Spark
+    reader = feed.FeedReader(path, ["station", "depth", "yday"])
+    left = list(reader.pushFilters([feed.In(("station",), ("QU39",)), feed.EqualTo(("year",), 2018), feed.LessThanOrEqual(("depth",), 7.0),
+                                    feed.IsNotNull(("depth",)), feed.GreaterThan(("temperature",), 1.0)]))
+    assert [type(f).__name__ for f in left] == ["GreaterThan"]
+    pages = reader.partitions()
+    assert {(p.station, p.year) for p in pages} == {("QU39", 2018)}
+    tables = [b for p in pages for b in reader.read(p)]
+    assert {c for b in tables for c in b.schema.names} == {"station", "depth", "yday"}
+    assert sorted(x for b in tables for x in b.column("depth").to_pylist()) == sorted([0.5, 7.0] * 6)
+    none = feed.read_feed(spark, path, ["XX"])
+    assert none.count() == 0
+    with pytest.raises(Exception, match="no field"):
+        feed.read_feed(spark, path, ["QU39"], columns=["ph"]).collect()
