@@ -6,13 +6,18 @@ with very many neighbours is a skewed join at worst and never a group in one tas
 
 from __future__ import annotations
 
+from math import ceil
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from brinewave.llm.base import held
 
 
-def _star(edges: DataFrame, large: bool) -> DataFrame:
+LEAST_TASKS = 8
+
+
+def _star(edges: DataFrame, large: bool, tasks: int | None = None) -> DataFrame:
     """Link neighbours to the smallest node of a neighbourhood: the larger ones, or the smaller ones with the node."""
     if large:
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
@@ -26,18 +31,23 @@ def _star(edges: DataFrame, large: bool) -> DataFrame:
         out = joined.select(F.col("b").alias("a"), F.col("m").alias("b")).unionByName(
             least.select("a", F.col("m").alias("b"))
         )
-    return out.filter("a <> b").distinct()
+    out = out.filter("a <> b")
+    return out.distinct() if tasks is None else out.coalesce(tasks).distinct().coalesce(tasks)
 
 
-def components(links: DataFrame) -> DataFrame:
+def components(links: DataFrame, rows_of_task: int | None = None) -> DataFrame:
     """``(node, component)`` of every node in ``links(a, b)``; the component is its smallest node.
 
-    Links are symmetric; repeated links and self-links change nothing. An empty input gives no row.
+    Links are symmetric; repeated links and self-links change nothing. An empty input gives no row. With ``rows_of_task``, a
+    step has as many tasks as its links need at that number of rows each, where the session's shuffles would have far more.
     """
     edges = held(links.filter("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
-    before = None
+    before = tasks = None
+    if rows_of_task is not None:
+        tasks = max(LEAST_TASKS, ceil(edges.count() / rows_of_task))
+        edges = edges.coalesce(tasks)
     while True:
-        edges = held(_star(_star(edges, True), False))
+        edges = held(_star(_star(edges, True, tasks), False, tasks))
         now = edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if now == before:
             break

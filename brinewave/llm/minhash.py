@@ -42,6 +42,7 @@ BLOCK = 512  # nodes, where sketches meet
 BLOCK_MEMBERS = 1 << 17  # shingles, where sets meet
 #: Of 72 minhashes, 36 or more agree but for a chance of 1e-8 at similarity 0.8; chance agreements only add pairs.
 AGREE_LEAST = 36
+LINKS_OF_TASK = 100_000
 SPAN = 1 << 13
 MULTIPLIERS = np.random.default_rng(11).integers(1 << 62, (1 << 63) - 1, 2 * TABLES * DEPTH, dtype=np.uint64) * 2 + 1
 OFFSETS = np.random.default_rng(13).integers(0, (1 << 63) - 1, 2 * TABLES * DEPTH, dtype=np.uint64)
@@ -309,7 +310,7 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
     chosen = near_hubs.groupBy("a").agg(F.max(F.struct("score", "b")).alias("x"), F.max(F.struct("agree", "b")).alias("y"))
     chosen = held(chosen.select("a", F.col("x.b").alias("b"), F.col("y.b").alias("closest")))
     beside = sketch_links(buckets(mixed(following(hashes, chosen))), nodes)
-    families = held(components(near_hubs.select("a", "b").union(beside)))
+    families = held(components(near_hubs.select("a", "b").union(beside), LINKS_OF_TASK))
     wanted = families.join(nodes.select("node", "row.*"), "node")
     text, doc_id = text_of(docs), column(docs, "doc_id")
     texts = docs.select(F.xxhash64(doc_id, text).alias("rid"), F.hash(text, doc_id).alias("rid2"), text.alias("text"))
@@ -326,7 +327,7 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
     leads = confirmed.join(near_hubs.select("a", "b", "score"), ["a", "b"]).groupBy("a").agg(F.max(F.struct("score", "b")).alias("x"))
     inside = mixed(following(families.withColumnRenamed("component", "key"), leads.select("a", F.col("x.b").alias("b"))))
     inside = inside.join(nodes.select("node", "n", "sketch"), "node").join(sets, "node")
-    found = components(confirmed.union(set_links(inside)))
+    found = components(confirmed.union(set_links(inside)), LINKS_OF_TASK)
     found = found.withColumnRenamed("component", "comp")
     groups = nodes.select("node", "digest", "least").join(found, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
     named = groups.groupBy("comp").agg(F.min("least").alias("component_id"))

@@ -57,3 +57,27 @@ def test_odd_rows(spark, odd):
     assert set(odd.columns) <= set(out.columns) and out.filter("copies < 1").count() == 0
     assert mixing.mixed(odd.limit(0)).count() == 0
     assert mixing.mixed(odd.filter(F.col("doc_id") < 3)).filter("target > 0").count() == 0
+
+
+def test_large_documents_leave_no_gap(spark, documents):
+    """One huge document a source, or many large ones: the small ones make up for what they bring or lack."""
+    rng = random.Random(21)
+    parts, sizes = None, {}
+    for k, (huge, large, small) in enumerate([(6000, 0, 900), (3000, 5, 400), (0, 40, 300), (20000, 0, 4000), (0, 0, 500)]):
+        for repeat in range(3):
+            source = f"s{k}-{repeat}"
+            lengths = [huge + repeat] * (huge > 0) + [rng.randint(300, 2500) for _ in range(large)] + [rng.randint(0, 60) for _ in range(small)]
+            df = documents(*(f"{source} " * n for n in lengths), source=source)
+            parts = df if parts is None else parts.unionByName(df)
+            sizes[source] = sum(lengths)
+    want = water_fill(sizes)
+    got = {r["source"]: r["taken"] for r in mixing.mixed(parts, payload=("source",)).groupBy("source").agg(F.sum("taken").alias("taken")).collect()}
+    for s in sizes:
+        assert abs(got[s] - want[s]) <= 16, (s, got[s], want[s])
+
+
+def test_targets_of_the_given_documents(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    rows = mixing.mixed(docs, payload=("source",)).groupBy("source").agg(F.sum("taken").alias("taken"), F.max("target").alias("target"))
+    for r in rows.collect():
+        assert abs(r["taken"] - r["target"]) <= max(16, 0.01 * r["target"]), r
