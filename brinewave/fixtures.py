@@ -15,6 +15,13 @@ from pyspark.sql import DataFrame, SparkSession
 SEASON = 2001  # the last year in the data plays "this season"
 
 _UFN = "concat('U', l_orderkey, '-', l_linenumber, '-', l_partkey, '-', l_suppkey)"
+
+
+def _ufn_where(condition: str) -> str:
+    """The fish's key; rows that do not meet the condition have one that no fish has."""
+    return f"concat(CASE WHEN {condition} THEN 'U' ELSE 'V' END, l_orderkey, '-', l_linenumber, '-', l_partkey, '-', l_suppkey)"
+
+
 _SPECIES = (
     "CASE l_partkey % 5 WHEN 0 THEN 'SO' WHEN 1 THEN 'PI' WHEN 2 THEN 'CU' WHEN 3 THEN 'CO' ELSE 'HE' END"
 )
@@ -53,15 +60,15 @@ VIEWS = {
                CASE WHEN l_suppkey % 11 < 8 THEN 'presence/absence' ELSE 'counts' END AS field_lice_id_protocol
         FROM {{lineitem}}""",
     "fish_lab": f"""
-        SELECT {_UFN} AS ufn, CAST(61 + l_partkey % 99 AS DOUBLE) AS fork_length
-        FROM {{lineitem}} WHERE l_suppkey % 3 = 0""",
+        SELECT {_ufn_where("l_suppkey % 3 = 0")} AS ufn, CAST(61 + l_partkey % 99 AS DOUBLE) AS fork_length
+        FROM {{lineitem}}""",
     "lice": f"""
-        SELECT {_UFN} AS ufn, l_orderkey * 10 AS seine_id,
+        SELECT {_ufn_where("l_partkey % 6 <> 0")} AS ufn, l_orderkey * 10 AS seine_id,
                CASE WHEN l_suppkey % 43 = 0 THEN NULL ELSE l_partkey % 2 END AS lep_cope,
                l_partkey % 3 AS lam, l_suppkey % 2 AS laf, l_suppkey % 4 AS lgf, l_partkey % 4 AS cal_cope,
                l_partkey % 5 AS cam, l_suppkey % 3 AS caf, l_suppkey % 5 AS cgf,
                l_linenumber % 3 AS chal_a_b, l_linenumber % 2 AS unid_cope, l_partkey % 2 AS unid_chal
-        FROM {{lineitem}} WHERE l_partkey % 6 <> 0""",
+        FROM {{lineitem}}""",
     "lice_2018": f"""
         SELECT {_UFN} AS ufn, l_orderkey * 10 AS seine_id, {_SPECIES} AS species,
                l_partkey % 2 AS cal_cope, l_suppkey % 2 AS lep_cope, l_linenumber % 3 AS chal_a,
@@ -73,32 +80,32 @@ VIEWS = {
                l_linenumber % 2 AS unid_cope, l_partkey % 2 AS unid_chal
         FROM {{lineitem}}""",
     "lice_lab": f"""
-        SELECT {_UFN} AS ufn,
+        SELECT {_ufn_where("l_partkey % 4 = 1")} AS ufn,
                CASE WHEN l_suppkey % 13 = 0 THEN NULL ELSE l_partkey % 2 END AS lep_cop,
                CASE WHEN l_suppkey % 13 = 0 THEN NULL ELSE l_suppkey % 2 END AS lep_chal_a,
                CASE WHEN l_suppkey % 13 = 0 THEN NULL ELSE l_linenumber % 2 END AS lep_chal_b,
                l_partkey % 3 AS lep_a_m, l_suppkey % 3 AS lep_grav_f,
                CASE WHEN l_partkey % 17 = 0 THEN NULL ELSE l_partkey % 4 END AS cal_cop,
                l_suppkey % 4 AS cal_chal_a_1, l_linenumber % 3 AS cal_chal_b_3, l_partkey % 5 AS cal_mot_unid
-        FROM {{lineitem}} WHERE l_partkey % 4 = 1""",
+        FROM {{lineitem}}""",
     "lice_field": f"""
-        SELECT {_UFN} AS ufn,
+        SELECT {_ufn_where("l_partkey % 8 IN (1, 2, 3)")} AS ufn,
                CASE WHEN l_suppkey % 37 = 0 THEN NULL ELSE l_partkey % 3 END AS cal_cope_field,
                l_suppkey % 2 AS lep_cope_field, l_linenumber % 2 AS chal_a_field,
                CASE WHEN l_partkey % 53 = 0 THEN NULL ELSE l_linenumber % 3 END AS chal_b_field,
                l_partkey % 2 AS lpam_field, l_suppkey % 3 AS lpaf_field, l_partkey % 4 AS lam_field,
                l_suppkey % 4 AS laf_field, l_linenumber % 2 AS lgf_field, l_partkey % 5 AS cal_mot_field,
                l_suppkey % 5 AS cgf_field, l_partkey % 2 AS unid_cope_field, l_suppkey % 2 AS unid_chal_field
-        FROM {{lineitem}} WHERE l_partkey % 8 IN (1, 2, 3)""",
+        FROM {{lineitem}}""",
     "lice_series": f"""
-        SELECT {_UFN} AS ufn, CAST(l_shipdate AS DATE) AS survey_date,
+        SELECT {_ufn_where("l_partkey % 3 = 0")} AS ufn, CAST(l_shipdate AS DATE) AS survey_date,
                CASE WHEN l_linenumber = 7 THEN year(CAST(l_shipdate AS DATE)) + 1
                     ELSE year(CAST(l_shipdate AS DATE)) END AS year,
                CASE WHEN l_suppkey % 3 = 0 THEN 'JS' ELSE 'DI' END AS region, {_SPECIES} AS species,
                CASE l_linenumber % 3 WHEN 0 THEN 'all_lice' WHEN 1 THEN 'motile_caligus' ELSE 'motile_lep' END
                    AS louse_species,
                CASE WHEN l_suppkey % 31 = 0 THEN NULL ELSE l_partkey % 6 END AS n_lice
-        FROM {{lineitem}} WHERE l_partkey % 3 = 0""",
+        FROM {{lineitem}}""",
     "ctd": """
         SELECT CASE l_suppkey % 4 WHEN 0 THEN 'QU39' WHEN 1 THEN 'QU29' WHEN 2 THEN 'JS2' ELSE 'JS12' END AS station,
                CAST(l_shipdate AS DATE) AS date, l_linenumber AS cast_number, l_quantity AS depth,
@@ -133,10 +140,11 @@ VIEWS = {
                    AS wind_dir
         FROM {orders}""",
     "wind_speed": """
-        SELECT concat(CAST(CAST(o_orderdate AS DATE) AS STRING), ' 0', o_orderkey % 10, ':00 #', o_orderkey) AS stamp,
+        SELECT concat(CAST(CAST(o_orderdate AS DATE) AS STRING), CASE WHEN o_orderkey % 19 <> 0 THEN ' 0' ELSE ' 1' END,
+                      o_orderkey % 10, ':00 #', o_orderkey) AS stamp,
                year(CAST(o_orderdate AS DATE)) AS year, month(CAST(o_orderdate AS DATE)) AS month,
                (o_orderkey * 13 % 1200) / CAST(100 AS DOUBLE) AS wind_spd
-        FROM {orders} WHERE o_orderkey % 19 <> 0""",
+        FROM {orders}""",
     "wind_direction": """
         SELECT concat(CAST(CAST(o_orderdate AS DATE) AS STRING), ' 0', o_orderkey % 10, ':00 #', o_orderkey) AS stamp,
                year(CAST(o_orderdate AS DATE)) AS year, month(CAST(o_orderdate AS DATE)) AS month,

@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 from brinewave.functions.labels import SALMON_LABELS, recode, sampling_week_position
 from brinewave.functions.nulls import complete, rows
 from brinewave.operators.bins import box_outliers, box_statistics, density_histogram, histogram
-from brinewave.operators.reshape import bind
 from brinewave.operators.smoothing import predict_observed
 from brinewave.plans.lice import SALMON
 from brinewave.plans.ocean import curve_against_observed
@@ -47,11 +46,10 @@ def length_comparison(
         salmon, ss, ["species", "fork_length"], ["region", "sampling_week", "year"], [rows().alias("m")]
     )
     counts = counts.filter((F.col("region") == region) & F.col("fork_length").isNotNull())
-    current = counts.filter(F.col("year") == season).withColumn("period", F.lit(str(season)))
-    past = counts.filter((F.col("year") < season) & F.col("sampling_week").isin(*weeks))
-    past = past.withColumn("period", F.lit(f"to {season - 1}"))
+    past = (F.col("year") < season) & F.col("sampling_week").isin(*weeks)
+    period = F.when(F.col("year") == season, str(season)).when(past, f"to {season - 1}")
     keys = ["sampling_week", "species", "period", "fork_length"]
-    return bind(current, past).groupBy(*keys).agg(F.sum("m").alias("m"))
+    return counts.withColumn("period", period).filter("period IS NOT NULL").groupBy(*keys).agg(F.sum("m").alias("m"))
 
 
 def length_boxes(fish: DataFrame, ss: DataFrame, season: int) -> DataFrame:

@@ -258,18 +258,19 @@ query(
 query(
     "j11_grid_to_observation",
     ["ctd"],
-    """SELECT g.x10, o.mean_temp FROM (SELECT unnest(generate_series(330, 2120)) AS x10) g
-       LEFT JOIN (SELECT dayofyear(date) * 10 AS x10, avg(temperature) AS mean_temp FROM ctd
-                  WHERE station = 'QU39' AND year(date) = 2001 GROUP BY 1) o ON g.x10 = o.x10""",
+    """SELECT s.station, s.year, g.x10, o.mean_temp FROM (SELECT DISTINCT station, year(date) AS year FROM ctd) s
+       CROSS JOIN (SELECT unnest(generate_series(330, 2120)) AS x10) g
+       LEFT JOIN (SELECT station, year(date) AS year, dayofyear(date) * 10 AS x10, avg(temperature) AS mean_temp FROM ctd
+                  GROUP BY 1, 2, 3) o ON g.x10 = o.x10 AND s.station = o.station AND s.year = o.year""",
     doubles=["mean_temp"],
 )(
-    lambda ctd: ctd.sparkSession.range(330, 2121)
-    .withColumnRenamed("id", "x10")
+    lambda ctd: ctd.select("station", F.year("date").alias("year"))
+    .distinct()
+    .select("*", F.explode(F.sequence(F.lit(330), F.lit(2120)).cast("array<bigint>")).alias("x10"))
     .join(
-        ctd.filter("station = 'QU39' AND year(date) = 2001")
-        .groupBy((F.dayofyear("date") * 10).cast("bigint").alias("x10"))
+        ctd.groupBy("station", F.year("date").alias("year"), (F.dayofyear("date") * 10).cast("bigint").alias("x10"))
         .agg(F.avg("temperature").alias("mean_temp")),
-        "x10",
+        ["station", "year", "x10"],
         "left",
     )
 )
@@ -428,24 +429,23 @@ query(
     )
 )
 ZERO = """anoms AS (
-  SELECT station, dayofyear(date) + CAST(0 AS DOUBLE) AS x, avg(temperature) - 11 AS y FROM ctd
-  WHERE year(date) = 2000 GROUP BY ALL)"""
+  SELECT station, year(date) AS year, dayofyear(date) + CAST(0 AS DOUBLE) AS x, avg(temperature) - 11 AS y FROM ctd
+  GROUP BY ALL)"""
 query(
     "w08_zero_crossings",
     ["ctd"],
-    """SELECT station, hit AS x, CAST(0 AS DOUBLE) AS y FROM (
-         SELECT station, x, x2, x - y * (x2 - x) / nullif(y2 - y, 0) AS hit FROM (
+    """SELECT station, year, hit AS x, CAST(0 AS DOUBLE) AS y FROM (
+         SELECT station, year, x, x2, x - y * (x2 - x) / nullif(y2 - y, 0) AS hit FROM (
            SELECT *, lead(x) OVER w AS x2, lead(y) OVER w AS y2 FROM anoms
-           WINDOW w AS (PARTITION BY station ORDER BY x)) p) q WHERE x < hit AND hit < x2""",
+           WINDOW w AS (PARTITION BY station, year ORDER BY x)) p) q WHERE x < hit AND hit < x2""",
     extra=(ZERO,),
     doubles=["x", "y"],
     digits=6,
 )(
     lambda ctd: ordered.zero_crossings(
-        ctd.filter("year(date) = 2000")
-        .groupBy("station", F.dayofyear("date").cast("double").alias("x"))
+        ctd.groupBy("station", F.year("date").alias("year"), F.dayofyear("date").cast("double").alias("x"))
         .agg((F.avg("temperature") - 11).alias("y")),
-        ["station"],
+        ["station", "year"],
         "x",
         "y",
     )

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-SITES = "site_id string, site_name string, region string, zone string"
 SURVEYS = "survey_id string, survey_date date, site_id string, crew string"
 SEINES = (
     "seine_id string, survey_id string, so_total int, pi_total int, cu_total int, co_total int, he_total int, "
@@ -17,16 +16,6 @@ LICE_CURRENT = (
     "ufn string, seine_id string, lep_cope int, lam int, laf int, lgf int, cal_cope int, cam int, caf int, cgf int, "
     "chal_a_b int, unid_cope int, unid_chal int"
 )
-CTD_CASTS = (
-    "start_dt timestamp, station string, conductivity double, temperature double, depth double, salinity double, "
-    "dissolved_oxygen_ml_l double"
-)
-SECCHI = (
-    "no int, action string, event_pk int, date date, work_area string, survey string, sampling_bout int, "
-    "site_id string, lat double, long double, secchi_type string, line_out_depth double, sample_id string, "
-    "row_flag string, quality_level string, comments string, quality_log string"
-)
-DAILY_MEANS = "station string, date date, yday int, mean_temp double, mean_do double, mean_salinity double"
 PROBE = "survey string, date date, temp double"
 
 # A workbook is landed as one folder a sheet.
