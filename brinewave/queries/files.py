@@ -48,7 +48,8 @@ def explore(seines):
 
 
 def late_types(seines: DataFrame) -> tuple[str, DataFrame]:
-    """One file in id order whose columns change type late: whole numbers first, then fractions, then words."""
+    """One table in id order, in parts that tasks sort and write side by side, whose columns change type
+    late: whole numbers first, then fractions, then words."""
     late = F.col("seine_id") > F.lit(20_000)
     rows = seines.select(
         "seine_id", "survey_id",
@@ -56,7 +57,7 @@ def late_types(seines: DataFrame) -> tuple[str, DataFrame]:
         F.when(late, F.concat(F.col("pi_total"), F.lit(".5"))).otherwise(F.col("pi_total").cast("string")).alias("pi_total"),
     )
     path = landing(seines)
-    sinks.write_csv(rows.repartitionByRange(1, "seine_id").sortWithinPartitions("seine_id"), path)
+    sinks.write_csv(rows.orderBy("seine_id"), path)
     return path, rows
 
 
@@ -74,7 +75,7 @@ NUMBERED = """numbered AS (
 )
 def guessed(seines):
     path, _ = late_types(seines)
-    return readers.read_guessed(seines.sparkSession, path, guess_max=100).table
+    return readers.read_guessed(seines.sparkSession, path, guess_max=100, parts=True).table
 
 
 @query(
@@ -87,7 +88,7 @@ def guessed(seines):
 )
 def guess_problems(seines):
     path, _ = late_types(seines)
-    return readers.read_guessed(seines.sparkSession, path, guess_max=100).first_problems().drop("file")
+    return readers.read_guessed(seines.sparkSession, path, guess_max=100, parts=True).first_problems().drop("file")
 
 
 @query(

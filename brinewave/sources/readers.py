@@ -40,24 +40,36 @@ class Guessed:
 
     def first_problems(self) -> DataFrame:
         """The first value of each column that breaks the guess: column, file, line, expected, actual."""
-        first = F.min(F.struct("file", "line", "expected", "actual")).alias("x")
-        return self.problems.groupBy("column").agg(first).select("column", "x.*")
+        # a number is all that is kept of the many problems of a file, so nothing is sorted for it
+        lines = self.problems.groupBy("column", "file").agg(F.min("line").alias("line"))
+        first = lines.groupBy("column").agg(F.min(F.struct("file", "line")).alias("x")).select("column", "x.*")
+        places = ["column", "file", "line"]
+        return self.problems.join(F.broadcast(first), places).select(*places, "expected", "actual")
 
 
-def numbered_lines(spark: SparkSession, path: str) -> DataFrame:
+def numbered_lines(spark: SparkSession, path: str, parts: bool = False) -> DataFrame:
     """``value, file, line``: the lines of text files with their numbers from 1 on.
 
+    With ``parts`` the files are one table in the order of their names, as a sorted table is written: each repeats the
+    header, which counts once, and lines are numbered on from file to file.
+
     Splits are counted where they are read, and a running total over the splits of a file gives their offsets: no line
-    is sorted and no file is read by one task.
+    is moved or sorted and no file is read by one task.
     """
     lines = spark.read.text(path).select(
         "value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"),
         F.monotonically_increasing_id().alias("id"),
     )  # ids count up within a split
     splits = lines.groupBy("file", "start").agg(F.min("id").alias("first"), F.count("*").alias("n"))
-    before = F.sum("n").over(Window.partitionBy("file").orderBy("start").rowsBetween(Window.unboundedPreceding, -1))
-    splits = splits.select("file", "start", (F.coalesce(before, F.lit(0)) - F.col("first") + 1).alias("shift"))
-    return lines.join(splits, ["file", "start"]).select("value", "file", (F.col("id") + F.col("shift")).alias("line"))
+    order = Window.orderBy("file", "start") if parts else Window.partitionBy("file").orderBy("start")
+    again = (F.col("start") == 0) & (F.row_number().over(order) > 1)  # opens with the header once more
+    splits = splits.withColumn("header", F.when(again, F.col("first")))
+    splits = splits.withColumn("n", F.col("n") - F.col("header").isNotNull().cast("int"))
+    before = F.coalesce(F.sum("n").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    shift = before - F.col("first") + F.when(F.col("header").isNull(), 1).otherwise(0)
+    splits = F.broadcast(splits.select("file", "start", "header", shift.alias("shift")))  # a row for each split
+    body = lines.join(splits, ["file", "start"]).filter(~F.col("id").eqNullSafe(F.col("header")))
+    return body.select("value", "file", (F.col("id") + F.col("shift")).alias("line"))
 
 
 def _parses(text: Column, kind: str) -> Column:
@@ -74,8 +86,8 @@ def _parses(text: Column, kind: str) -> Column:
     return F.lit(True)
 
 
-def read_guessed(spark: SparkSession, path: str, guess_max: int = 1000) -> Guessed:
-    """Headed CSV files with types guessed from the first ``guess_max`` rows of each file.
+def read_guessed(spark: SparkSession, path: str, guess_max: int = 1000, parts: bool = False) -> Guessed:
+    """Headed CSV files with types guessed from the first ``guess_max`` rows of each file, or of all as ``parts`` of a table.
 
     One aggregation over these rows: a value's possible types are bits, a column's are the bits that all values share,
     and the narrowest is taken (boolean where all are missing). Later values that do not parse become missing and are
@@ -86,7 +98,7 @@ def read_guessed(spark: SparkSession, path: str, guess_max: int = 1000) -> Guess
     if not names:
         raise ValueError("there is no header line")
     texts = ", ".join(f"`{n}` string" for n in names)
-    rows = numbered_lines(spark, path).filter((F.col("line") > 1) & (F.length(F.trim("value")) > 0))
+    rows = numbered_lines(spark, path, parts).filter((F.col("line") > 1) & (F.length(F.trim("value")) > 0))
     rows = rows.select("file", "line", F.from_csv("value", texts, {"nullValue": "NA"}).alias("row"))
 
     def value(name: str) -> Column:

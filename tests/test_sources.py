@@ -1,11 +1,13 @@
 from __future__ import annotations
 
 import datetime as dt
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 
 from brinewave import schemas
+from brinewave.queries import files
 from brinewave.sources import feed, readers, sinks
 
 
@@ -132,6 +134,39 @@ def test_guess_of_files_without_rows_or_header(spark, tmp_path):
         readers.read_guessed(spark, write(tmp_path / "none.csv", ""))
 
 
+@pytest.mark.parametrize("split", ["128MB", "8b"])
+def test_parts_of_a_table_are_numbered_on(spark, tmp_path, split):
+    parts = ["n,x\n", "n,x\n1,1\n2,2\n", "n,x\n", "n,x\n3,many\n4,2.5\n5,5\n", "n,x\n6,7\n"]
+    for i, text in enumerate(parts):
+        write(tmp_path / "table" / f"part-0000{i}.csv", text)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", split)
+    try:
+        lines = sorted((r.line, r.value) for r in readers.numbered_lines(spark, str(tmp_path / "table"), parts=True).collect())
+        got = readers.read_guessed(spark, str(tmp_path / "table"), guess_max=2, parts=True)
+        rows, problems = sorted(map(tuple, got.table.collect())), [tuple(r) for r in got.problems.drop("file").orderBy("line").collect()]
+        plans = [df._jdf.queryExecution().executedPlan().toString() for df in (got.table, got.first_problems())]
+        first = [tuple(r) for r in got.first_problems().drop("file").collect()]
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert lines == [(1, "n,x"), (2, "1,1"), (3, "2,2"), (4, "3,many"), (5, "4,2.5"), (6, "5,5"), (7, "6,7")]
+    assert got.types == {"n": "bigint", "x": "bigint"} and first == [("x", 4, "bigint", "many")]
+    assert "SortMergeJoin" not in "".join(plans) and plans[1].count("SortAggregate") <= 2  # those see a row a column and file
+    assert rows == [(1, 1), (2, 2), (3, None), (4, None), (5, 5), (6, 7)]
+    assert problems == [("x", 4, "bigint", "many"), ("x", 5, "bigint", "2.5")]
+
+
+def test_late_types_are_written_by_many_tasks(spark):
+    """In parts that follow one another, none of which holds the whole table."""
+    seines = spark.range(0, 60_000, 3, 4).selectExpr("59999 - id AS seine_id", "id AS survey_id", "id % 7 AS so_total", "id % 5 AS pi_total")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        path, rows = files.late_types(seines)
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    ids = [[int(line.split(",")[0]) for line in p.read_text().splitlines()[1:]] for p in sorted(Path(path).glob("part-*"))]
+    assert len(ids) > 1 and sum(ids, []) == sorted(r.seine_id for r in rows.collect())
+
+
 def test_a_failed_rerun_leaves_the_season_readable(spark, tmp_path):
     path = str(tmp_path / "seasons")
     with pytest.raises(ValueError, match="no season"):
