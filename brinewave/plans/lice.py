@@ -286,7 +286,11 @@ def _placed(sheets: Sequence[DataFrame], catches: DataFrame, sites: DataFrame |
     is_series = F.col("origin") == "lab_mots_ts"
     current = (F.col("seine_id") == F.col("own_seine")) & (in_season("_date", season) if season else F.lit(True))
     wanted = F.when(F.col("origin") == "current_lice", current).otherwise(is_series | F.col("_alike"))
-    return rows_.join(hosts, "ufn", "left").filter(wanted).select(
+    joined = rows_.join(hosts, "ufn", "left")
+    # behind a generator the columns of the fish are not pruned: all readers of these rows need the same exchanges of the
+    # fish, so Spark writes them once
+    joined = joined.select(*rows_.columns, F.inline(F.array(F.struct(*[c for c in hosts.columns if c != "ufn"]))))
+    return joined.filter(wanted).select(
         "ufn", "origin", "seine_id", F.when(is_series, F.col("own_date")).otherwise(F.col("_date")).alias("survey_date"),
         F.when(is_series, F.col("own_species")).otherwise(F.col("_species")).alias("species"), "louse", *_MEASURES,
     )
@@ -318,7 +322,8 @@ def lice_by_fish(
         F.sum("leps").alias("_leps"), F.sum("cals").alias("_cals")
     )
     both = F.col("_leps") + F.col("_cals") if ratio_mode == "share" else F.col("_cals")
-    placed = null_safe_join(placed.drop("leps", "cals"), sums, ["origin", "_year"])
+    # two rows a calendar year at most: by any other join all rows would move to these few keys, and back to their fish
+    placed = null_safe_join(placed.drop("leps", "cals"), F.broadcast(sums), ["origin", "_year"])
     for name, inferred in (("lep", F.col("unk") * ratio("_leps", both)), ("cal", F.col("unk") * (1 - ratio("_leps", both)))):
         present = F.when(F.coalesce(name, inferred).isNotNull(), F.coalesce(name, F.lit(0.0)) + F.coalesce(inferred, F.lit(0.0)))
         total = F.when(origin == "current_lice", F.col(name) + inferred).when(field, present).otherwise(F.col(name))

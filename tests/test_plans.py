@@ -13,6 +13,7 @@ from brinewave import session
 from brinewave.fixtures import views
 from brinewave.plans import catch, lice, ocean, timing
 from brinewave.plans.survey import survey_seines
+from brinewave.queries import lice as lice_queries
 
 PYTHON_ALLOWED = {"s03_read_skipping_preamble"}
 
@@ -190,3 +191,18 @@ def test_hosts_count_by_their_first_record(spark):
     got = {(r.species, r.year, r.life_stage): r.n_hosts for r in lice.hosts_examined(rows).collect()}
     assert got == {("SO", 2019, "attached"): 0, ("SO", 2019, "motile"): 1, ("SO", 2020, "attached"): 0, ("SO", 2020, "motile"): 1}
     assert lice.long_lice(rows).count() == 5  # the fish with two seines stands for two rows of each louse
+
+
+@pytest.mark.parametrize("report", [lice.hosts_examined, lice.yearly_abundance, lice.yearly_prevalence])
+def test_lice_meet_their_fish_once(spark, sf_dir, report):
+    """The fish are moved once, also for the sums behind the ratios, which come back without moving the rows that they split."""
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = plan_of(report(lice_queries.by_fish(*views(spark, sf_dir, lice_queries.ALL_VIEWS))))
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    moves = [line for line in plan.splitlines() if " Exchange hashpartitioning(" in line and "Reused" not in line]
+    assert sum("hashpartitioning(ufn" in line for line in moves) == 3 and "ReusedExchange [ufn" in plan
+    assert not any("coalesce(origin" in line for line in moves)
