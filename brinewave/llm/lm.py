@@ -1,14 +1,15 @@
 """Language-model scores by stupid backoff over bigrams of the corpus itself, leaving each document out.
 
-Words are hashed into ``2**BITS`` slots; a bigram is a pair of slots. A word scores log(c(vw) / c(v)) if the bigram vw
-occurs in another document, else log(0.4 * c(w) / N); counts are those of the whole corpus less the document's own.
-A word that no other document holds counts as half an occurrence. The scores of a document's words are summed.
-
-The count tables: unigrams are summed by Spark and, bounded by the number of slots, shared with all tasks. Bigrams are
-partitioned by their hash. Each task packs the bigrams of a batch of documents (counted once a document) by bucket, with
-what a document gains if the bigram is found elsewhere; a bucket joins its count table to these rows and returns sums by
-document. What does not depend on the buckets travels with one of them, so texts are read three times in all. Bigrams of two very frequent words, the only ones that may be hot, are at most ``HOT**2``: they are
-counted before, shared, and never shuffled by row.
+A word scores log(c(vw) / c(v)) if the bigram vw occurs in another document, else log(0.4 * c(w) / N); counts are those of
+the whole corpus less the document's own. A word that no other document holds counts as half an occurrence. The scores of a
+document's words are summed. Words and bigrams are told apart by 64-bit hashes; no count is cut or merged.
+
+Spark counts the words of all documents. Words with over 1/``COMMON`` of all occurrences, so fewer than ``COMMON`` at any
+size, are shared with all tasks; bigrams of two words with over 1/``HOT``, at most ``HOT**2``, are counted before and shared
+too. All other n-grams are exploded by document and partitioned by hash: a bigram of two common words under its own
+hash, one that holds other words under each of these, beside the occurrences of that word. So c(w) and c(vw) are windows over
+the exploded n-grams of one partition, and what they add to a document is summed relationally. To spare disk, n-grams travel
+as arrays, one row for each batch of documents and bucket of hashes.
 """
 
 from __future__ import annotations
@@ -19,54 +20,68 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
-from brinewave.llm.base import column, hash_texts, prepared, text_of
+from brinewave.llm.base import column, hash_texts, held, mix, prepared, text_of
 
-BITS = 21
+COMMON = 4_000_000
 HOT = 1000
 BACKOFF = 0.4
 UNSEEN = 0.5
-BUCKET_ROWS = 2_000_000
-FLUSH_WORDS = 1_000_000
-MIX = 0x9E3779B97F4A7C15
-BLOB = (
-    "bucket int, keys binary, times binary, gain binary, doc binary, doc_ids array<long>, doc_keys array<int>, "
-    "whole array<struct<doc_id:long,key:int,n:long,score:double>>"
+BUCKET_WORDS = 2_000_000
+BATCH = 256
+PAIR = np.uint64(0x9E3779B97F4A7C15)
+GRAMS = (
+    "bucket int, batch long, k array<long>, o array<long>, doc array<tinyint>, times array<int>, own array<int>, "
+    "gain array<float>, whole array<struct<doc:tinyint,doc_id:long,n:long,base:double>>"
 )
 
 
-def slots_of(texts: pd.Series, bits: int) -> tuple[np.ndarray, np.ndarray]:
-    """The word slots of all texts one after another, and the number of words of each; A-Z count as a-z."""
-    h, counts = hash_texts([t.encode().lower() for t in texts])
-    return (h >> np.uint64(64 - bits)).astype(np.int64), counts
+def words_of(texts: pd.Series) -> tuple[np.ndarray, np.ndarray]:
+    """The word hashes of all texts one after another, and the number of words of each; A-Z count as a-z."""
+    return hash_texts([t.encode().lower() for t in texts])
 
 
-def unigrams(texts: DataFrame, bits: int) -> np.ndarray:
-    """The corpus counts of all slots."""
+def pair_of(v: np.ndarray, w: np.ndarray) -> np.ndarray:
+    return mix(v * PAIR + w)
+
+
+def word_counts(texts: DataFrame) -> DataFrame:
+    """``word, n``: how often each word (by hash) occurs in all texts."""
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        n = np.zeros(1 << bits, np.int64)
         for pdf in batches:
-            s, c = np.unique(slots_of(pdf["text"], bits)[0], return_counts=True)
-            n[s] += c
-        slot = np.flatnonzero(n)
-        for i in range(0, len(slot), 1 << 16):
-            at = slot[i : i + (1 << 16)]
-            yield pd.DataFrame({"slot": at, "n": n[at]})
+            word, n = np.unique(words_of(pdf["text"])[0], return_counts=True)
+            yield pd.DataFrame({"word": word.view(np.int64), "n": n})
+
+    return texts.select("text").mapInPandas(count, "word long, n long").groupBy("word").agg(F.sum("n").alias("n"))
+
+
+def common_words(texts: DataFrame, common: int) -> tuple[np.ndarray, np.ndarray, int]:
+    """Hashes (ascending) and counts of repeated words with over 1/``common`` of all occurrences, and the number of these."""
+    seen = Observation()
+    counts = word_counts(texts).observe(seen, F.sum("n").alias("total"))
+    counts = held(counts.filter("n > 1"))  # what stands once is left to the windows
+    total = seen.get.get("total") or 0
 
     def pack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        parts = [pdf.to_numpy(np.int64) for pdf in batches]  # at most the slots of one partition
-        if parts:
-            both = np.concatenate(parts)
-            yield pd.DataFrame({"slot": [both[:, 0].astype(np.int32).tobytes()], "n": [both[:, 1].tobytes()]})
-
-    table = texts.select("text").mapInPandas(count, "slot int, n long").groupBy("slot").agg(F.sum("n").alias("n"))
-    out = np.zeros(1 << bits, np.int64)
-    for row in table.mapInPandas(pack, "slot binary, n binary").collect():
-        out[np.frombuffer(row["slot"], np.int32)] = np.frombuffer(row["n"], np.int64)
-    return out
+        for pdf in batches:
+            yield pd.DataFrame({"word": [pdf["word"].to_numpy().tobytes()], "n": [pdf["n"].to_numpy().tobytes()]})
+
+    rows = counts.filter(F.col("n") * common > total).mapInPandas(pack, "word binary, n binary").collect()
+    word = np.frombuffer(b"".join(r["word"] for r in rows), np.uint64)
+    n = np.frombuffer(b"".join(r["n"] for r in rows), np.int64)
+    order = np.argsort(word)
+    return word[order], n[order], total
+
+
+def found_in(table: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places of values in a sorted table, and which of them are there."""
+    if not len(table):
+        return np.zeros(len(values), np.int64), np.zeros(len(values), bool)
+    at = np.minimum(np.searchsorted(table, values), len(table) - 1)
+    return at, table[at] == values
 
 
 def followed(counts: np.ndarray) -> np.ndarray:
@@ -76,180 +91,179 @@ def followed(counts: np.ndarray) -> np.ndarray:
     return np.flatnonzero(~last)
 
 
-def hot_pairs(texts: DataFrame, shared, bits: int) -> np.ndarray:
-    """Counts of the bigrams of two hot slots, those with over 1/``HOT`` of all words."""
-    hot = shared.value["hot"]
+def hot_pairs(texts: DataFrame, hot: np.ndarray) -> np.ndarray:
+    """Counts of the bigrams of two hot words, by their places in ``hot``."""
+    size = len(hot)
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        rank = shared.value["rank"]
-        n = np.zeros(hot * hot, np.int64)
+        n = np.zeros(size * size, np.int64)
         for pdf in batches:
-            s, counts = slots_of(pdf["text"], bits)
+            s, counts = words_of(pdf["text"])
+            rank, there = found_in(hot, s)
             at = followed(counts)
-            a, b = rank[s[at]].astype(np.int64), rank[s[at + 1]].astype(np.int64)
-            both = (a >= 0) & (b >= 0)
-            pair, c = np.unique(a[both] * hot + b[both], return_counts=True)
+            at = at[there[at] & there[at + 1]]
+            pair, c = np.unique(rank[at] * size + rank[at + 1], return_counts=True)
             n[pair] += c
         pair = np.flatnonzero(n)
         yield pd.DataFrame({"pair": pair, "n": n[pair]})
 
-    table = texts.select("text").mapInPandas(count, "pair int, n long").groupBy("pair").agg(F.sum("n").alias("n")).collect()
-    out = np.zeros(hot * hot, np.int64)
-    for row in table:
-        out[row["pair"]] = row["n"]
+    out = np.zeros(size * size, np.int64)
+    if size:
+        table = texts.select("text").mapInPandas(count, "pair int, n long").groupBy("pair").agg(F.sum("n").alias("n"))
+        for row in table.collect():
+            out[row["pair"]] = row["n"]
     return out
 
 
-class Scorer:
-    """The scores of a batch of texts without what the buckets add, and the rows for the buckets."""
+class Exploder:
+    """The n-grams of a batch of texts that are counted elsewhere, and the scores without what these add."""
 
     def __init__(self, shared: dict):
-        self.n, self.rank, self.pairs, self.bits = shared["n"], shared["rank"], shared["pairs"], shared["bits"]
-        self.hot = shared["hot"]
-        self.total = int(self.n.sum())
+        self.words, self.n, self.total = shared["words"], shared["n"], shared["total"]
+        self.hot, self.pairs = shared["hot"], shared["pairs"]
 
-    def texts(self, texts: pd.Series) -> tuple[np.ndarray, ...]:
-        """Words and score of each text; text, bigram, number and gain if found (besides the log of its count) of each row."""
-        s, counts = slots_of(texts, self.bits)
+    def grams(self, texts: pd.Series) -> tuple[np.ndarray, np.ndarray, tuple, tuple]:
+        """Words and score of each text; (k, doc, times, gain) of common bigrams; (k, o, doc, times, own, gain) under rare words.
+
+        ``gain`` is what the text gains, besides the log of its count and of the rare word's, if the bigram is found
+        elsewhere; it is NaN where the first word's row adds it. ``o`` is 0 for the word itself.
+        """
+        s, counts = words_of(texts)
         doc = np.repeat(np.arange(len(counts)), counts)
-        _, place, times = np.unique(doc << self.bits | s, return_inverse=True, return_counts=True)
-        known = np.maximum(self.n[s] - times[place], UNSEEN)
-        log = np.log(known)
-        alone = log - np.log(np.maximum(self.total - counts, 1))[doc]
-        begin = (np.cumsum(counts) - counts)[counts > 0]
-        score = np.zeros(len(counts))
-        score[counts > 0] = alone[begin]
+        word, place = np.unique(s, return_inverse=True)
+        of, common = found_in(self.words, word)
+        n = np.where(common, self.n[of], 0) if len(self.n) else np.zeros(len(word), np.int64)
+        rank, hot = found_in(self.hot, word)
+        size = max(len(word), 1)
+        here, where, own = np.unique(doc * size + place, return_inverse=True, return_counts=True)
+        mine = own[where]
+        known = common[place]
+        log = np.where(known, np.log(np.maximum(n[place] - mine, UNSEEN)), 0)
+        rest = np.log(np.maximum(self.total - counts, 1))
+        score = np.bincount(doc, log, minlength=len(counts)) - counts * rest + np.maximum(counts - 1, 0) * np.log(BACKOFF)
+
         at = followed(counts)
-        key = doc[at] << 2 * self.bits | s[at] << self.bits | s[at + 1]
-        key, first, times = np.unique(key, return_index=True, return_counts=True)
+        key = (doc[at] * size + place[at]) * size + place[at + 1]
+        _, first, times = np.unique(key, return_index=True, return_counts=True)
         at = at[first]
-        fallback = np.log(BACKOFF) + alone[at + 1]
-        gain = -log[at] - fallback
-        a, b = self.rank[s[at]].astype(np.int64), self.rank[s[at + 1]].astype(np.int64)
-        hot = (a >= 0) & (b >= 0)
-        others = np.zeros(len(at), np.int64)
-        others[hot] = self.pairs[a[hot] * self.hot + b[hot]] - times[hot]
-        more = np.where(others > 0, np.log(np.maximum(others, 1)) + gain, 0)
-        score += np.bincount(doc[at], times * (fallback + more), minlength=len(counts))
-        cold = ~hot
-        pair = key[cold] & ((1 << 2 * self.bits) - 1)
-        return counts, score, doc[at][cold], pair, times[cold], gain[cold].astype(np.float32)
-
-
-def bucket_of(key: np.ndarray, buckets: int) -> np.ndarray:
-    mixed = (key.view(np.uint64) * np.uint64(MIX)) >> np.uint64(32)
-    return (mixed % np.uint64(buckets)).astype(np.int64)
-
-
-def planes(x: np.ndarray) -> bytes:
-    """Bytes of equal weight side by side: the high ones of sorted differences are mostly zero and compress."""
-    return x.view(np.uint8).reshape(-1, x.itemsize).T.tobytes()
-
-
-def unplanes(b: bytes, dtype) -> np.ndarray:
-    size = np.dtype(dtype).itemsize
-    return np.ascontiguousarray(np.frombuffer(b, np.uint8).reshape(size, -1).T).view(dtype).ravel()
-
-
-def blobs(held: list[dict], buckets: int) -> pd.DataFrame:
-    """The rows of some batches by bucket; each text's own score goes with the bucket of its key."""
-    ids = [i for h in held for i in h["ids"]]
-    keys = np.concatenate([h["keys"] for h in held])
-    size = np.cumsum([0, *(len(h["keys"]) for h in held)])
-    doc = np.concatenate([h["doc"] + b for h, b in zip(held, size)]).astype(np.uint32)
-    pair, times, gain, n, score = (np.concatenate([h[c] for h in held]) for c in ("pair", "times", "gain", "n", "score"))
-    bucket = bucket_of(pair, buckets)
-    order = np.lexsort((pair, bucket))
+        gain = rest[doc[at]] - np.log(BACKOFF) - log[at] - log[at + 1]
+        both = hot[place[at]] & hot[place[at + 1]]
+        if both.any():
+            b = at[both]
+            others = self.pairs[rank[place[b]] * len(self.hot) + rank[place[b + 1]]] - times[both]
+            more = np.where(others > 0, np.log(np.maximum(others, 1)) + gain[both], 0)
+            score += np.bincount(doc[b], times[both] * more, minlength=len(counts))
+        pair = pair_of(s[at], s[at + 1])
+        left, right = known[at], known[at + 1]
+        c = left & right & ~both
+        plain = (pair[c], doc[at][c], times[c], gain[c])
+
+        here, own = here[~common[here % size]], own[~common[here % size]]
+        v, w = ~left, ~right
+        rare = tuple(np.concatenate(x) for x in (
+            (word[here % size], s[at][v], s[at + 1][w]),
+            (np.zeros(len(here), np.uint64), pair[v] | np.uint64(1), ~pair[w] | np.uint64(1)),
+            (here // size, doc[at][v], doc[at][w]),
+            (own, times[v], times[w]),
+            (own, mine[at][v], mine[at + 1][w]),
+            (np.zeros(len(here)), gain[v], np.where(left[w], gain[w], np.nan)),
+        ))
+        return counts, score, plain, rare
+
+
+def by_bucket(batch: int, buckets: int, k, doc, times, gain, o=None, own=None) -> Iterator[dict]:
+    """One row for each bucket of hashes."""
+    bucket = ((k >> np.uint64(32)) % np.uint64(buckets)).astype(np.uint16 if buckets < 1 << 16 else np.int64)
+    order = np.argsort(bucket, kind="stable")
     edges = np.searchsorted(bucket[order], np.arange(buckets + 1))
-    home = keys % buckets
-    rows = []
-    for b in range(buckets):
-        at, own = order[edges[b] : edges[b + 1]], np.flatnonzero(home == b)
-        if len(at) or len(own):
-            mine, local = np.unique(doc[at], return_inverse=True)
-            rows.append({
-                "bucket": b, "keys": planes(np.diff(pair[at], prepend=0)), "times": planes(times[at].astype(np.uint32)),
-                "gain": gain[at].tobytes(), "doc": planes(local.astype(np.uint32)),
-                "doc_ids": [ids[i] for i in mine], "doc_keys": keys[mine],
-                "whole": [{"doc_id": ids[i], "key": int(keys[i]), "n": int(n[i]), "score": float(score[i])} for i in own],
-            })
-    return pd.DataFrame(rows)
-
-
-def joined(pdf: pd.DataFrame) -> pd.DataFrame:
-    """One bucket: its count table joined to its rows, summed by document; and the own scores that came with it."""
-    key = np.concatenate([np.cumsum(unplanes(k, np.int64)) for k in pdf["keys"]])
-    times = np.concatenate([unplanes(t, np.uint32) for t in pdf["times"]]).astype(np.int32)
-    before = np.cumsum([0, *(len(d) for d in pdf["doc_ids"])])
-    order = np.argsort(key, kind="stable")
-    key = key[order]
-    first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])) if len(key) else np.zeros(0, np.int64)
-    size = np.diff(np.concatenate([first, [len(key)]]))
-    table = np.add.reduceat(times[order].astype(np.int64), first) if len(key) else first
-    shared = np.repeat(size > 1, size)  # a bigram of one document only is not found elsewhere
-    at = order[shared]
-    others = np.repeat(table, size)[shared] - times[at]
-    del key, order, shared
-    gain = np.concatenate([np.frombuffer(g, np.float32) for g in pdf["gain"]])[at]
-    doc = np.concatenate([unplanes(d, np.uint32) + np.uint32(b) for d, b in zip(pdf["doc"], before)])[at]
-    add = np.bincount(doc, times[at] * (np.log(others) + gain), minlength=before[-1])
-    some = np.flatnonzero(np.bincount(doc, minlength=before[-1]))
-    ids = [i for d in pdf["doc_ids"] for i in d]
-    keys = np.concatenate([np.asarray(d, np.int64) for d in pdf["doc_keys"]])
-    whole = [w for part in pdf["whole"] for w in part]
-    return pd.DataFrame({
-        "doc_id": pd.array([*(ids[i] for i in some), *(w["doc_id"] for w in whole)], "Int64"),
-        "key": np.concatenate([keys[some], np.asarray([w["key"] for w in whole], np.int64)]),
-        "n": np.concatenate([np.zeros(len(some), np.int64), np.asarray([w["n"] for w in whole], np.int64)]),
-        "rows": np.concatenate([np.zeros(len(some), np.int64), np.ones(len(whole), np.int64)]),
-        "add": np.concatenate([add[some], np.asarray([w["score"] for w in whole], float)]),
-    })
-
-
-def scored(docs: DataFrame, bits: int = BITS) -> DataFrame:
+    k, doc, times, gain = k.view(np.int64)[order], doc[order].astype(np.int8), times[order].astype(np.int32), gain[order].astype(np.float32)
+    if o is not None:
+        o, own = o.view(np.int64)[order], own[order].astype(np.int32)
+    for b in np.flatnonzero(np.diff(edges)):
+        at = slice(edges[b], edges[b + 1])
+        yield {
+            "bucket": b, "batch": batch, "k": k[at], "o": [] if o is None else o[at], "doc": doc[at], "times": times[at],
+            "own": [] if own is None else own[at], "gain": gain[at], "whole": [],
+        }
+
+
+def scored(docs: DataFrame, common: int = COMMON) -> DataFrame:
     """``doc_id, n_words, log_score, mean_log_score`` of every row; words are lower-cased (A-Z) runs without white space.
 
     Null text and text without words: score 0, no mean. Rows without doc_id are scored and counted like any other. Copies
-    vouch for each other, repeated rows too. Other columns are ignored. An empty table gives no row.
+    vouch for each other, repeated rows too. Other columns are ignored. An empty table gives no row. ``common`` bounds the
+    words that are shared with all tasks; results do not depend on it.
     """
     spark = prepared(docs.sparkSession)
-    text = text_of(docs)
-    texts = docs.select(column(docs, "doc_id").cast("bigint").alias("doc_id"), F.hash(text).alias("key"), text.alias("text"))
-    n = unigrams(texts, bits)
-    total = int(n.sum())
-    hot = np.flatnonzero(n * HOT > total)
-    rank = np.full(1 << bits, -1, np.int16)
-    rank[hot] = np.arange(len(hot))
-    ranks = spark.sparkContext.broadcast({"rank": rank, "hot": len(hot)})
-    shared = spark.sparkContext.broadcast(
-        {"n": n, "rank": rank, "hot": len(hot), "pairs": hot_pairs(texts, ranks, bits), "bits": bits}
-    )
+    id_, text = column(docs, "doc_id").cast("bigint"), text_of(docs)
+    texts = docs.select(id_.alias("doc_id"), F.xxhash64(id_, text).alias("key"), text.alias("text"))
+    words, n, total = common_words(texts, common)
+    hot = words[n * HOT > total]
+    shared = spark.sparkContext.broadcast({"words": words, "n": n, "total": total, "hot": hot, "pairs": hot_pairs(texts, hot)})
     # enough buckets from the start that a document meets most of its own at any size: the sums grow with the input
-    buckets = max(64, total // BUCKET_ROWS)
+    buckets = max(64, total // BUCKET_WORDS)
 
-    def pack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        scorer, held, words = Scorer(shared.value), [], 0
+    def explode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        exploder = Exploder(shared.value)
         for pdf in batches:
-            n, score, doc, pair, times, gain = scorer.texts(pdf["text"])
-            ids = [None if pd.isna(i) else int(i) for i in pdf["doc_id"]]
-            held.append({
-                "ids": ids, "keys": pdf["key"].to_numpy(np.int64), "n": n, "score": score, "doc": doc, "pair": pair,
-                "times": times, "gain": gain,
-            })
-            words += int(n.sum())
-            if words >= FLUSH_WORDS:
-                yield blobs(held, buckets)
-                held, words = [], 0
-        if held:
-            yield blobs(held, buckets)
-
-    sums = texts.mapInPandas(pack, BLOB).groupBy("bucket").applyInPandas(
-        joined, "doc_id long, key int, n long, rows long, add double"
+            for begin in range(0, len(pdf), BATCH):
+                part = pdf.iloc[begin : begin + BATCH]
+                counts, score, (k, doc, times, gain), (x, o, mine, t, own, g) = exploder.grams(part["text"])
+                keys = part["key"].to_numpy(np.int64).view(np.uint64)
+                # equal batches share their number, so a task that runs again repeats it
+                batch = int(mix(keys + np.arange(len(keys), dtype=np.uint64) * PAIR).sum().view(np.int64))
+                ids = [None if pd.isna(i) else int(i) for i in part["doc_id"]]
+                whole = [
+                    {"doc": d - 128, "doc_id": i, "n": int(m), "base": float(b)} for d, (i, m, b) in enumerate(zip(ids, counts, score))
+                ]
+                none = dict.fromkeys(["k", "o", "doc", "times", "own", "gain"], [])
+                rows = [
+                    {"bucket": batch % buckets, "batch": batch, **none, "whole": whole},
+                    *by_bucket(batch, buckets, k, doc - 128, times, gain),
+                    *by_bucket(batch, buckets, x, mine - 128, t, g, o, own),
+                ]
+                yield pd.DataFrame(rows)
+
+    grams = texts.mapInPandas(explode, GRAMS).repartitionById(buckets, F.col("bucket"))
+    grams = grams.select("bucket", "batch", F.inline(F.arrays_zip("k", "o", "doc", "times", "own", "gain", "whole")))
+    word, gram = Window.partitionBy("k", "bucket"), Window.partitionBy("k", "bucket", "o")  # sorted by hash first
+    counted = grams.withColumn("c_gram", F.sum("times").over(gram)).filter("o = 0 OR c_gram > times OR whole IS NOT NULL")
+    counted = counted.withColumn("c_word", F.sum(F.when(F.col("o") == 0, F.col("times"))).over(word))
+    rare = F.when(F.col("o").isNotNull(), F.log(F.greatest(F.col("c_word") - F.col("own"), F.lit(UNSEEN))))
+    found = F.when(F.isnan("gain"), F.lit(0.0)).otherwise(F.log(F.col("c_gram") - F.col("times")) + F.col("gain"))
+    add = F.when(F.col("o") == 0, F.col("times") * rare).when(
+        F.col("c_gram") > F.col("times"), F.col("times") * (found - F.coalesce(rare, F.lit(0.0)))
+    )
+    sums = counted.select(
+        "bucket", "batch", F.coalesce("doc", "whole.doc").alias("doc"), add.alias("add"), "whole.doc_id", "whole.n", "whole.base"
+    )
+    sums = sums.groupBy("bucket", "batch", "doc").agg(
+        F.sum("add").alias("add"), F.max("doc_id").alias("doc_id"), F.sum("n").alias("n"), F.sum("base").alias("base"),
+        F.count("base").alias("rows"),
+    )
+    whole = F.when(F.col("rows") > 0, F.struct("doc", "doc_id", "n", "base", "rows"))
+    # a document's sums travel as arrays too
+    sums = sums.withColumn("add", F.coalesce("add", F.lit(0.0)).cast("float")).groupBy("bucket", "batch").agg(
+        F.collect_list("doc").alias("doc"), F.collect_list("add").alias("add"), F.collect_list(whole).alias("whole")
+    )
+    none = F.lit(None)
+    items = F.concat(
+        F.transform(F.arrays_zip("doc", "add"), lambda x: F.struct(
+            x["doc"].alias("doc"), x["add"].alias("add"), none.cast("long").alias("doc_id"), none.cast("long").alias("n"),
+            none.cast("double").alias("base"), none.cast("long").alias("rows"),
+        )),
+        F.transform("whole", lambda x: F.struct(
+            x["doc"].alias("doc"), none.cast("float").alias("add"), x["doc_id"].alias("doc_id"), x["n"].alias("n"),
+            x["base"].alias("base"), x["rows"].alias("rows"),
+        )),
+    )
+    each = sums.drop("bucket").repartition("batch").select("batch", F.inline(items)).groupBy("batch", "doc").agg(
+        F.max("doc_id").alias("doc_id"), F.sum("n").alias("n"), F.sum("rows").alias("rows"),
+        (F.sum(F.col("add").cast("double")) + F.sum("base")).alias("score"),
     )
-    each = sums.groupBy("doc_id", "key").agg(F.sum("n").alias("n"), F.sum("rows").alias("rows"), F.sum("add").alias("add"))
-    # equal rows have added up: each gets its share
+    # equal batches have added up: each gets its share
     out = each.select(
-        "doc_id", (F.col("n") / F.col("rows")).cast("bigint").alias("n_words"), (F.col("add") / F.col("rows")).alias("log_score"),
+        "doc_id", (F.col("n") / F.col("rows")).cast("bigint").alias("n_words"), (F.col("score") / F.col("rows")).alias("log_score"),
         F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("rows"))),
     )
     mean = F.when(F.col("n_words") > 0, F.col("log_score") / F.col("n_words"))

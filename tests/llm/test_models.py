@@ -7,6 +7,7 @@ import random
 import pytest
 
 from brinewave.llm import lm, quality, queries, toxicity
+from brinewave.llm.base import hash_texts
 from brinewave.llm.toxicity import Automaton, edits_allowed
 
 
@@ -119,6 +120,58 @@ def test_lm_scores_equal_brute_force(spark, documents):
         assert r["n_words"] == len(w) and abs(r["log_score"] - want) < 1e-4 * max(1, abs(want))
 
 
+def brute_force(texts):
+    """The scores of all texts, word by word."""
+    from collections import Counter
+    from math import log
+
+    split = [t.split() for t in texts]
+    one, two = Counter(x for w in split for x in w), Counter(p for w in split for p in zip(w, w[1:]))
+    total = sum(one.values())
+    out = []
+    for w in split:
+        o, b = Counter(w), Counter(zip(w, w[1:]))
+        score = 0.0
+        for i, x in enumerate(w):
+            pair = (w[i - 1], x)
+            seen = two[pair] - b[pair] if i else 0
+            if seen:
+                score += log(seen / (one[pair[0]] - o[pair[0]]))
+            else:
+                score += log(max(one[x] - o[x], lm.UNSEEN) / (total - len(w))) + (log(lm.BACKOFF) if i else 0)
+        out.append(score)
+    return out
+
+
+def test_lm_tells_words_apart_whose_hashes_begin_alike(spark, documents):
+    import numpy as np
+
+    words = [f"w{i}" for i in range(20_000)]
+    h, _ = hash_texts([" ".join(words).encode()])
+    order = np.argsort(h)
+    alike = np.flatnonzero((h[order][1:] >> np.uint64(43)) == (h[order][:-1] >> np.uint64(43)))[:20]
+    pairs = [(words[order[i]], words[order[i + 1]]) for i in alike]
+    assert len(pairs) == 20
+    texts = [f"{a} then {b}" for a, b in pairs] + [f"{a} then" for a, _ in pairs] + [f"then {b} {b}" for _, b in pairs]
+    want = brute_force(texts)
+    for r in lm.scored(documents(*texts)).collect():
+        assert abs(r["log_score"] - want[r["doc_id"]]) < 1e-4 * abs(want[r["doc_id"]])
+
+
+@pytest.mark.parametrize("common", [1, 30, 300, lm.COMMON])
+def test_lm_scores_do_not_depend_on_the_words_shared(spark, documents, common):
+    rng = random.Random(common)
+    words = [f"w{i}" for i in range(2500)]
+    texts = [" ".join(rng.choice(words[: rng.choice([3, 60, 2500])]) for _ in range(rng.randint(0, 60))) for _ in range(600)]
+    texts += ["rare rare rare end", "rare rare", "same old story", "same old story", "once", "", "w1"]
+    want = brute_force(texts)
+    rows = lm.scored(documents(*texts).repartition(3), common).collect()
+    assert sorted(r["doc_id"] for r in rows) == list(range(len(texts)))
+    for r in rows:
+        w = want[r["doc_id"]]
+        assert r["n_words"] == len(texts[r["doc_id"]].split()) and abs(r["log_score"] - w) < 1e-4 * max(1, abs(w))
+
+
 def test_lm_on_odd_rows(spark, odd):
     rows = lm.scored(odd).collect()
     assert len(rows) == odd.count()
