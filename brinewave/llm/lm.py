@@ -29,7 +29,7 @@ COMMON = 4_000_000
 HOT = 1000
 BACKOFF = 0.4
 UNSEEN = 0.5
-BUCKET_WORDS = 2_000_000
+BUCKET_WORDS = 8_000_000
 BATCH = 256
 PAIR = np.uint64(0x9E3779B97F4A7C15)
 GRAMS = (
@@ -171,19 +171,23 @@ class Exploder:
         return counts, score, plain, rare
 
 
-def by_bucket(batch: int, buckets: int, k, doc, times, gain, o=None, own=None) -> Iterator[dict]:
-    """One row for each bucket of hashes."""
-    bucket = ((k >> np.uint64(32)) % np.uint64(buckets)).astype(np.uint16 if buckets < 1 << 16 else np.int64)
-    order = np.argsort(bucket, kind="stable")
-    edges = np.searchsorted(bucket[order], np.arange(buckets + 1))
-    k, doc, times, gain = k.view(np.int64)[order], doc[order].astype(np.int8), times[order].astype(np.int32), gain[order].astype(np.float32)
-    if o is not None:
-        o, own = o.view(np.int64)[order], own[order].astype(np.int32)
+def by_bucket(batch: int, buckets: int, plain: tuple, rare: tuple) -> Iterator[dict]:
+    """One row for each bucket of hashes; n-grams under rare words come first, and only they have ``o`` and ``own``."""
+
+    def dealt(k: np.ndarray, *columns: np.ndarray) -> tuple:
+        bucket = ((k >> np.uint64(32)) % np.uint64(buckets)).astype(np.uint16 if buckets < 1 << 16 else np.int64)
+        order = np.argsort(bucket, kind="stable")
+        return np.searchsorted(bucket[order], np.arange(buckets + 1)), *[c[order] for c in columns]
+
+    o, own = rare[1].view(np.int64), rare[4].astype(np.int32)
+    known, o, own = dealt(rare[0], o, own)
+    k, doc, times, gain = (np.concatenate([rare[i], plain[j]]) for i, j in ((0, 0), (2, 1), (3, 2), (5, 3)))
+    edges, doc, times, gain, k = dealt(k, (doc - 128).astype(np.int8), times.astype(np.int32), gain.astype(np.float32), k.view(np.int64))
     for b in np.flatnonzero(np.diff(edges)):
-        at = slice(edges[b], edges[b + 1])
+        at, some = slice(edges[b], edges[b + 1]), slice(known[b], known[b + 1])
         yield {
-            "bucket": b, "batch": batch, "k": k[at], "o": [] if o is None else o[at], "doc": doc[at], "times": times[at],
-            "own": [] if own is None else own[at], "gain": gain[at], "whole": [],
+            "bucket": b, "batch": batch, "k": k[at], "o": o[some], "doc": doc[at], "times": times[at], "own": own[some],
+            "gain": gain[at], "whole": [],
         }
 
 
@@ -208,7 +212,7 @@ def scored(docs: DataFrame, common: int = COMMON) -> DataFrame:
         for pdf in batches:
             for begin in range(0, len(pdf), BATCH):
                 part = pdf.iloc[begin : begin + BATCH]
-                counts, score, (k, doc, times, gain), (x, o, mine, t, own, g) = exploder.grams(part["text"])
+                counts, score, plain, rare = exploder.grams(part["text"])
                 keys = part["key"].to_numpy(np.int64).view(np.uint64)
                 # equal batches share their number, so a task that runs again repeats it
                 batch = int(mix(keys + np.arange(len(keys), dtype=np.uint64) * PAIR).sum().view(np.int64))
@@ -219,8 +223,7 @@ def scored(docs: DataFrame, common: int = COMMON) -> DataFrame:
                 none = dict.fromkeys(["k", "o", "doc", "times", "own", "gain"], [])
                 rows = [
                     {"bucket": batch % buckets, "batch": batch, **none, "whole": whole},
-                    *by_bucket(batch, buckets, k, doc - 128, times, gain),
-                    *by_bucket(batch, buckets, x, mine - 128, t, g, o, own),
+                    *by_bucket(batch, buckets, plain, rare),
                 ]
                 yield pd.DataFrame(rows)
 
