@@ -35,6 +35,15 @@ def _star(edges: DataFrame, large: bool, tasks: int | None = None) -> DataFrame:
     return out.distinct() if tasks is None else out.coalesce(tasks).distinct().coalesce(tasks)
 
 
+def _stars(edges: DataFrame) -> bool:
+    """Whether every larger node has one edge and is no other's smaller node, so that no step changes the edges."""
+    ends = edges.select(F.col("a").alias("node"), F.lit(1).alias("up"), F.lit(0).alias("down")).unionByName(
+        edges.select(F.col("b").alias("node"), F.lit(0).alias("up"), F.lit(1).alias("down"))
+    )
+    of = ends.groupBy("node").agg(F.sum("up").alias("up"), F.max("down").alias("down"))
+    return of.filter("up > 1 OR up > 0 AND down > 0").agg(F.count("*")).first()[0] == 0
+
+
 def components(links: DataFrame, rows_of_task: int | None = None) -> DataFrame:
     """``(node, component)`` of every node in ``links(a, b)``; the component is its smallest node.
 
@@ -42,15 +51,11 @@ def components(links: DataFrame, rows_of_task: int | None = None) -> DataFrame:
     step has as many tasks as its links need at that number of rows each, where the session's shuffles would have far more.
     """
     edges = held(links.filter("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
-    before = tasks = None
+    tasks = None
     if rows_of_task is not None:
         tasks = max(LEAST_TASKS, ceil(edges.count() / rows_of_task))
         edges = edges.coalesce(tasks)
-    while True:
+    while not _stars(edges):
         edges = held(_star(_star(edges, True, tasks), False, tasks))
-        now = edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
-        if now == before:
-            break
-        before = now
     roots = edges.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct()
     return edges.select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(roots)

@@ -151,10 +151,12 @@ def to_hubs(rows: DataFrame, nodes: DataFrame) -> DataFrame:
     a = nodes.select(F.col("node").alias("a"), F.col("n").alias("n_a"), F.col("sketch").alias("of_a"))
     b = nodes.select(F.col("node").alias("b"), F.col("n").alias("n_b"), F.col("sketch").alias("of_b"))
 
+    # deterministic, it would be evaluated once for the filter and once for the column, by two Python workers a task
     @F.pandas_udf("int")
     def agreements(x: pd.Series, y: pd.Series) -> pd.Series:
         return pd.Series((table(x) == table(y)).sum(1), dtype="int32")
 
+    agreements = agreements.asNondeterministic()
     met = pairs.join(a, "a").join(b, "b").filter(sizes_allow("n_a", "n_b"))
     return met.select("a", "b", "score", agreements("of_a", "of_b").alias("agree")).filter(F.col("agree") >= AGREE_LEAST)
 

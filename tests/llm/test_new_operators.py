@@ -9,7 +9,7 @@ import zlib
 import numpy as np
 import pytest
 
-from brinewave.llm import gnat, minhash, spelling
+from brinewave.llm import components, gnat, minhash, spelling
 
 # --- MinHash near-duplicates
 
@@ -90,6 +90,26 @@ def test_minhash_of_odd_rows(spark, odd):
     assert minhash.near_duplicates(odd.limit(0)).count() == 0
 
 
+def test_sketches_of_a_pair_are_compared_once(spark):
+    of = np.arange(2 * minhash.TABLES * minhash.DEPTH, dtype=np.uint16).tobytes()
+    nodes = spark.createDataFrame([(i, 60, bytearray(of)) for i in (1, 2)], "node long, n long, sketch binary")
+    rows = spark.createDataFrame([(7, 1, 2), (7, 2, 2)], "key long, node long, score long")
+    met = minhash.to_hubs(rows, nodes)
+    assert [tuple(r) for r in met.collect()] == [(1, 2, 2, len(of) // 2)]
+    assert met._jdf.queryExecution().optimizedPlan().toString().count("ArrowEvalPython") == 1
+
+
+def test_components_stop_at_stars(spark, monkeypatch):
+    steps = []
+    monkeypatch.setattr(components, "_star", lambda *a, step=components._star: steps.append(a[1]) or step(*a))
+    stars = [(5, 1), (6, 1), (1, 7), (8, 3), (3, 8), (9, 9)]
+    found = components.components(spark.createDataFrame(stars, "a long, b long"))
+    assert sorted(map(tuple, found.collect())) == [(1, 1), (3, 3), (5, 1), (6, 1), (7, 1), (8, 3)] and not steps
+    chain = [(i, i + 1) for i in range(40)] + [(60, 50), (60, 55), (50, 55)]
+    found = components.components(spark.createDataFrame(chain, "a long, b long"), 10)
+    assert dict(map(tuple, found.collect())) == {i: 0 for i in range(41)} | {50: 50, 55: 50, 60: 50} and steps
+
+
 def test_minhashes_agree_as_often_as_sets_overlap():
     rng = np.random.default_rng(5)
     members = rng.integers(0, 2**63 - 1, 900, dtype=np.uint64)
